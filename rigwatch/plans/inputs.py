@@ -62,8 +62,12 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bus messages of the readings, with drifted, foreign and broken bodies mixed in."""
-    r = readings(spark, sf_dir)
+    """Bus messages of the readings."""
+    return messages_of(readings(spark, sf_dir))
+
+
+def messages_of(source: DataFrame) -> DataFrame:
+    """Bus messages of readings, with drifted, foreign and broken bodies mixed in."""
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     good = F.to_json(F.struct(
         "sensor", "cycle", F.col("offset").cast("int").alias("sample_idx"), "value",
@@ -74,7 +78,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sensor", iso.alias("window_start"), F.col("value").alias("avg_value"), F.lit(1).alias("sample_count")))
     kind = F.col("offset") % 10
     body = F.when(kind == 7, drifted).when(kind == 8, result).when(kind == 9, F.lit("{broken")).otherwise(good)
-    return r.select(
+    return source.select(
         F.col("sensor").cast("binary").alias("key"), body.cast("binary").alias("value"),
         F.concat(F.lit("hydraulic-"), "sensor").alias("topic"),
         (F.col("offset") % 8).cast("int").alias("partition"), "offset",
@@ -89,7 +93,8 @@ def reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     slot = ((F.col("event_id") + F.col("user_id") + 14) % len(SENSOR_NAMES)).cast("int")
     return source.select(
         F.get(names, slot).alias("sensor"), F.col("user_id").cast("int").alias("cycle"), "value",
-        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("offset"))
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("offset"),
+    ).withColumn("sampling_rate_hz", rate_of("sensor"))
 
 
 def plain_times(df: DataFrame) -> DataFrame:
@@ -98,6 +103,10 @@ def plain_times(df: DataFrame) -> DataFrame:
                       if f.dataType.typeName() == "timestamp" else F.col(f.name) for f in df.schema.fields])
 
 
+def day_as_time(df: DataFrame, column: str = "day") -> DataFrame:
+    return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
+
+
 # SQL side -------------------------------------------------------------------
 
 def r(expression: str, digits: int = 6) -> str:

@@ -172,18 +172,18 @@ def anomaly_by_hour(spark, sf):
 
 
 @query("anomaly_by_day", with_ctes(i.EVENTS, """daily AS (
-  SELECT CAST(window_start AS DATE) AS day, type, count(*) AS total FROM raised GROUP BY 1, 2)""", select="""
+  SELECT date_trunc('day', window_start)::TIMESTAMP AS day, type, count(*) AS total FROM raised GROUP BY 1, 2)""", select="""
 SELECT d.day, d.type, d.total, d.total - coalesce(b.total, 0) AS change
-FROM daily d LEFT JOIN daily b ON b.day = d.day - 1 AND b.type = d.type"""))
+FROM daily d LEFT JOIN daily b ON b.day = d.day - INTERVAL 1 DAY AND b.type = d.type"""))
 def anomaly_by_day(spark, sf):
-    return m.anomalies_by_day(events(spark, sf))
+    return i.day_as_time(m.anomalies_by_day(events(spark, sf)))
 
 
 @query("health_trend", with_ctes(i.HEALTH, select=f"""
-SELECT CAST(window_start AS DATE) AS day, sensor, {r('avg(health)')} AS health, min(health) AS worst
+SELECT date_trunc('day', window_start)::TIMESTAMP AS day, sensor, {r('avg(health)')} AS health, min(health) AS worst
 FROM scores GROUP BY 1, 2"""))
 def health_trend(spark, sf):
-    return rounded(m.health_trend(health(spark, sf)), "health")
+    return i.day_as_time(rounded(m.health_trend(health(spark, sf)), "health"))
 
 
 _FACTORS = (0.8, 0.85, 0.9, 0.95, 1.0, 1.05, 1.1, 1.15, 1.2)
@@ -213,7 +213,7 @@ def threshold_tuning(spark, sf):
 @query("early_warning", with_ctes(i.EVENTS, """
 usual AS (SELECT sensor, avg(stddev_value) AS usual_stddev FROM hop GROUP BY sensor)""", select=f"""
 SELECT h.sensor, h.window_start, {r('h.stddev_value')} AS stddev_value, {r('usual_stddev')} AS usual_stddev,
-       CAST(min(date_diff('hour', h.window_start, e.window_start)) AS INT) AS windows_ahead,
+       CAST(coalesce(min(date_diff('hour', h.window_start, e.window_start)), 0) AS INT) AS windows_ahead,
        count(e.window_start) > 0 AS followed
 FROM hop h JOIN usual USING (sensor)
 LEFT JOIN raised e ON e.sensor = h.sensor AND e.window_start > h.window_start
@@ -222,7 +222,8 @@ WHERE h.stddev_value > 2 * usual_stddev
 GROUP BY h.sensor, h.window_start, h.stddev_value, usual_stddev"""))
 def early_warning(spark, sf):
     s = stats(spark, sf)
-    return rounded(outliers.early_warnings(s, rules.anomaly_events(s), i.SLIDE), "stddev_value", "usual_stddev")
+    warned = outliers.early_warnings(s, rules.anomaly_events(s), i.SLIDE).na.fill(0, ["windows_ahead"])
+    return rounded(warned, "stddev_value", "usual_stddev")
 
 
 # Raw series and gauges ----------------------------------------------------
