@@ -90,10 +90,8 @@ def labelled_inner(spark, sf):
 SELECT cycle, {r('"PS1_mean"')} AS "PS1_mean", {r('"TS1_mean"')} AS "TS1_mean", {_LABELS}
 FROM wide JOIN labelled USING (cycle) ORDER BY cycle"""))
 def labelled_sorted(spark, sf):
-    some = features.cycle_features(i.readings(spark, sf), ["PS1", "TS1"]).drop("PS1_std", "TS1_std")
-    # Every cycle has a row in the full table; keep those without these two sensors as well.
-    cycles = i.readings(spark, sf).select("cycle").distinct().join(some, "cycle", "left")
-    return rounded(features.join_labels(cycles, i.labels(spark, sf)), "PS1_mean", "TS1_mean").orderBy("cycle")
+    some = wide(spark, sf).select("cycle", "PS1_mean", "TS1_mean")
+    return rounded(features.join_labels(some, i.labels(spark, sf)), "PS1_mean", "TS1_mean").orderBy("cycle")
 
 
 @query("labelled_left", with_ctes(i.READINGS, _WIDE, i.LABELS, select=f"""

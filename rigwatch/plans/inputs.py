@@ -48,11 +48,15 @@ def rig_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Condition labels from ``customer``, one row per cycle."""
+    return labels_of(spark.read.parquet(f"{sf_dir}/customer.parquet"))
+
+
+def labels_of(customers: DataFrame) -> DataFrame:
     def pick(codes: list[int], index) -> Column:
         return F.get(F.array(*[F.lit(c) for c in codes]), index.cast("int"))
 
     key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    return customers.select(
         key.cast("int").alias("cycle"),
         pick(COOLER, nation % 3).alias("label_cooler"),
         pick(VALVE, key % 4).alias("label_valve"),

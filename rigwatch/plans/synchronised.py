@@ -202,7 +202,7 @@ def wide_matrix(spark, sf):
 
 @query("sample_times", with_ctes(i.INDEXED, select="""
 SELECT cycle, sensor, sample_idx,
-       TIMESTAMP '2024-01-01' + to_microseconds(cycle * 60000000 + sample_idx * (1000000 // sampling_rate_hz)) AS event_time,
+       TIMESTAMP '2024-01-01' + to_microseconds(cycle::BIGINT * 60000000 + sample_idx::BIGINT * (1000000 // sampling_rate_hz)) AS event_time,
        CAST(sample_idx // sampling_rate_hz AS INT) AS second_in_cycle
 FROM indexed"""))
 def sample_times(spark, sf):

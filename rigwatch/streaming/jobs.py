@@ -56,9 +56,16 @@ def to_parquet(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence
     return _with_trigger(writer, trigger).start()
 
 
-def to_time_partitions(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
-    """Archive partitioned by date and hour; finer folders would hold one tiny file each."""
+def to_time_partitions(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
+                       files_per_hour: int = 4) -> StreamingQuery:
+    """Archive partitioned by date and hour; finer folders would hold one tiny file each.
+
+    The rows of an hour go to at most ``files_per_hour`` tasks, which bounds
+    the files per folder and batch without sending a busy hour to one task.
+    """
     dated = df.withColumn("date", F.to_date("window_start")).withColumn("hour", F.hour("window_start"))
+    part = F.pmod(F.hash(*df.columns), F.lit(files_per_hour))
+    dated = dated.repartition("date", "hour", part)
     return to_parquet(dated, path, checkpoint, ["date", "hour"], trigger)
 
 
