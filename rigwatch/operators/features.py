@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rigwatch.functions.columns import guarded_ratio, mean_of, pooled_std
+from rigwatch.operators.ordered import latest_by
 from rigwatch.schemas import FLOW, LABEL_NAMES, PRESSURE, SENSOR_NAMES, TEMPERATURE
 
 
@@ -74,9 +75,7 @@ def cycle_ratios(rollup: DataFrame) -> DataFrame:
 
 def newest_labels(labels: DataFrame, order: str = "timestamp") -> DataFrame:
     """One label row per cycle, the newest; repeated deliveries cannot multiply a join."""
-    columns = [c for c in labels.columns if c != "cycle"]
-    picked = labels.groupBy("cycle").agg(F.max_by(F.struct(*columns), order).alias("_row"))
-    return picked.select("cycle", "_row.*")
+    return latest_by(labels, ["cycle"], F.col(order), [c for c in labels.columns if c != "cycle"])
 
 
 def join_labels(features: DataFrame, labels: DataFrame, how: str = "inner", fill: bool = False) -> DataFrame:
@@ -120,8 +119,15 @@ def summarise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def cycle_change(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Difference of each column to the previous cycle number, NULL where that cycle is absent.
 
-    A self-join on the shifted key: neither side is sorted as a whole.
+    Every row is also sent to the cycle after it, where the two meet in one
+    aggregation: the input is read once and nothing is sorted as a whole.
     """
-    previous = features.select((F.col("cycle") + 1).alias("cycle"), *[F.col(c).alias(f"_{c}") for c in columns])
-    return features.join(previous, "cycle", "left").select(
-        "cycle", *columns, *[(F.col(c) - F.col(f"_{c}")).alias(f"{c}_change") for c in columns])
+    now = F.struct(F.col("cycle"), F.lit(True).alias("_own"), *columns)
+    ahead = F.struct((F.col("cycle") + 1).alias("cycle"), F.lit(False).alias("_own"), *columns)
+    cells = [F.bool_or("_own").alias("_own")]
+    for c in columns:
+        cells += [F.max(F.when(F.col("_own"), F.col(c))).alias(c), F.max(F.when(~F.col("_own"), F.col(c))).alias(f"_{c}")]
+    return (
+        features.select(F.inline(F.array(now, ahead))).groupBy("cycle").agg(*cells).filter("_own")
+        .select("cycle", *columns, *[(F.col(c) - F.col(f"_{c}")).alias(f"{c}_change") for c in columns])
+    )

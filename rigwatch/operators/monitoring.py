@@ -13,14 +13,28 @@ from rigwatch.functions.columns import (
 )
 from rigwatch.operators.ordered import latest_by, merge_runs
 from rigwatch.operators.rules import matches
-from rigwatch.schemas import family_of, rate_of
+from rigwatch.schemas import SENSOR_NAMES, family_of, rate_of
 
 
 # Readings ---------------------------------------------------------------
 
+def gauges(readings: DataFrame, time_col: str = "ts", tie: str = "offset") -> DataFrame:
+    """Last reading and sample count of each known sensor.
+
+    The newest time per sensor is found first, in a hash aggregation; only
+    the readings at that time are compared further. The join side has at most
+    one row per known sensor.
+    """
+    known = readings.filter(F.col("sensor").isin(SENSOR_NAMES))
+    ends = known.groupBy("sensor").agg(F.max(time_col).alias("_end"), F.count(F.lit(1)).alias("samples"))
+    at_end = known.withColumnRenamed("sensor", "_sensor").join(
+        F.broadcast(ends), (F.col("_sensor") == F.col("sensor")) & (F.col(time_col) == F.col("_end")))
+    return latest_by(at_end, ["sensor"], F.col(tie), [time_col, "cycle", "value", "samples"])
+
+
 def latest_value(readings: DataFrame, time_col: str = "ts", tie: str = "offset") -> DataFrame:
-    """Last reading of each sensor by event time."""
-    return latest_by(readings, ["sensor"], F.struct(time_col, tie), [time_col, "cycle", "value"])
+    """Last reading of each known sensor by event time."""
+    return gauges(readings, time_col, tie).drop("samples")
 
 
 def sample_counts(readings: DataFrame) -> DataFrame:
@@ -112,11 +126,17 @@ def stability(stats: DataFrame, sensors: str = ".*") -> DataFrame:
     return chosen.select("sensor", "window_start", "stddev_value")
 
 
-def range_series(maxima: DataFrame, minima: DataFrame) -> DataFrame:
-    """Difference of two series matched one to one on sensor and window."""
-    return maxima.select("sensor", "window_start", "max_value").join(
-        minima.select("sensor", "window_start", "min_value"), ["sensor", "window_start"]
-    ).select("sensor", "window_start", (F.col("max_value") - F.col("min_value")).alias("volatility"))
+def range_series(stats: DataFrame, sensors: Sequence[str]) -> DataFrame:
+    """Maximum minus minimum of the chosen sensors; both come from one row, so nothing is joined."""
+    return stats.filter(F.col("sensor").isin(list(sensors))).select(
+        "sensor", "window_start", (F.col("max_value") - F.col("min_value")).alias("volatility"))
+
+
+def subtract_series(left: DataFrame, right: DataFrame, on: Sequence[str] = ("sensor", "window_start")) -> DataFrame:
+    """Difference of two separately kept series (column ``value``), matched one to one."""
+    a = left.select(*on, F.col("value").alias("_left"))
+    b = right.select(*on, F.col("value").alias("_right"))
+    return a.join(b, list(on)).select(*on, (F.col("_left") - F.col("_right")).alias("value"))
 
 
 def side_by_side(stats: DataFrame, series: dict[str, tuple[str, float]]) -> DataFrame:

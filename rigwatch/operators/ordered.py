@@ -142,6 +142,9 @@ def newest(df: DataFrame, order: Sequence[str], n: int = 2) -> DataFrame:
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Column, columns: Sequence[str]) -> DataFrame:
-    """Per key the values of the row that comes last in ``order``."""
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*columns), order).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns])
+    """Per key the values of the row that comes last in ``order``.
+
+    Column by column, so that plain numbers and times stay in a hash
+    aggregation; a struct in the buffer would sort the input instead.
+    """
+    return df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in columns])

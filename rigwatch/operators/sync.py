@@ -81,9 +81,19 @@ def upsample(readings: DataFrame) -> DataFrame:
 
 
 def wide_ticks(readings: DataFrame, sensors: Sequence[str] = SENSOR_NAMES, id_offset: int = 1) -> DataFrame:
-    """One row per cycle and tick with a column per sensor; ids start at ``id_offset``."""
-    ticks = upsample(readings.filter(F.col("sensor").isin(list(sensors))).select("cycle", "sensor", "sample_idx", "value"))
+    """One row per cycle and tick with a column per sensor; ids start at ``id_offset``.
+
+    Samples are shuffled once, by cycle and second, before slow ones are
+    repeated; the ticks of a second are then put together where they are.
+    """
+    second = F.floor(F.col("sample_idx") / rate_of("sensor"))
+    placed = (
+        readings.filter(F.col("sensor").isin(list(sensors)))
+        .select("cycle", "sensor", "sample_idx", "value", second.alias("_second"))
+        .repartition("cycle", "_second")
+    )
+    cells = [F.max(F.when(F.col("sensor") == s, F.col("value"))).alias(s) for s in sensors]
     return (
-        ticks.groupBy((F.col("cycle") + id_offset).alias("profile_id"), "tick")
-        .pivot("sensor", list(sensors)).agg(F.first("value"))
+        upsample(placed).groupBy("cycle", "_second", "tick").agg(*cells)
+        .select((F.col("cycle") + id_offset).alias("profile_id"), "tick", *sensors)
     )

@@ -99,16 +99,19 @@ def hop_stats(readings: DataFrame, size: timedelta = HOP_SIZE, slide: timedelta
 
 def tumbling_stats(readings: DataFrame, width: timedelta = SYNC_WIDTH,
                    keys: Sequence[str] = ("cycle", "sensor"), time_col: str = "ts") -> DataFrame:
-    """Statistics per tumbling window, with the first and last sample index by event time."""
-    order = F.struct(time_col, "sample_idx")
+    """Statistics per tumbling window, with its first and last sample index.
+
+    Samples are numbered in event-time order inside a cycle, so the ends are
+    the smallest and largest index: deterministic, and a hash aggregation.
+    """
     grouped = readings.groupBy(F.window(time_col, span(width)), *keys).agg(
         F.avg("value").alias("avg_value"),
         F.max("value").alias("max_value"),
         F.min("value").alias("min_value"),
         F.stddev_samp("value").alias("stddev_value"),
         F.count("value").alias("sample_count"),
-        F.min_by("sample_idx", order).alias("first_sample_idx"),
-        F.max_by("sample_idx", order).alias("last_sample_idx"),
+        F.min("sample_idx").alias("first_sample_idx"),
+        F.max("sample_idx").alias("last_sample_idx"),
     )
     return grouped.select(
         *keys,

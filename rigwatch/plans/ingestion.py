@@ -65,10 +65,9 @@ SELECT lower('hydraulic_raw_' || sensor) AS metric, sensor, sensor AS raw_sensor
        max_by(value, struct_pack(t := ts, o := "offset")) AS raw_value, count(*) AS raw_samples
 FROM readings GROUP BY sensor"""))
 def raw_gauges(spark, sf):
-    source = i.readings(spark, sf).withColumn("topic", F.concat(F.lit("hydraulic-"), "sensor"))
-    latest = source.withColumn("sensor", topic_to_sensor("topic")).groupBy("sensor").agg(
-        F.max_by("value", F.struct("ts", "offset")).alias("value"), F.count(F.lit(1)).alias("samples"))
-    return with_prefix(latest, "raw").select(
+    topics = i.readings(spark, sf).withColumn("topic", F.concat(F.lit("hydraulic-"), "sensor"))
+    latest = monitoring.gauges(topics.withColumn("sensor", topic_to_sensor("topic")))
+    return with_prefix(latest.select("sensor", "value", "samples"), "raw").select(
         raw_metric_name("raw_sensor").alias("metric"), F.col("raw_sensor").alias("sensor"), "*")
 
 

@@ -15,6 +15,7 @@ from rigwatch.plans import inputs as i
 from rigwatch.plans.inputs import r, with_ctes
 from rigwatch.plans.registry import query
 from rigwatch.schemas import TEMPERATURE
+from rigwatch.session import materialise
 
 DOUBLES = ("avg_value", "max_value", "min_value", "stddev_value", "range_value")
 
@@ -221,7 +222,7 @@ LEFT JOIN raised e ON e.sensor = h.sensor AND e.window_start > h.window_start
 WHERE h.stddev_value > 2 * usual_stddev
 GROUP BY h.sensor, h.window_start, h.stddev_value, usual_stddev"""))
 def early_warning(spark, sf):
-    s = stats(spark, sf)
+    s = materialise(stats(spark, sf), "stats")  # used three times below
     warned = outliers.early_warnings(s, rules.anomaly_events(s), i.SLIDE).na.fill(0, ["windows_ahead"])
     return rounded(warned, "stddev_value", "usual_stddev")
 
@@ -348,8 +349,7 @@ def stability(spark, sf):
 @query("range_series", with_ctes(i.HOP, select=f"""
 SELECT sensor, window_start, {r('max_value - min_value')} AS volatility FROM hop WHERE sensor IN ('PS1', 'PS2')"""))
 def range_series(spark, sf):
-    s = windows.hop_stats(i.readings(spark, sf).filter("sensor IN ('PS1', 'PS2')"), i.SIZE, i.SLIDE)
-    return rounded(m.range_series(s, s), "volatility")
+    return rounded(m.range_series(stats(spark, sf), ["PS1", "PS2"]), "volatility")
 
 
 @query("power_vs_flow", with_ctes(i.HOP, select=f"""

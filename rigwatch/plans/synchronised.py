@@ -14,6 +14,7 @@ from rigwatch.plans.inputs import r, with_ctes
 from rigwatch.plans.monitoring import rounded
 from rigwatch.plans.registry import query
 from rigwatch.schemas import SENSOR_NAMES
+from rigwatch.session import materialise
 
 BUCKET = "time_bucket(INTERVAL {h} HOUR, ts, TIMESTAMP '1970-01-01')"
 
@@ -102,7 +103,8 @@ SELECT window_start, cycle, {r('"PS1_avg"')} AS "PS1_avg",
 FROM sync WINDOW w AS (PARTITION BY cycle ORDER BY window_start
                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""))
 def forward_fill(spark, sf):
-    wide = sync.sync_table(i.rig_readings(spark, sf), timedelta(hours=1), ("avg",), ["PS1", "FS1", "TS1"])
+    wide = materialise(
+        sync.sync_table(i.rig_readings(spark, sf), timedelta(hours=1), ("avg",), ["PS1", "FS1", "TS1"]), "seconds")
     filled = ordered.forward_fill(wide, ["cycle"], "window_start", ["TS1_avg", "FS1_avg"], block=i.BLOCK)
     names = ["PS1_avg", "TS1_avg_interpolated", "FS1_avg_interpolated"]
     return rounded(filled, *names).select("window_start", "cycle", *names)
@@ -157,7 +159,7 @@ def sensor_corr(spark, sf):
 SELECT window_start, cycle, {r('"PS1_avg"')} AS "PS1_avg", {r('"FS1_avg"')} AS "FS1_avg", {r('"TS1_avg"')} AS "TS1_avg"
 FROM ps1 FULL JOIN fs1 USING (window_start, cycle) FULL JOIN ts1 USING (window_start, cycle)"""))
 def outer_join_sensors(spark, sf):
-    each = windows.hop_stats(i.rig_readings(spark, sf), i.WIDTH, i.WIDTH, ("cycle", "sensor"))
+    each = materialise(windows.hop_stats(i.rig_readings(spark, sf), i.WIDTH, i.WIDTH, ("cycle", "sensor")), "stats")
     names = ["PS1", "FS1", "TS1"]
     frames = [each.filter(F.col("sensor") == s).select("window_start", "cycle", F.col("avg_value").alias(f"{s}_avg"))
               for s in names]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rigwatch.functions.columns import span
+from rigwatch.operators.ordered import latest_by
 from rigwatch.operators.rules import anomaly_events
 from rigwatch.operators.windows import HOP_SIZE, HOP_SLIDE, hop_stats_direct
 from rigwatch.schemas import ALERT_TOPIC, ANALYTICS_TOPIC
@@ -97,8 +98,7 @@ def current_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFr
     """Newest version of every key in an update log."""
     log = spark.read.parquet(path)
     columns = [c for c in log.columns if c not in (*keys, "batch_id")]
-    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch_id").alias("_row"))
-    return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns])
+    return latest_by(log, keys, F.col("batch_id"), columns)
 
 
 def compact_updates(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> None:
