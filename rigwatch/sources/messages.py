@@ -11,11 +11,18 @@ from rigwatch.schemas import DEVICE_EVENT, LABEL, READING, WINDOW_STATS
 BUS_COLUMNS = ("topic", "partition", "offset")
 
 
+def unpacked(df: DataFrame, body: Column, *keep: Column | str) -> DataFrame:
+    """The fields of a struct expression as columns.
+
+    Generated from a one-element array, so later filters on the fields use the
+    decoded row instead of decoding the body once more per predicate.
+    """
+    return df.select(F.inline(F.array(body)), *keep)
+
+
 def parse(messages: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode the message body; fields that do not fit the schema become NULL."""
-    return messages.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("data"), *keep
-    ).select("data.*", *keep)
+    return unpacked(messages, F.from_json(F.col("value").cast("string"), schema), *keep)
 
 
 def parse_readings(messages: DataFrame, keep_bus_columns: bool = False) -> DataFrame:
@@ -61,13 +68,11 @@ def documents(messages: DataFrame) -> DataFrame:
     """
     body = F.from_json(F.col("value").cast("string"), T.StructType(
         READING.fields + [f for f in WINDOW_STATS.fields if f.name != "sensor"]))
-    return messages.select(
-        body.alias("data"),
-        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("kafka_timestamp"),
+    return unpacked(
+        messages, body,
+        F.date_format(F.col("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("kafka_timestamp"),
         F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
-    ).select(
-        "data.*", "kafka_timestamp", "kafka_partition", "kafka_offset",
-        F.when(F.col("data.avg_value").isNotNull(), "analytics").otherwise("raw").alias("kind"))
+    ).withColumn("kind", F.when(F.col("avg_value").isNotNull(), "analytics").otherwise("raw"))
 
 
 def bus_time(millis: Column) -> Column:
@@ -78,7 +83,7 @@ def bus_time(millis: Column) -> Column:
 def device_events(messages: DataFrame, body: str = "value") -> DataFrame:
     """Device events with a ``problem`` column, NULL when the event meets the contract."""
     event = F.from_json(F.col(body).cast("string"), DEVICE_EVENT)
-    flat = messages.select(event.alias("e")).select("e.*")
+    flat = unpacked(messages, event)
     when = F.try_to_timestamp("event_time")
     problem = (
         F.when(F.col("device_id").isNull(), "device_id missing")
