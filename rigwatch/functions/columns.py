@@ -57,7 +57,7 @@ def pooled_std(columns: Iterable[str]) -> Column:
 
 
 def guarded_ratio(top: Column, bottom: Column) -> Column:
-    return top / (bottom + F.lit(ZERO_GUARD))
+    return F.try_divide(top, bottom + F.lit(ZERO_GUARD))
 
 
 def topic_to_sensor(topic: Column | str, prefix: str = TOPIC_PREFIX) -> Column:

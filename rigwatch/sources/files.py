@@ -46,7 +46,7 @@ def matrix_samples(lines: DataFrame, line: str = "value") -> DataFrame:
     others = [c for c in lines.columns if c != line]
     return lines.select(
         *others, F.posexplode(F.split(F.trim(line), "\t")).alias("sample_idx", "text")
-    ).select(*others, "sample_idx", F.expr("try_cast(text AS double)").alias("value"))
+    ).select(*others, "sample_idx", F.col("text").try_cast("double").alias("value"))
 
 
 def read_matrices(spark: SparkSession, path: str, cycle_offset: int = 0) -> DataFrame:
@@ -72,7 +72,7 @@ def parse_label_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     fields = label_fields(lines, line).filter(F.size("parts") == len(LABEL_NAMES))
     others = [c for c in lines.columns if c != line]
     codes = [
-        F.expr(f"try_cast(parts[{i}] AS double)").cast("int").alias(name)
+        F.get("parts", F.lit(i)).try_cast("double").try_cast("int").alias(name)
         for i, name in enumerate(LABEL_NAMES)
     ]
     return fields.select(*others, *codes)
@@ -119,9 +119,9 @@ def scan_with_fallback(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def map_columns(df: DataFrame, mapping: Mapping[str, str] = CSV_MAPPING) -> DataFrame:
-    """Rename and cast source headers to the device-event fields."""
+    """Rename and cast source headers to the device-event fields; unreadable values become NULL."""
     types = {f.name: f.dataType for f in DEVICE_EVENT.fields}
-    return df.select([F.col(header).cast(types[field]).alias(field) for header, field in mapping.items()])
+    return df.select([F.col(header).try_cast(types[field]).alias(field) for header, field in mapping.items()])
 
 
 def read_mapped_csv(spark: SparkSession, path: str, mapping: Mapping[str, str] = CSV_MAPPING) -> DataFrame:

@@ -32,7 +32,7 @@ def parse_readings(messages: DataFrame, keep_bus_columns: bool = False) -> DataF
     renamed = messages.withColumnRenamed("timestamp", "kafka_timestamp") \
         if "timestamp" in messages.columns else messages
     extra = tuple(kept + (["kafka_timestamp"] if "kafka_timestamp" in renamed.columns else []))
-    return parse(renamed, READING, extra).withColumn("ts", F.to_timestamp("timestamp")).drop("timestamp")
+    return parse(renamed, READING, extra).withColumn("ts", F.try_to_timestamp("timestamp")).drop("timestamp")
 
 
 def parse_labels(messages: DataFrame) -> DataFrame:
