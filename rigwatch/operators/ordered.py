@@ -2,7 +2,9 @@
 
 Every function cuts a key group into time blocks, works inside the blocks and
 carries a bounded summary from block to block. Only the summaries, one or a
-few rows per block, are ordered per key.
+few rows per block, are ordered per key. ``forward_fill``,
+``over_previous_rows`` and ``merge_runs`` take window tables, with one row per
+key and time: a block then holds at most block length / window slide rows.
 """
 
 from __future__ import annotations
@@ -14,15 +16,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rigwatch.functions.columns import block_of
+from rigwatch.session import materialise
 
 DAY = timedelta(days=1)
 
 
 def with_index(df: DataFrame, keys: Sequence[str], time_col: str, tie: str,
-               block: timedelta = DAY, name: str = "sample_idx") -> DataFrame:
-    """Add the 0-based position of each row inside its key group, by time then ``tie``."""
+               block: timedelta = DAY, name: str = "sample_idx", max_block_rows: int = 20_000_000) -> DataFrame:
+    """Add the 0-based position of each row inside its key group, by time then ``tie``.
+
+    The rows of a time block are numbered in one task as long as no block has
+    more than ``max_block_rows``. Otherwise the rows are range-partitioned on
+    keys, time and ``tie``, which splits any group evenly, and the ranges take
+    the place of the blocks.
+    """
     blocked = df.withColumn("_block", block_of(time_col, block))
-    counts = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    counts = materialise(blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n")), "block-counts")
+    if (counts.agg(F.max("_n")).first()[0] or 0) > max_block_rows:
+        # Written once: range borders must be the same for counting and numbering.
+        blocked = materialise(
+            df.repartitionByRange(*keys, time_col, tie).withColumn("_block", F.spark_partition_id()), "ranges")
+        counts = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         *keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

@@ -117,6 +117,15 @@ def stream_counts(spark, sf):
     return i.plain_times(jobs.current_state(spark, data, ["sensor"]))
 
 
+@query("stream_gauges", with_ctes(i.READINGS, select="""
+SELECT sensor, max_by(value, ts) AS value, count(*) AS sample_count, max(ts) AS last_update
+FROM readings GROUP BY sensor"""))
+def stream_gauges(spark, sf):
+    data, checkpoint = _paths(spark, "gauges")
+    jobs.drain(jobs.publish_gauges(i.reading_stream(spark, sf), data, checkpoint, "available"))
+    return i.plain_times(jobs.current_state(spark, data, ["sensor"]))
+
+
 @query("stream_dedup", with_ctes(i.READINGS, select='SELECT sensor, cycle, "offset", ts, value FROM readings'))
 def stream_dedup(spark, sf):
     """Every reading delivered twice, archived once."""

@@ -14,9 +14,10 @@ from rigwatch.schemas import CSV_MAPPING, DEVICE_EVENT, LABEL_NAMES, rate_of
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files with the 0-based line number inside each file.
 
-    Lines are numbered where they are read; only the line counts of the file
-    splits are collected, joined and summed, so the text itself is not
-    shuffled. A line outside its split's range stops the job.
+    Lines are numbered where they are read and only the line counts per file
+    split are summed. While that table (one row per split) is small enough to
+    be broadcast the text is not shuffled. A line outside its split's range
+    stops the job.
     """
     def scan() -> DataFrame:
         return spark.read.text(path).select(

@@ -40,6 +40,17 @@ def running_counts(readings: DataFrame) -> DataFrame:
     return readings.groupBy("sensor").agg(F.count(F.lit(1)).alias("sample_count"), F.max("ts").alias("last_update"))
 
 
+def running_gauges(readings: DataFrame) -> DataFrame:
+    """Current value of each sensor beside its running count."""
+    return readings.groupBy("sensor").agg(
+        F.max_by("value", "ts").alias("value"), F.count(F.lit(1)).alias("sample_count"), F.max("ts").alias("last_update"))
+
+
+def publish_gauges(readings: DataFrame, path: str, checkpoint: str, trigger: str | None = "2 seconds") -> StreamingQuery:
+    """Keep the gauge table up to date; read it with :func:`current_state`."""
+    return to_updates(running_gauges(readings), path, checkpoint, trigger)
+
+
 def _with_trigger(writer, trigger: str | None):
     """A processing-time text, "available" for one pass over what is there, or the default."""
     if trigger == "available":

@@ -45,10 +45,12 @@ def test_rate_and_rolling_mean(spark, block):
     np.testing.assert_allclose(rolled["rolled"].astype(float), want)
 
 
-@pytest.mark.parametrize("block", [timedelta(hours=3), timedelta(days=5)])
-def test_index(spark, block):
+@pytest.mark.parametrize("max_rows", [1, 1_000_000])
+@pytest.mark.parametrize("block", [timedelta(hours=3), timedelta(days=400)])
+def test_index(spark, block, max_rows):
+    """By time blocks, and by ranges where a block is too large for one task."""
     df, pdf = make(spark)
-    got = back(ordered.with_index(df, ["key"], "ts", "w", block))
+    got = back(ordered.with_index(df, ["key"], "ts", "w", block, max_block_rows=max_rows))
     assert (got["sample_idx"] == pdf.groupby("key").cumcount()).all()
 
 

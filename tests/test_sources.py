@@ -142,3 +142,17 @@ def test_topic_pattern_leaves_out_results_and_labels():
     pattern = re.compile(bus.sensor_pattern())
     assert all(pattern.fullmatch(t) for t in bus.SENSOR_TOPICS) and len(SENSOR_NAMES) == 17
     assert not pattern.fullmatch("hydraulic-analytics") and not pattern.fullmatch("hydraulic-labels")
+
+
+def test_wide_ticks_from_matrix_files(spark, out):
+    from rigwatch.operators.sync import wide_ticks
+
+    for name, rate in (("PS1", 100), ("FS1", 10), ("TS1", 1)):
+        with open(f"{out}/{name}.txt", "w") as f:
+            for cycle in range(3):
+                f.write("\t".join(str(cycle * 1000 + n) for n in range(rate * 2)) + "\n")
+    wide = wide_ticks(files.read_matrices(spark, out), ["PS1", "FS1", "TS1"])
+    got = {(r.profile_id, r.tick): (r.PS1, r.FS1, r.TS1) for r in wide.collect()}
+    assert len(got) == 3 * 200 and {p for p, _ in got} == {1, 2, 3}
+    assert got[1, 0] == (0.0, 0.0, 0.0)
+    assert got[2, 137] == (1137.0, 1013.0, 1001.0)

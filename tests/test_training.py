@@ -76,3 +76,16 @@ def test_fill_and_missing_flags(spark):
 def test_duplicate_labels_do_not_multiply(spark):
     labels = spark.createDataFrame([(1, 3, 1.0), (1, 20, 2.0), (2, 100, 1.0)], "cycle int, label_cooler int, timestamp double")
     assert sorted(tuple(r) for r in features.newest_labels(labels).collect()) == [(1, 20, 2.0), (2, 100, 1.0)]
+
+
+def test_train_job_reads_the_archives(spark, out, capsys):
+    from rigwatch.__main__ import main
+    from rigwatch.plans import inputs
+
+    sf = "/root/testdata/sf0.01"
+    inputs.readings(spark, sf).write.partitionBy("sensor").parquet(out + "/archive/raw")
+    inputs.labels(spark, sf).withColumn("timestamp", F.lit(1.0)).write.parquet(out + "/archive/labels")
+    main(["train", "--archive", out + "/absent", out + "/archive", "--out", out + "/run"])
+    assert spark.read.parquet(out + "/run/labelled").count() == 150
+    assert spark.read.parquet(out + "/run/metrics").count() == 8
+    assert "accuracy" in capsys.readouterr().out
