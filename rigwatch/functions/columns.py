@@ -18,7 +18,8 @@ def fixed(column: Column | str, digits: int = 6) -> Column:
 
     The nudge keeps exact decimal ties from depending on summation order.
     """
-    column = F.col(column) if isinstance(column, str) else column
+    if isinstance(column, str):
+        return F.expr(f"round(`{column}` + 1e-9, {digits})")
     return F.round(column + F.lit(1e-9), digits)
 
 
@@ -41,19 +42,13 @@ def block_of(time_col: str, block: timedelta) -> Column:
 def mean_of(columns: Iterable[str]) -> Column:
     """Arithmetic mean across columns, NULL when any of them is NULL."""
     columns = list(columns)
-    total = F.col(columns[0])
-    for name in columns[1:]:
-        total = total + F.col(name)
-    return total / len(columns)
+    return F.expr(f"({' + '.join(columns)}) / {len(columns)}")
 
 
 def pooled_std(columns: Iterable[str]) -> Column:
     """Square root of the mean squared deviation across columns."""
     columns = list(columns)
-    total = F.pow(F.col(columns[0]), 2)
-    for name in columns[1:]:
-        total = total + F.pow(F.col(name), 2)
-    return F.sqrt(total / len(columns))
+    return F.expr(f"sqrt(({' + '.join(f'{c} * {c}' for c in columns)}) / {len(columns)})")
 
 
 def guarded_ratio(top: Column, bottom: Column) -> Column:

@@ -54,8 +54,9 @@ def cycle_rollup(features: DataFrame, sensors: Sequence[str] = SENSOR_NAMES) ->
     """Roll synchronised seconds up to one row per cycle."""
     cells = []
     for s in sensors:
-        cells += [F.avg(f"{s}_avg").alias(f"{s}_mean"), F.stddev_samp(f"{s}_avg").alias(f"{s}_std"),
-                  F.min(f"{s}_min").alias(f"{s}_min"), F.max(f"{s}_max").alias(f"{s}_max")]
+        cells += [F.expr(text) for text in (
+            f"avg({s}_avg) AS {s}_mean", f"stddev_samp({s}_avg) AS {s}_std",
+            f"min({s}_min) AS {s}_min", f"max({s}_max) AS {s}_max")]
     return features.groupBy("cycle").agg(
         *cells,
         F.avg("pressure_mean").alias("pressure_mean"), F.stddev_samp("pressure_mean").alias("pressure_std"),
@@ -105,15 +106,12 @@ def missing_flags(features: DataFrame, sensors: Sequence[str] = SENSOR_NAMES) ->
 
 def summarise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, minimum and maximum of every column, one row per column."""
-    cells, rows = [], []
-    for c in columns:
-        v = F.col(c).cast("double")
-        cells += [F.count(v).alias(f"{c}|n"), F.avg(v).alias(f"{c}|mean"), F.stddev_samp(v).alias(f"{c}|std"),
-                  F.min(v).alias(f"{c}|min"), F.max(v).alias(f"{c}|max")]
-        rows.append(F.struct(F.lit(c).alias("column"), F.col(f"{c}|n").alias("n"), F.col(f"{c}|mean").alias("mean"),
-                             F.col(f"{c}|std").alias("stddev"), F.col(f"{c}|min").alias("min"),
-                             F.col(f"{c}|max").alias("max")))
-    return df.agg(*cells).select(F.inline(F.array(*rows)))
+    rows = [
+        F.expr(f"struct('{c}' AS column, count(v) AS n, avg(v) AS mean, stddev_samp(v) AS stddev, min(v) AS min, max(v) AS max)"
+               .replace("(v)", f"(CAST(`{c}` AS DOUBLE))"))
+        for c in columns
+    ]
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def cycle_change(features: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -55,9 +55,8 @@ def matches(pattern: str, column: str = "sensor") -> Column:
     return F.col(column).rlike(f"^(?:{pattern})$")
 
 
-def fires(rule: Rule, factor: Column | float = 1.0) -> Column:
-    factor = factor if isinstance(factor, Column) else F.lit(float(factor))
-    return matches(rule.sensors) & (F.col(rule.metric) > F.lit(rule.threshold) * factor)
+def fires(rule: Rule) -> Column:
+    return matches(rule.sensors) & (F.col(rule.metric) > F.lit(rule.threshold))
 
 
 def fired_types(rules: list[Rule] = DEFAULT_RULES) -> Column:
@@ -114,22 +113,31 @@ def threshold_tuning(stats: DataFrame, labels: DataFrame, target: str = "label_c
     """False alarms of every rule with its threshold moved in steps.
 
     ``stats`` are windows per sensor and cycle; a window of a cycle whose
-    ``target`` is at the healthy code should stay silent. Everything is
-    counted in one aggregation, then laid out as one row per rule and factor.
+    ``target`` is at the healthy code should stay silent. Each window is
+    reduced to the number of steps it exceeds, so the counts stay tiny
+    whatever the number of windows, rules and steps.
     """
-    healthy = F.col(target) == HEALTHY_CODES[target]
-    joined = stats.join(labels.select("cycle", target), "cycle")
-    counts, rows = [], []
-    for i, rule in enumerate(rules):
-        for j, factor in enumerate(factors):
-            fired = fires(rule, factor)
-            counts += [F.count_if(fired & healthy).alias(f"f{i}_{j}"),
-                       F.count_if(fired & ~healthy).alias(f"h{i}_{j}")]
-            rows.append(F.struct(
-                F.lit(rule.type).alias("type"), F.lit(factor).alias("factor"),
-                F.col(f"n{i}").alias("healthy_windows"), F.col(f"f{i}_{j}").alias("false_alarms"),
-                F.col(f"h{i}_{j}").alias("fault_alarms")))
-        counts.append(F.count_if(matches(rule.sensors) & healthy).alias(f"n{i}"))
-    table = joined.agg(*counts).select(F.inline(F.array(*rows)))
-    return table.withColumn(
-        "false_alarm_rate", F.col("false_alarms") / F.when(F.col("healthy_windows") > 0, F.col("healthy_windows")))
+    steps = sorted(factors)
+    exceeded = [
+        F.when(matches(r.sensors), F.struct(F.lit(r.type).alias("type"), F.expr(
+            " + ".join(f"IF({r.metric} > {r.threshold}D * {f}D, 1, 0)" for f in steps)).alias("level")))
+        for r in rules
+    ]
+    counts = (
+        stats.join(labels.select("cycle", (F.col(target) == HEALTHY_CODES[target]).alias("healthy")), "cycle")
+        .select("healthy", F.inline(F.array_compact(F.array(*exceeded))))
+        .groupBy("type", "level", "healthy").agg(F.count(F.lit(1)).alias("n"))
+    )
+    # One row per rule and step even when no window belongs to the rule.
+    none = stats.sparkSession.createDataFrame(
+        [(r.type, 0, True, 0) for r in rules], "type string, level int, healthy boolean, n long")
+    per_step = F.array(*[F.struct(F.lit(f).alias("factor"), (F.col("level") > n).alias("fired")) for n, f in enumerate(steps)])
+    return (
+        counts.unionByName(none).select("type", "healthy", "n", F.inline(per_step))
+        .groupBy("type", "factor").agg(
+            F.sum(F.when(F.col("healthy"), F.col("n")).otherwise(0)).alias("healthy_windows"),
+            F.sum(F.when(F.col("healthy") & F.col("fired"), F.col("n")).otherwise(0)).alias("false_alarms"),
+            F.sum(F.when(~F.col("healthy") & F.col("fired"), F.col("n")).otherwise(0)).alias("fault_alarms"))
+        .withColumn("false_alarm_rate",
+                    F.col("false_alarms") / F.when(F.col("healthy_windows") > 0, F.col("healthy_windows")))
+    )

@@ -16,8 +16,7 @@ from rigwatch.schemas import SENSOR_NAMES, rate_of
 STATS = ("avg", "min", "max", "std", "count")
 
 
-def _stat(name: str, value):
-    return {"avg": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp, "count": F.count}[name](value)
+AGGREGATES = {"avg": "avg", "min": "min", "max": "max", "std": "stddev_samp", "count": "count"}
 
 
 def sync_table(readings: DataFrame, width: timedelta = SYNC_WIDTH, stats: Sequence[str] = STATS,
@@ -33,7 +32,7 @@ def sync_table(readings: DataFrame, width: timedelta = SYNC_WIDTH, stats: Sequen
         readings.filter(F.col("sensor").isin(list(sensors)))
         .groupBy(F.window(time_col, span(width)).alias("window"), *keys)
         .pivot("sensor", list(sensors))
-        .agg(*[_stat(s, F.col("value")).alias(s) for s in stats])
+        .agg(*[F.expr(f"{AGGREGATES[s]}(value) AS {s}") for s in stats])
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
                 *keys, *_names(sensors, stats))
     )
@@ -49,7 +48,7 @@ def sync_stream(readings: DataFrame, width: timedelta = SYNC_WIDTH, stats: Seque
                 sensors: Sequence[str] = SENSOR_NAMES, time_col: str = "ts") -> DataFrame:
     """The same record as one conditional aggregation, for streams of any output mode."""
     cells = [
-        _stat(stat, F.when(F.col("sensor") == s, F.col("value"))).alias(f"{s}_{stat}")
+        F.expr(f"{AGGREGATES[stat]}(CASE WHEN sensor = '{s}' THEN value END) AS {s}_{stat}")
         for s in sensors for stat in stats
     ]
     return (
@@ -92,7 +91,7 @@ def wide_ticks(readings: DataFrame, sensors: Sequence[str] = SENSOR_NAMES, id_of
         .select("cycle", "sensor", "sample_idx", "value", second.alias("_second"))
         .repartition("cycle", "_second")
     )
-    cells = [F.max(F.when(F.col("sensor") == s, F.col("value"))).alias(s) for s in sensors]
+    cells = [F.expr(f"max(CASE WHEN sensor = '{s}' THEN value END) AS {s}") for s in sensors]
     return (
         upsample(placed).groupBy("cycle", "_second", "tick").agg(*cells)
         .select((F.col("cycle") + id_offset).alias("profile_id"), "tick", *sensors)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rigwatch.operators.ordered import with_index
@@ -18,17 +18,22 @@ SIZE, SLIDE, WIDTH = timedelta(hours=6), timedelta(hours=1), timedelta(hours=1)
 BLOCK = timedelta(days=1)
 AS_OF = datetime(2024, 1, 31)
 RIG_WIDTH, CYCLE_DAYS, EPOCH_MICROS = timedelta(hours=6), 5, 1_704_067_200_000_000  # from 2024-01-01
-COOLER, VALVE, ACCUMULATOR = [3, 20, 100], [73, 80, 90, 100], [90, 100, 115, 130]
+COOLER, VALVE, ACCUMULATOR = (3, 20, 100), (73, 80, 90, 100), (90, 100, 115, 130)
+
+
+# Columns used of the given tables.
+EVENT_COLUMNS = "event_id bigint, ts timestamp_ntz, user_id bigint, value double"
+CUSTOMER_COLUMNS = "c_custkey bigint, c_nationkey int"
+READING_COLUMNS = (
+    f"get(array({', '.join(map(repr, SENSOR_NAMES))}), CAST((event_id + user_id + 14) % 17 AS INT)) AS sensor",
+    "CAST(user_id AS INT) AS cycle",
+)
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings from ``events``: sensor, cycle, value, ts, rate and bus position."""
-    names = F.array(*[F.lit(n) for n in SENSOR_NAMES])
-    slot = ((F.col("event_id") + F.col("user_id") + 14) % len(SENSOR_NAMES)).cast("int")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.get(names, slot).alias("sensor"), F.col("user_id").cast("int").alias("cycle"),
-        "value", "ts", F.col("event_id").alias("offset"),
-    ).withColumn("sampling_rate_hz", rate_of("sensor"))
+    return spark.read.schema(EVENT_COLUMNS).parquet(f"{sf_dir}/events.parquet").selectExpr(
+        *READING_COLUMNS, "value", "ts", "event_id AS offset").withColumn("sampling_rate_hz", rate_of("sensor"))
 
 
 def indexed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,21 +53,17 @@ def rig_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Condition labels from ``customer``, one row per cycle."""
-    return labels_of(spark.read.parquet(f"{sf_dir}/customer.parquet"))
+    return labels_of(spark.read.schema(CUSTOMER_COLUMNS).parquet(f"{sf_dir}/customer.parquet"))
 
 
 def labels_of(customers: DataFrame) -> DataFrame:
-    def pick(codes: list[int], index) -> Column:
-        return F.get(F.array(*[F.lit(c) for c in codes]), index.cast("int"))
-
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    return customers.select(
-        key.cast("int").alias("cycle"),
-        pick(COOLER, nation % 3).alias("label_cooler"),
-        pick(VALVE, key % 4).alias("label_valve"),
-        (key % 3).cast("int").alias("label_pump"),
-        pick(ACCUMULATOR, nation % 4).alias("label_accumulator"),
-        (key % 2).cast("int").alias("label_stable"))
+    return customers.selectExpr(
+        "CAST(c_custkey AS INT) AS cycle",
+        f"get(array{COOLER}, CAST(c_nationkey % 3 AS INT)) AS label_cooler",
+        f"get(array{VALVE}, CAST(c_custkey % 4 AS INT)) AS label_valve",
+        "CAST(c_custkey % 3 AS INT) AS label_pump",
+        f"get(array{ACCUMULATOR}, CAST(c_nationkey % 4 AS INT)) AS label_accumulator",
+        "CAST(c_custkey % 2 AS INT) AS label_stable")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,14 +92,9 @@ def messages_of(source: DataFrame) -> DataFrame:
 
 def reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The readings as a stream over the events file."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    names = F.array(*[F.lit(n) for n in SENSOR_NAMES])
-    slot = ((F.col("event_id") + F.col("user_id") + 14) % len(SENSOR_NAMES)).cast("int")
-    return source.select(
-        F.get(names, slot).alias("sensor"), F.col("user_id").cast("int").alias("cycle"), "value",
-        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("offset"),
-    ).withColumn("sampling_rate_hz", rate_of("sensor"))
+    source = spark.readStream.schema(EVENT_COLUMNS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return source.selectExpr(
+        *READING_COLUMNS, "value", "CAST(ts AS TIMESTAMP) AS ts", "event_id AS offset").withColumn("sampling_rate_hz", rate_of("sensor"))
 
 
 def plain_times(df: DataFrame) -> DataFrame:

@@ -92,8 +92,7 @@ def stream_raw_archive(spark, sf):
 
 @query("stream_label_archive", with_ctes(i.LABELS, select="SELECT * FROM labelled"))
 def stream_label_archive(spark, sf):
-    schema = spark.read.parquet(f"{sf}/customer.parquet").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "customer.parquet").parquet(sf)
+    source = spark.readStream.schema(i.CUSTOMER_COLUMNS).option("pathGlobFilter", "customer.parquet").parquet(sf)
     sent = i.labels_of(source).select(F.to_json(F.struct("*")).cast("binary").alias("value"))
     data, checkpoint = _paths(spark, "labels")
     jobs.drain(jobs.archive_labels(sent, data, checkpoint, "available"))

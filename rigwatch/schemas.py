@@ -127,15 +127,16 @@ def sensor_table(spark: SparkSession) -> DataFrame:
               "samples_per_cycle int, upsample int")
 
 
-def _lookup(field: str, sensor: Column | str) -> Column:
-    pairs = [F.lit(x) for s in SENSORS for x in (s.sensor, getattr(s, field))]
-    return F.element_at(F.create_map(*pairs), F.col(sensor) if isinstance(sensor, str) else sensor)
+def _lookup(field: str, sensor: str) -> Column:
+    pairs = ", ".join(f"{s.sensor!r}, {getattr(s, field)!r}" for s in SENSORS)
+    return F.expr(f"element_at(map({pairs}), {sensor})")
 
 
-def rate_of(sensor: Column | str) -> Column:
-    """Sampling rate in Hz of a sensor name, NULL for an unknown one."""
+def rate_of(sensor: str) -> Column:
+    """Sampling rate in Hz of the sensor named in a column, NULL for an unknown one."""
     return _lookup("rate_hz", sensor)
 
 
-def family_of(sensor: Column | str) -> Column:
+def family_of(sensor: str) -> Column:
+    """Family of the sensor named in a column."""
     return _lookup("family", sensor)
