@@ -59,40 +59,35 @@ def hop_stats(readings: DataFrame, size: timedelta = HOP_SIZE, slide: timedelta
         return hop_stats_direct(readings, size, slide, keys, time_col)
 
     buckets = readings.groupBy(F.window(time_col, span(slide)), *keys).agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        (F.var_pop("value") * F.count("value")).alias("m2"),
-        F.max("value").alias("max_value"),
-        F.min("value").alias("min_value"),
-    )
-    spread = buckets.withColumn("back", F.explode(F.sequence(F.lit(0), F.lit(hops - 1)))).select(
-        *keys,
-        (F.col("window.start") - F.col("back") * F.lit(slide)).alias("window_start"),
-        "max_value", "min_value", "n",
-        F.when(F.col("n") > 0, F.struct("n", "mean", "m2")).alias("part"),
+        F.expr("count(value) AS n"),
+        F.expr("avg(value) AS mean"),
+        F.expr("var_pop(value) * count(value) AS m2"),
+        F.expr("max(value) AS max_value"),
+        F.expr("min(value) AS min_value"),
     )
+    spread = buckets.select(
+        *keys, "window", "n", "max_value", "min_value",
+        F.expr("CASE WHEN n > 0 THEN struct(n, mean, m2) END AS part"),
+        F.expr(f"explode(sequence(0, {hops - 1})) AS back"),
+    ).withColumn("window_start", F.col("window.start") - F.col("back") * F.lit(slide))
     # At most size/slide parts per group; collect_list leaves out the NULLs.
     merged = spread.groupBy("window_start", *keys).agg(
-        F.max("max_value").alias("max_value"),
-        F.min("min_value").alias("min_value"),
-        F.sum("n").alias("sample_count"),
-        F.collect_list("part").alias("parts"),
-    )
-    with_mean = merged.withColumn(
-        "avg_value",
-        F.aggregate("parts", F.lit(0.0), lambda acc, p: acc + p["n"] * p["mean"]) /
-        F.when(F.col("sample_count") > 0, F.col("sample_count")),
+        F.expr("max(max_value) AS max_value"),
+        F.expr("min(min_value) AS min_value"),
+        F.expr("sum(n) AS sample_count"),
+        F.expr("collect_list(part) AS parts"),
     )
-    squares = F.aggregate(
-        "parts", F.lit(0.0),
-        lambda acc, p: acc + p["m2"] + p["n"] * F.pow(p["mean"] - F.col("avg_value"), 2))
-    return with_mean.select(
+    return merged.withColumn(
+        "avg_value", F.expr("aggregate(parts, 0D, (sum, p) -> sum + p.n * p.mean) / nullif(sample_count, 0)")
+    ).withColumn(
+        "m2", F.expr("aggregate(parts, 0D, (sum, p) -> sum + p.m2 + p.n * pow(p.mean - avg_value, 2))")
+    ).select(
         *keys,
         "window_start",
         (F.col("window_start") + F.lit(size)).alias("window_end"),
         "avg_value", "max_value", "min_value",
-        F.sqrt(squares / F.when(F.col("sample_count") > 1, F.col("sample_count") - 1)).alias("stddev_value"),
-        (F.col("max_value") - F.col("min_value")).alias("range_value"),
+        F.expr("CASE WHEN sample_count > 1 THEN sqrt(m2 / (sample_count - 1)) END AS stddev_value"),
+        F.expr("max_value - min_value AS range_value"),
         "sample_count",
     )
 
