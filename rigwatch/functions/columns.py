@@ -108,7 +108,7 @@ def with_date_parts(df: DataFrame, time_col: str = "window_start") -> DataFrame:
 
 def sample_time(base: Column, sample_idx: Column, rate_hz: Column) -> Column:
     """Event time of a sample: start of the cycle plus index over rate."""
-    offset = F.round(sample_idx * F.lit(1_000_000) / rate_hz).cast("long")
+    offset = F.round(sample_idx.cast("long") * F.lit(1_000_000) / rate_hz).cast("long")
     return F.timestamp_micros(micros(base) + offset)
 
 
