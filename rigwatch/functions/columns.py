@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rigwatch.schemas import LABEL_TEXTS, TOPIC_PREFIX
+from rigwatch.schemas import LABEL_TEXTS, RAW_METRIC_PREFIX, TOPIC_PREFIX
 
 ZERO_GUARD = 1e-6
 
@@ -61,7 +61,7 @@ def topic_to_sensor(topic: Column | str, prefix: str = TOPIC_PREFIX) -> Column:
 
 def raw_metric_name(sensor: Column | str) -> Column:
     """Gauge name of a raw sensor series."""
-    return F.concat(F.lit("hydraulic_raw_"), F.lower(sensor))
+    return F.concat(F.lit(RAW_METRIC_PREFIX), F.lower(sensor))
 
 
 def with_prefix(df: DataFrame, prefix: str, keep: Iterable[str] = ()) -> DataFrame:

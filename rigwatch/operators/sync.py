@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rigwatch.functions.columns import span
 from rigwatch.operators.windows import SYNC_WIDTH
-from rigwatch.schemas import SENSOR_NAMES, rate_of
+from rigwatch.schemas import SENSOR_NAMES, TOP_RATE_HZ, rate_of
 
 STATS = ("avg", "min", "max", "std", "count")
 
@@ -70,7 +70,7 @@ def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
 
 def upsample(readings: DataFrame) -> DataFrame:
     """Repeat slow samples up to the highest rate: tick = index * factor + k."""
-    factor = (F.lit(100) / rate_of("sensor")).cast("int")
+    factor = (F.lit(TOP_RATE_HZ) / rate_of("sensor")).cast("int")
     return (
         readings.withColumn("_factor", factor)
         .withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_factor") - 1)))

@@ -13,10 +13,11 @@ from rigwatch.operators import features, training
 from rigwatch.plans import inputs as i
 from rigwatch.plans.inputs import r, with_ctes
 from rigwatch.plans.monitoring import rounded
-from rigwatch.plans.registry import query
+from rigwatch.plans.registry import SQL, query
 from rigwatch.plans.synchronised import _FAMILY, _families
 from rigwatch.schemas import LABEL_NAMES, LABEL_TEXTS, SENSOR_NAMES
-from rigwatch.session import materialise
+from rigwatch.session import materialise, scratch_path
+from rigwatch.sinks.archive import write_parquet
 
 FEATURES = [f"{s}_{k}" for s in SENSOR_NAMES for k in ("mean", "std")]
 _WIDE = "wide AS (SELECT cycle, " + ", ".join(
@@ -86,6 +87,14 @@ def labelled_inner(spark, sf):
     return rounded(features.join_labels(wide(spark, sf), i.labels(spark, sf), fill=True), *FEATURES)
 
 
+@query("labelled_archive", SQL["labelled_inner"])
+def labelled_archive(spark, sf):
+    """The training set written as Parquet and read back."""
+    path = scratch_path(spark, "labelled")
+    write_parquet(features.join_labels(wide(spark, sf), i.labels(spark, sf), fill=True), path)
+    return rounded(spark.read.parquet(path), *FEATURES)
+
+
 @query("labelled_sorted", with_ctes(i.READINGS, _WIDE, i.LABELS, select=f"""
 SELECT cycle, {r('"PS1_mean"')} AS "PS1_mean", {r('"TS1_mean"')} AS "TS1_mean", {_LABELS}
 FROM wide JOIN labelled USING (cycle) ORDER BY cycle"""))

@@ -13,7 +13,7 @@ from rigwatch.plans import inputs as i
 from rigwatch.plans.inputs import r, with_ctes
 from rigwatch.plans.monitoring import DOUBLES, rounded
 from rigwatch.plans.registry import query
-from rigwatch.schemas import CSV_MAPPING, LABEL_NAMES
+from rigwatch.schemas import CSV_MAPPING, LABEL_NAMES, SENSORS, sensor_table
 from rigwatch.session import scratch_path
 from rigwatch.sinks import archive
 from rigwatch.sources import files, messages
@@ -236,6 +236,19 @@ def labelled_export(spark, sf):
     return rounded(back, "mean_value")
 
 
+_CATALOG = ", ".join(
+    f"('{s.sensor}', '{s.family}', '{s.unit}', {s.rate_hz}, {s.rate_hz * 60}, {100 // s.rate_hz})" for s in SENSORS)
+
+
+@query("sensor_catalog", with_ctes(i.READINGS, f"""
+catalog AS (SELECT * FROM (VALUES {_CATALOG}) c(sensor, family, unit, rate_hz, samples_per_cycle, upsample))""", select="""
+SELECT sensor, family, unit, rate_hz, samples_per_cycle, upsample, count(*) AS sample_count
+FROM catalog JOIN readings USING (sensor) GROUP BY ALL"""))
+def sensor_catalog(spark, sf):
+    """The sensor dimension beside the samples received; counted before the join."""
+    return sensor_table(spark).join(monitoring.sample_counts(i.readings(spark, sf)), "sensor")
+
+
 @query("stored_records", with_ctes(i.READINGS, select="""
 SELECT sensor, ts, value, "offset", (SELECT count(*) FROM readings) AS records
 FROM readings ORDER BY ts DESC, "offset" DESC LIMIT 2"""))

@@ -38,6 +38,8 @@ SENSORS = [
 ]
 CYCLE_SECONDS = 60
 TOP_RATE_HZ = 100
+# Names on the bus and in the metric store.
+RAW_METRIC_PREFIX = "hydraulic_raw_"
 TOPIC_PREFIX = "hydraulic-"
 ANALYTICS_TOPIC = "hydraulic-analytics"
 LABEL_TOPIC = "hydraulic-labels"

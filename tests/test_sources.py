@@ -156,3 +156,15 @@ def test_wide_ticks_from_matrix_files(spark, out):
     assert len(got) == 3 * 200 and {p for p, _ in got} == {1, 2, 3}
     assert got[1, 0] == (0.0, 0.0, 0.0)
     assert got[2, 137] == (1137.0, 1013.0, 1001.0)
+
+
+def test_catalog_sizes(spark):
+    from rigwatch.schemas import sensor_table
+
+    row = sensor_table(spark).agg(F.count("*").alias("n"), F.sum("samples_per_cycle").alias("samples")).first()
+    assert (row.n, row.samples) == (17, 43_680)
+
+
+def test_bus_time(spark):
+    df = spark.createDataFrame([(1_700_000_000_123,)], "ms long")
+    assert df.select(messages.bus_time(F.col("ms"))).first()[0] == datetime(2023, 11, 14, 22, 13, 20, 123000)
