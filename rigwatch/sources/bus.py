@@ -18,12 +18,18 @@ def sensor_pattern(prefix: str = TOPIC_PREFIX) -> str:
 
 
 def bus_options(servers: str, topics: Sequence[str] | None = None, pattern: str | None = None,
-                starting: str = "latest", fail_on_data_loss: bool = True) -> dict[str, str]:
-    """Reader options for a topic list or a topic pattern."""
+                starting: str = "latest", fail_on_data_loss: bool = True,
+                max_per_trigger: int | None = None) -> dict[str, str]:
+    """Reader options for a topic list or a topic pattern.
+
+    ``max_per_trigger`` bounds a micro-batch when a backlog is read.
+    """
     if (topics is None) == (pattern is None):
         raise ValueError("give either topics or pattern")
     options = {"kafka.bootstrap.servers": servers, "startingOffsets": starting,
                "failOnDataLoss": str(fail_on_data_loss).lower()}
+    if max_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_per_trigger)
     if pattern is not None:
         options["subscribePattern"] = pattern
     else:
@@ -35,8 +41,10 @@ def read_bus(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def read_sensors(spark: SparkSession, servers: str, starting: str = "latest") -> DataFrame:
-    return read_bus(spark, bus_options(servers, pattern=sensor_pattern(), starting=starting))
+def read_sensors(spark: SparkSession, servers: str, starting: str = "latest",
+                 max_per_trigger: int | None = None) -> DataFrame:
+    return read_bus(spark, bus_options(
+        servers, pattern=sensor_pattern(), starting=starting, max_per_trigger=max_per_trigger))
 
 
 def read_labels(spark: SparkSession, servers: str) -> DataFrame:

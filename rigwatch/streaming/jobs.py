@@ -122,11 +122,17 @@ def to_documents(messages: DataFrame, path: str, checkpoint: str, trigger: str |
     return to_parquet(documents(messages), path, checkpoint, ["kind"], trigger)
 
 
-def archive_readings(messages: DataFrame, path: str, quarantine: str, checkpoints: str,
-                     trigger: str | None = None) -> list[StreamingQuery]:
-    """Raw archive by sensor, and the messages that are not readings beside it."""
+def archive_readings(messages: DataFrame, path: str, quarantine: str, checkpoints: str, trigger: str | None = None,
+                     partition_by: Sequence[str] = ("sensor",)) -> list[StreamingQuery]:
+    """Raw archive by sensor, and the messages that are not readings beside it.
+
+    A "date" among the partition columns is taken from the event time; long
+    archives want it, so that time ranges and retention prune folders too.
+    """
     valid, rejected = split_valid(parse_readings(messages))
-    return [to_parquet(valid, path, f"{checkpoints}/raw", ["sensor"], trigger),
+    if "date" in partition_by:
+        valid = valid.withColumn("date", F.to_date("ts"))
+    return [to_parquet(valid, path, f"{checkpoints}/raw", partition_by, trigger),
             to_parquet(rejected, quarantine, f"{checkpoints}/quarantine", (), trigger)]
 
 
@@ -150,7 +156,8 @@ def run(spark: SparkSession, servers: str, archive: str, checkpoints: str) -> li
     return [
         to_bus(stats, servers, ANALYTICS_TOPIC, f"{checkpoints}/analytics"),
         to_bus(alerts(stats), servers, ALERT_TOPIC, f"{checkpoints}/alerts"),
-        *archive_readings(messages, f"{archive}/raw", f"{archive}/quarantine", checkpoints),
+        *archive_readings(messages, f"{archive}/raw", f"{archive}/quarantine", checkpoints,
+                          partition_by=("sensor", "date")),
         archive_labels(read_labels(spark, servers), f"{archive}/labels", f"{checkpoints}/labels"),
     ]
 

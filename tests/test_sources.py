@@ -132,7 +132,8 @@ def test_cycle_draws_repeat_and_are_reproducible(spark):
 def test_bus_options():
     options = bus.bus_options("host:9092", bus.SENSOR_TOPICS, fail_on_data_loss=False)
     assert options["subscribe"].count(",") == 16 and options["failOnDataLoss"] == "false"
-    assert options["startingOffsets"] == "latest"
+    assert options["startingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in options
+    assert bus.bus_options("host:9092", pattern="x.*", max_per_trigger=500)["maxOffsetsPerTrigger"] == "500"
     with pytest.raises(ValueError):
         bus.bus_options("host:9092")
 

@@ -104,6 +104,14 @@ def test_archive_and_quarantine(spark, out):
     assert sorted(r.reason for r in spark.read.parquet(out + "/bad").collect()) == ["no sensor", "no value"]
 
 
+def test_archive_by_sensor_and_date(spark, out):
+    deliver(spark, out + "/bus", [body("PS1", 1, 1), body("PS1", 90_000, 2), body("TS1", 2, 3)])
+    stream = bus.read_message_files(spark, out + "/bus")
+    jobs.drain(*jobs.archive_readings(stream, out + "/raw", out + "/bad", out + "/cp", "available", ("sensor", "date")))
+    assert os.path.isdir(out + "/raw/sensor=PS1/date=2024-01-02")
+    assert spark.read.parquet(out + "/raw").filter("sensor = 'PS1' AND date = '2024-01-01'").first().value == 1.0
+
+
 def test_documents_are_routed_by_kind(spark, out):
     deliver(spark, out + "/bus", [body("PS1", 1, 1), json.dumps({"sensor": "PS1", "avg_value": 2.0})], 7)
     jobs.drain(jobs.to_documents(bus.read_message_files(spark, out + "/bus"), out + "/docs", out + "/cp", "available"))
