@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def get_session(app_name: str = "rigwatch", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings every job here relies on; ``conf`` overrides them.
@@ -36,22 +33,22 @@ def get_session(app_name: str = "rigwatch", master: str | None = None, **conf: s
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    A session without that setting uses a folder in its warehouse, which driver and
+    executors share by definition.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="rigwatch-")
-    return _local_folders[app]
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; it is deleted when the session ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    files.deleteOnExit(target)
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -63,4 +60,4 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,9 +4,9 @@ from rigwatch.session import get_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session("tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-                          spark__driver__memory="8g")
+                          spark__driver__memory="8g", spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
