@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rigwatch.llm import line_quality, mixing, sharding
+from rigwatch.llm import (
+    decontaminate, html_text, licences, line_quality, mixing, sharding, simhash_index, suffix_dedup, token_files,
+    url_rules,
+)
 from rigwatch.llm.registry import query, table
+from rigwatch.session import scratch_path
+
+
+def vocabulary() -> str:
+    """Place of the public vocabulary file that the contract names."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 @query("op1_sampled_splitters")
@@ -20,6 +30,51 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
+@query("op2_plane_blocks")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids written as plane-shuffled blocks and read back."""
+    path = scratch_path(spark, "token-blocks")
+    token_files.write_ids(table(spark, folder, "documents"), path, vocabulary())
+    return token_files.documents_of(token_files.read_blocks(spark, path))
+
+
+@query("op3_suffix_sort")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the stretches of 200 bytes that occur elsewhere."""
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op4_gray_index")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """SimHash fingerprint and component of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return simhash_index.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op5_association_rules")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict per page; a page's label is that of the document whose number ends its path."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    labels = table(spark, folder, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    number = F.regexp_extract(url_rules.path_of(F.col("url")), "/([0-9]{1,18})[^/]*/?$", 1)
+    labelled = pages.select("url", F.when(number != "", number).cast("long").alias("number"))
+    labelled = labelled.join(labels, F.col("number") == F.col("doc_id")).select("url", "bad")
+    return url_rules.judge(pages, url_rules.mine_rules(labelled)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_simhash_windows")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the place of the best window."""
+    hits = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return hits.select("doc_id", "item_id", "start_word", "n_words", "similarity")
+
+
+@query("op7_licence_scan")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and expressions of every document."""
+    return licences.scan_documents(table(spark, folder, "documents"))
+
+
 @query("op8_line_quality")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Quality counts and verdict per document."""
@@ -36,3 +91,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.mix_plan(docs, mixing.cyclic_weights(docs))
     return mixing.repetitions(docs, plan).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
+
+
+@query("op10_block_rules")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_pages(table(spark, folder, "pages"))
