@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from rigwatch.llm.components import components
 from rigwatch.session import materialise
@@ -55,7 +56,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(starts), bitorder="little").view(np.int64)[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for text in texts:
         yield pd.Series([fingerprint(t) for t in text], dtype="int64")

@@ -23,6 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from rigwatch.llm import sharding
 from rigwatch.session import materialise
@@ -236,7 +237,7 @@ def joined_crc(first: int, second: int, second_bytes: int) -> int:
     return _times(power, first) ^ second
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _whole_crc(pieces: pd.Series) -> pd.Series:
     out = []
     for p in pieces:
