@@ -69,16 +69,17 @@ class Encoder:
 
     The tokenizer named must treat white space as a separator and nothing else, as one that drops
     it does; then a text's ids are those of its stretches in turn. Texts with characters on which
-    Python and the tokenizer disagree about white space go to the library whole.
+    Python and the tokenizer disagree about white space, or with NUL, go to the library whole.
     """
 
-    unsure = re.compile("[\x1c-\x1f]")
+    unsure = re.compile("[\x00\x1c-\x1f]")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.nul, = self.tokenizer.encode("\x00", add_special_tokens=False).ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
@@ -97,14 +98,15 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        groups = [words[i:i + 500] for i in range(0, len(words), 500)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)):
-            data = np.array(e.ids, "<u4").tobytes()
-            ends = np.searchsorted(np.array(e.word_ids), np.arange(len(group)), side="right") * 4
-            start = 0
-            for word, end in zip(group, ends.tolist()):
+        """Encode words in groups, with the NUL character, one id that no other word has, between them."""
+        groups = [words[i:i + 1000] for i in range(0, len(words), 1000)]
+        lines = [" \x00 ".join(g) for g in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            cuts = (np.flatnonzero(ids == self.nul) * 4).tolist()
+            data = ids.tobytes()
+            for word, start, end in zip(group, [0, *[c + 4 for c in cuts]], [*cuts, len(data)], strict=True):
                 self.known[word] = data[start:end]
-                start = end
 
 
 _encoders: dict[str, Encoder] = {}
@@ -121,8 +123,8 @@ def _encoder(path: str) -> Encoder:
 class _Part:
     """Ids of one part on their way into blocks."""
 
-    def __init__(self, part: int, bits: bool):
-        self.part, self.bits = part, bits
+    def __init__(self, part: int, bits: bool, block_ids: int):
+        self.part, self.bits, self.block_ids = part, bits, block_ids
         self.block = self.start = self.number = 0
         self.held: list[np.ndarray] = []
         self.pieces: list[tuple] = []
@@ -130,11 +132,11 @@ class _Part:
 
     def add(self, doc_id, ids: np.ndarray) -> Iterator[tuple]:
         while len(ids):
-            head, ids = ids[:BLOCK_IDS - self.n], ids[BLOCK_IDS - self.n:]
+            head, ids = ids[:self.block_ids - self.n], ids[self.block_ids - self.n:]
             self.held.append(head)
             self.pieces.append((doc_id, self.number, len(head)))
             self.n += len(head)
-            if self.n == BLOCK_IDS:
+            if self.n == self.block_ids:
                 yield self.flush()
         self.number += 1
 
@@ -145,7 +147,7 @@ class _Part:
         return row
 
 
-def _encode_parts(path: str, end_id: int, bits: bool):
+def _encode_parts(path: str, end_id: int, bits: bool, block_ids: int):
     kinds = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int32()),
                        ("planes", pa.list_(pa.binary())), ("piece_doc", pa.list_(pa.int64())),
                        ("piece_number", pa.list_(pa.int64())), ("piece_ids", pa.list_(pa.int32()))])
@@ -170,7 +172,7 @@ def _encode_parts(path: str, end_id: int, bits: bool):
                     if state is None or state.part != part:
                         if state is not None and state.n:
                             yield batch(state.flush())
-                        state = _Part(part, bits)
+                        state = _Part(part, bits, block_ids)
                     for row in state.add(doc_id, np.frombuffer(data + end, "<u4")):
                         yield batch(row)
         if state is not None and state.n:
@@ -179,19 +181,19 @@ def _encode_parts(path: str, end_id: int, bits: bool):
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-              end_id: int = END_ID, bits: bool = False) -> None:
+              end_id: int = END_ID, bits: bool = False, block_ids: int = BLOCK_IDS, part_bytes: int = PART_BYTES) -> None:
     """Encode every whole text and write the blocks below ``path``, in ascending order of ``doc_id``."""
     t = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), t.alias("text"), F.crc32(t).alias("crc"),
                        F.char_length(t).alias("chars"))
     slim = materialise(rows.select("doc_id", "crc", F.octet_length("text").cast("long").alias("size")), "token-sizes")
     total = slim.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    parts = int(min(MAX_PARTS, total // PART_BYTES + 1))
+    parts = int(min(MAX_PARTS, total // part_bytes + 1))
     keys = ["doc_id", "crc"]
     bounds = sharding.splitters(slim, keys, "size", parts, total)
     dealt = (rows.withColumn("part", sharding.range_of(rows, keys, bounds)).repartition(parts, "part")
              .sortWithinPartitions("part", "doc_id", "crc").select("part", "doc_id", "text", "chars"))
-    dealt.mapInArrow(_encode_parts(tokenizer, end_id, bits), BLOCK_SCHEMA).write.option("compression", "none").parquet(path)
+    dealt.mapInArrow(_encode_parts(tokenizer, end_id, bits, block_ids), BLOCK_SCHEMA).write.option("compression", "none").parquet(path)
 
 
 # Reading -----------------------------------------------------------------------------------------
