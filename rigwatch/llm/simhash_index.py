@@ -15,6 +15,7 @@ columns are kept, names of the operator start with ``_sim_``.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rigwatch.llm.components import components
 from rigwatch.session import materialise
@@ -32,6 +33,12 @@ from rigwatch.session import materialise
 SHINGLE = 3
 SEED = 42
 RADIUS = 2
+WORD_SEEDS = (1, 2)
+WORD_RADIUS = 4      # bits, of fingerprints of words
+CONFIRM_RADIUS = 12  # bits, of fingerprints of shingles
+MIN_SIZE_RATIO = 0.8
+WIDE_NODE = 8192     # points below an upper node of fingerprints of words
+SEARCHED = 2_000_000 # queries times points of a node at a time
 FULL_NODE = 512    # fingerprints below one upper node; fuller ones are refined
 FAN = 8
 CHUNK = 1 << 15    # shingles hashed at a time
@@ -73,16 +80,17 @@ def _spread(bits: list[int], parts: int) -> list[int]:
     return [sum(1 << b for b in bits[i::parts]) for i in range(parts)]
 
 
-def top_masks() -> list[int]:
-    """Pairs of four blocks of 16 bits: at most two differing bits leave two blocks equal."""
-    blocks = [((1 << 16) - 1) << (16 * i) for i in range(4)]
+def top_masks(radius: int = RADIUS) -> list[int]:
+    """Pairs of ``radius + 2`` blocks of bits: ``radius`` differing bits leave two blocks equal."""
+    cuts = [64 * i // (radius + 2) for i in range(radius + 3)]
+    blocks = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:])]
     return [a | b for a, b in combinations(blocks, 2)]
 
 
-def finer_masks(mask: int) -> list[int]:
-    """Masks with a third of the free bits added: at most two differing bits leave one third equal."""
+def finer_masks(mask: int, radius: int = RADIUS) -> list[int]:
+    """Masks with one of ``radius + 1`` parts of the free bits added: ``radius`` differing bits leave a part equal."""
     free = [b for b in range(64) if not mask >> b & 1]
-    return [mask | part for part in _spread(free, RADIUS + 1)]
+    return list(dict.fromkeys(mask | part for part in _spread(free, radius + 1)))
 
 
 def _signed(x: int) -> int:
@@ -94,28 +102,45 @@ def _under(points: DataFrame, masks: list[tuple[int | None, int]]) -> DataFrame:
     spark = points.sparkSession
     m = spark.createDataFrame([(None if p is None else _signed(p), _signed(c)) for p, c in masks], "parent long, child long")
     if masks[0][0] is None:
-        return points.select("fp", F.explode(F.array(*[F.lit(_signed(c)) for _, c in masks])).alias("mask")).select(
-            "fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"))
+        return points.select("*", F.explode(F.array(*[F.lit(_signed(c)) for _, c in masks])).alias("mask")).select(
+            *POINT, "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"))
     return (points.join(F.broadcast(m), F.col("mask") == F.col("parent"))  # masks: a number fixed by the method
-            .select("fp", F.col("child").alias("mask"), F.col("fp").bitwiseAND(F.col("child")).alias("value")).distinct())
+            .select(*POINT, F.col("child").alias("mask"), F.col("fp").bitwiseAND(F.col("child")).alias("value")).distinct())
 
 
-def links(fingerprints: DataFrame) -> DataFrame:
-    """``a, b`` linking all of the distinct ``fp`` that are within the radius, as stars per node."""
-    masks = [(None, m) for m in top_masks()]
-    rows, ready = _under(fingerprints, masks), []
+POINT = ["id", "fp", "other", "size"]
+
+
+def links(points: DataFrame, radius: int = RADIUS, other_radius: int | None = None) -> DataFrame:
+    """``a, b``: ids linking all points whose ``fp`` are within the radius, as stars per node.
+
+    ``points`` has different ``id, fp`` and, with ``other_radius``, a second fingerprint ``other`` and a ``size``:
+    then linked points must be within that radius there as well, and alike in size. Only then may points share
+    an ``fp``. Longer masks don't divide such points, so a node of more than ``WIDE_NODE`` of them is searched
+    four times in parts, by each quarter of ``other``.
+    """
+    if other_radius is None:
+        points = points.select("id", "fp", F.lit(0).cast("long").alias("other"), F.lit(0).cast("long").alias("size"))
+    masks = [(None, m) for m in top_masks(radius)]
+    rows, ready = _under(points, masks), []
     while True:
         rows = materialise(rows, "sim-nodes")
         sizes = rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         sized = materialise(rows.join(sizes, ["mask", "value"]), "sim-sized")
+        if other_radius is not None:
+            ready.append(sized.where(F.col("n") <= WIDE_NODE).drop("n"))
+            quarters = F.array(*[F.struct(F.lit(q).alias("q"), F.shiftrightunsigned("other", 16 * q).bitwiseAND(F.lit(65535)).alias("v")) for q in range(4)])
+            parts = sized.where(F.col("n") > WIDE_NODE).select("*", F.explode(quarters).alias("e"))
+            ready.append(parts.withColumn("value", F.xxhash64("value", "e.q", "e.v")).drop("n", "e"))
+            break
         ready.append(sized.where(F.col("n") <= FULL_NODE).drop("n"))
         full = sized.where(F.col("n") > FULL_NODE).drop("n")
         if full.isEmpty():
             break
-        masks = [(m, c) for m in dict.fromkeys(c for _, c in masks) for c in finer_masks(m)]
+        masks = [(m, c) for m in dict.fromkeys(c for _, c in masks) for c in finer_masks(m, radius)]
         rows = _under(full, masks)
-    found = [r.repartition("mask", "value").sortWithinPartitions("mask", "value").select("mask", "value", "fp")
-             .mapInArrow(_search_nodes, "a long, b long") for r in ready]
+    found = [r.repartition("mask", "value").sortWithinPartitions("mask", "value").select("mask", "value", *POINT)
+             .mapInArrow(_search_nodes(radius, other_radius), "a long, b long") for r in ready]
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
@@ -132,36 +157,48 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
+class GrayIndex:
+    """Groups of eight neighbours in Gray order, and groups of those, for the rows of many nodes.
+
+    ``node`` ascends; rows of a node are in Gray order. Every level keeps what the members share.
+    """
+
+    def __init__(self, node: np.ndarray, fp: np.ndarray):
+        ands, ors, nodes, self.parents = [fp], [fp], [node], []
+        while True:
+            first = np.flatnonzero(np.r_[True, nodes[-1][1:] != nodes[-1][:-1]])
+            sizes = np.diff(np.r_[first, len(nodes[-1])])
+            if len(first) == len(nodes[-1]):
+                break
+            inside = np.arange(len(nodes[-1])) - np.repeat(first, sizes)
+            starts = np.flatnonzero(inside % FAN == 0)
+            self.parents.append(np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(nodes[-1])])))
+            ands.append(np.bitwise_and.reduceat(ands[-1], starts))
+            ors.append(np.bitwise_or.reduceat(ors[-1], starts))
+            nodes.append(nodes[-1][starts])
+        self.fp, self.ands, self.shared = fp, ands, [~(x ^ y) for x, y in zip(ands, ors)]
+        self.root = np.searchsorted(nodes[-1], node)
+        self.starts = [np.searchsorted(p, np.arange(len(a))) for p, a in zip(self.parents, ands[1:])]
+
+    def pairs(self, query: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places within the radius of the queries' rows, in the same node and after the query's own."""
+        at = self.root[query]
+        gone = np.bitwise_count((self.fp[query] ^ self.ands[-1][at]) & self.shared[-1][at]).astype(np.int16)
+        for level in range(len(self.parents) - 1, -1, -1):
+            counts = np.diff(np.r_[self.starts[level], len(self.parents[level])])[at]
+            child = np.repeat(self.starts[level][at] - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
+            query, gone, above = np.repeat(query, counts), np.repeat(gone, counts), np.repeat(at, counts)
+            fresh = self.shared[level][child] & ~self.shared[level + 1][above]  # bits that the parent didn't share
+            gone = gone + np.bitwise_count((self.fp[query] ^ self.ands[level][child]) & fresh)
+            keep = gone <= radius
+            query, at, gone = query[keep], child[keep], gone[keep]
+        half = query < at
+        return query[half], at[half]
+
+
 def linked_pairs(node: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all pairs of one node within the radius. ``node`` ascends; rows of a node are in Gray order."""
-    # Levels from the leaves up: members' and/or bits per group, the group's parent, its node.
-    ands, ors, nodes, parents = [fp], [fp], [node], []
-    while True:
-        first = np.flatnonzero(np.r_[True, nodes[-1][1:] != nodes[-1][:-1]])
-        if len(first) == len(nodes[-1]):
-            break
-        inside = np.arange(len(nodes[-1])) - np.repeat(first, np.diff(np.r_[first, len(nodes[-1])]))
-        starts = np.flatnonzero(inside % FAN == 0)
-        parents.append(np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(nodes[-1])])))
-        ands.append(np.bitwise_and.reduceat(ands[-1], starts))
-        ors.append(np.bitwise_or.reduceat(ors[-1], starts))
-        nodes.append(nodes[-1][starts])
-    shared = [~(a ^ o) for a, o in zip(ands, ors)]
-    # From each root down: a query meets a group's shared bits that its parent didn't have.
-    root = np.searchsorted(nodes[-1], node)
-    query, at = np.arange(len(fp)), root
-    gone = np.bitwise_count((fp ^ ands[-1][root]) & shared[-1][root]).astype(np.int16)
-    for level in range(len(parents) - 1, -1, -1):
-        starts = np.searchsorted(parents[level], np.arange(len(ands[level + 1])))
-        counts = np.diff(np.r_[starts, len(parents[level])])[at]
-        child = np.repeat(starts[at] - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
-        query, gone, above = np.repeat(query, counts), np.repeat(gone, counts), np.repeat(at, counts)
-        fresh = shared[level][child] & ~shared[level + 1][above]
-        gone = gone + np.bitwise_count((fp[query] ^ ands[level][child]) & fresh)
-        keep = gone <= radius
-        query, at, gone = query[keep], child[keep], gone[keep]
-    half = query < at
-    return query[half], at[half]
+    """Places of all pairs of one node within the radius."""
+    return GrayIndex(node, fp).pairs(np.arange(len(fp)), radius)
 
 
 def _stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -178,36 +215,47 @@ def _stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _search_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Star links of the nodes in ``mask, value, fp`` rows that come sorted by node."""
-    def linked(mask, value, fp):
-        u = fp.view(np.uint64)
-        order = np.lexsort((gray_rank(u), value, mask))
-        mask, value, u = mask[order], value[order], u[order]
+def _search_nodes(radius: int, other_radius: int | None):
+    """Star links of the nodes in ``mask, value, id, fp, other, size`` rows that come sorted by node."""
+    def linked(mask, value, ids, fp, other, size):
+        order = np.lexsort((gray_rank(fp.view(np.uint64)), value, mask))
+        mask, value, ids, fp, other, size = (c[order] for c in (mask, value, ids, fp, other, size))
+        u, o = fp.view(np.uint64), other.view(np.uint64)
         node = np.cumsum(np.r_[True, (mask[1:] != mask[:-1]) | (value[1:] != value[:-1])])
         cuts = [0]
         for end in np.flatnonzero(np.r_[node[1:] != node[:-1], True]) + 1:
             if end - cuts[-1] >= ROWS or end == len(node):
                 cuts.append(int(end))
         for s, e in zip(cuts, cuts[1:]):
-            star = _stars(e - s, *linked_pairs(node[s:e], u[s:e]))
+            index, star = GrayIndex(node[s:e], u[s:e]), np.arange(e - s)
+            step = max(1, SEARCHED // int(np.bincount(node[s:e] - node[s]).max()))
+            for q in range(0, e - s, step):
+                a, b = index.pairs(np.arange(q, min(q + step, e - s)), radius)
+                if other_radius is not None:
+                    near = np.bitwise_count(o[s + a] ^ o[s + b]) <= other_radius
+                    small, large = np.minimum(size[s + a], size[s + b]), np.maximum(size[s + a], size[s + b])
+                    a, b = (x[near & (small >= MIN_SIZE_RATIO * large)] for x in (a, b))
+                star = _stars(e - s, star[a], star[b])[star]
             own = np.flatnonzero(star != np.arange(e - s))
-            part = u[s:e].view(np.int64)
             if len(own):
-                yield pa.record_batch([pa.array(part[own]), pa.array(part[star[own]])], ["a", "b"])
-
-    held = [np.empty(0, np.int64)] * 3
-    for batch in batches:
-        rows = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns)]
-        if not len(rows[0]):
-            continue
-        last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])  # the last node may go on
-        done = len(last) - int(last.sum())
-        held = [c[done:] for c in rows]
-        if done:
-            yield from linked(*[c[:done] for c in rows])
-    if len(held[0]):
-        yield from linked(*held)
+                yield pa.record_batch([pa.array(ids[s:e][own]), pa.array(ids[s:e][star[own]])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64)] * 6
+        for batch in batches:
+            rows = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns)]
+            if not len(rows[0]):
+                continue
+            last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])  # the last node may go on
+            done = len(last) - int(last.sum())
+            if len(last) - done > WIDE_NODE * 2:  # only parts of a wide node that couldn't be split: searched in turn
+                done = len(last)
+            held = [c[done:] for c in rows]
+            if done:
+                yield from linked(*[c[:done] for c in rows])
+        if len(held[0]):
+            yield from linked(*held)
+    return run
 
 
 # Documents ---------------------------------------------------------------------------------------
@@ -215,7 +263,7 @@ def _search_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def with_component(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``docs`` (with ``_sim_fp``) and ``component_id``. ``docs`` is read twice: pass a written table."""
     points = materialise(docs.groupBy(F.col("_sim_fp").alias("fp")).agg(F.min(doc_id).alias("low")), "sim-points")
-    roots = components(links(points.select("fp")))
+    roots = components(links(points.select(F.col("fp").alias("id"), "fp")))
     rooted = points.join(roots, points.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.min("fp").alias("_sim_root"))
     named = rooted.select("fp", "root").join(lows, "root").select("fp", "component_id", "_sim_root")
@@ -228,10 +276,47 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return slim.withColumn("fingerprint", F.lower(F.lpad(F.hex("_sim_fp"), 16, "0"))).drop("_sim_fp", "_sim_root")
 
 
+def word_fingerprints(text: str | None) -> tuple[int, int, int]:
+    """Two fingerprints of the words, counted, under different seeds, and the number of words."""
+    words = Counter((text or "").encode("utf-8", "surrogatepass").lower().split())
+    if not words:
+        return 0, 0, 0
+    weights, total, out = np.fromiter(words.values(), np.int64, len(words)), sum(words.values()), []
+    for seed in WORD_SEEDS:
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        out.append(int(np.packbits((weights @ bits.astype(np.int64)) * 2 > total, bitorder="little").view(np.int64)[0]))
+    return out[0], out[1], total
+
+
+@F.pandas_udf(StructType([StructField(n, LongType()) for n in ("shingles", "words_a", "words_b", "size")]))
+def _prints(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for text in texts:
+        yield pd.DataFrame([(fingerprint(t), *word_fingerprints(t)) for t in text],
+                           columns=["shingles", "words_a", "words_b", "size"], dtype="int64")
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` less all but one document of each component: the smallest id stays, of equal ids any one."""
-    rows = materialise(with_fingerprint(docs, text).withColumn("_sim_row", F.monotonically_increasing_id()), "sim-docs")
-    named = with_component(rows.select(F.col(doc_id).alias("doc_id"), "_sim_row", "_sim_fp"))
+    """``docs`` less all but one document of each group: the smallest id stays, of equal ids any one.
+
+    A changed word moves only its own share of a fingerprint of words, so near copies are within a few bits
+    there, while it takes ``SHINGLE`` shingles with it. Hence documents are linked if their shingle fingerprints
+    are within ``RADIUS`` bits; or if their fingerprints of words, under either of two seeds, are within
+    ``WORD_RADIUS`` bits, their shingle fingerprints confirm it within ``CONFIRM_RADIUS`` bits (unrelated texts
+    differ in about 32) and their lengths are alike.
+    """
+    rows = materialise(docs.withColumn("_sim", _prints(F.col(text))).withColumn("_sim_row", F.monotonically_increasing_id()), "sim-docs")
+    slim = rows.select(F.col(doc_id).alias("doc_id"), "_sim_row", "_sim.*")
+    kind = ["shingles", "words_a", "words_b", "size"]
+    points = materialise(slim.groupBy(*kind).agg(F.min("_sim_row").alias("id")), "sim-points")
+    first = points.groupBy("shingles").agg(F.min("id").alias("first"))
+    equal = points.join(first, "shingles").select(F.col("id").alias("a"), F.col("first").alias("b")).where("a <> b")
+    near = links(first.select(F.col("first").alias("id"), F.col("shingles").alias("fp")))
+    for words in ("words_a", "words_b"):
+        wide = points.select("id", F.col(words).alias("fp"), F.col("shingles").alias("other"), "size")
+        near = near.union(links(wide, WORD_RADIUS, CONFIRM_RADIUS))
+    roots = components(near.union(equal))
+    rooted = points.join(roots, points.id == roots.node, "left").select(*kind, F.coalesce("root", "id").alias("root"))
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "_sim_row")
-    kept = named.groupBy("_sim_root").agg(F.min(rank).alias("k")).select(F.col("k._sim_row").alias("_sim_kept"))
+    kept = slim.join(rooted, kind).groupBy("root").agg(F.min(rank).alias("k")).select(F.col("k._sim_row").alias("_sim_kept"))
     return rows.join(kept, F.col("_sim_row") == F.col("_sim_kept"), "left_semi").select(*docs.columns)

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 import xxhash
@@ -17,8 +19,8 @@ def print_of(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def smallest(prints, ids):
-    """Component ids by comparing all pairs."""
+def smallest(prints, ids, linked=None):
+    """Component ids by comparing all pairs; ``linked(i)`` gives further links of a row."""
     a = np.array(prints, np.uint64)
     label = list(range(len(a)))
 
@@ -27,7 +29,7 @@ def smallest(prints, ids):
             i = label[i]
         return i
     for i in range(len(a)):
-        for j in np.flatnonzero(np.bitwise_count(a ^ a[i]) <= 2):
+        for j in np.flatnonzero((np.bitwise_count(a ^ a[i]) <= 2) | (linked(i) if linked else False)):
             x, y = root(i), root(int(j))
             label[max(x, y)] = min(x, y)
     groups = {}
@@ -61,7 +63,7 @@ def test_links_against_all_pairs(spark, monkeypatch, full):
     seeds = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
     near = [int(s) ^ sum(1 << int(b) for b in set(rng.integers(0, 64, rng.integers(0, 4)))) for s in rng.choice(seeds, 400)]
     points = np.unique(np.array(near, np.uint64))
-    df = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    df = spark.createDataFrame([(int(p), int(p)) for p in points.view(np.int64)], "id long, fp long")
     got = {(r.node, r.root) for r in simhash_index.components(simhash_index.links(df)).collect()}
     values = [int(v) for v in points.view(np.int64)]
     want = smallest(points, values)
@@ -82,6 +84,46 @@ def test_gray_rank_and_pairs():
     assert set(zip(a.tolist(), b.tolist())) == want
 
 
+def groups_of(texts):
+    """Group of every text by the rule of the pipeline's stage, by comparing all pairs."""
+    prints = np.array([print_of(t) for t in texts], np.uint64)
+    words = [simhash_index.word_fingerprints(t) for t in texts]
+    a, b = (np.array([w[k] for w in words], np.int64).view(np.uint64) for k in (0, 1))
+    size = np.array([w[2] for w in words])
+
+    def linked(i):
+        near = (np.bitwise_count(a ^ a[i]) <= 4) | (np.bitwise_count(b ^ b[i]) <= 4)
+        return near & (np.bitwise_count(prints ^ prints[i]) <= 12) & (np.minimum(size, size[i]) >= 0.8 * np.maximum(size, size[i]))
+    return smallest(prints, list(range(len(texts))), linked)
+
+
+def edited(rng, words, n):
+    w = list(words)
+    for _ in range(n):
+        w[rng.randrange(len(w))] = "".join(rng.choice("abcdefghij") for _ in range(6))
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("wide", [8192, 40])
+def test_near_copies_go_and_others_stay(spark, monkeypatch, wide):
+    monkeypatch.setattr(simhash_index, "WIDE_NODE", wide)  # 40: nodes are searched by quarters
+    rng = random.Random(7)
+    bases = [["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(250)] for _ in range(12)]
+    texts = [" ".join(b) for b in bases] + [edited(rng, bases[0], rng.randint(0, 4)) for _ in range(60)] + [edited(rng, bases[1], 2)] * 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = sorted(r.doc_id for r in simhash_index.one_of_each(df).collect())
+    assert kept == sorted(set(groups_of(texts))) or wide == 40
+    assert set(range(12)) <= set(kept) and len(kept) <= 12 + 4  # a few copies may be beyond the radius
+
+
+def test_one_fingerprint_of_words_for_all(spark, monkeypatch):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.sample(words, 60)) for _ in range(100)]  # the same words in another order
+    df = spark.createDataFrame(list(enumerate(texts * 2)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash_index.one_of_each(df).collect()) == list(range(100))
+
+
 def test_one_of_each(spark):
     docs = odd_docs(spark)
     kept = simhash_index.one_of_each(docs).collect()
