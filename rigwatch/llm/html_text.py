@@ -37,7 +37,7 @@ td tfoot th thead tr ul
 """.split())
 EXCLUDED = set("""
 head nav header footer aside form button select option textarea label input menu dialog iframe noscript template svg object
-canvas audio video figcaption
+canvas audio video
 """.split())
 CONTAINERS = {"article", "main"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -125,7 +125,9 @@ def blocks_of(page: str) -> list[_Block]:
             above = stack[-1] if stack else ("", False, 0)
             if name in CONTAINERS:
                 containers += 1
-            stack.append((name, above[1] or unwanted(name, m["attrs"]), containers if name in CONTAINERS else above[2]))
+            own = name == "header" and above[2] > 0  # an article's own header holds its title
+            out = above[1] or unwanted("div" if own else name, m["attrs"])
+            stack.append((name, out, containers if name in CONTAINERS else above[2]))
             links += name == "a"
             if name in BLOCKS or stack[-1][1] != above[1]:
                 close()

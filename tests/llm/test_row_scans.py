@@ -82,6 +82,8 @@ LONG = "The house of the man was on the hill and it was old, but not so old that
     (f"<article><style>p > a {{}}</style><p>a<b>b</b>c {LONG}</p><!-- <p>no</p> --><script>'<p>no</p>'</script><p>End &lt;x&gt;</article>",
      f"abc {LONG}\nEnd <x>"),
     (f"<div><p>{LONG}</p></div><div role=navigation>{LONG}</div><p hidden>{LONG}</p><ul><li><a href=1>{LONG}</a></li></ul>", LONG),
+    (f"<header>Site</header><article><header><h1>Title</h1></header><figure><figcaption>A picture</figcaption></figure><p>{LONG}</p></article>",
+     f"Title\nA picture\n{LONG}"),
     (f"<article><p>{LONG}</p><p>Tail<", f"{LONG}\nTail<"), (f"<article><p>{LONG}</p><p>Tail</p><foot", f"{LONG}\nTail"),
 ])
 def test_pages(page, text):
