@@ -23,10 +23,10 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
 # Line rules.
-TERMINAL = r"""[.!?:;…。"'”’»)\]]$"""
+TERMINAL = r"""[.!?:;…。"'”’»)\]]\z"""
 SHORT_LINE = 8             # words; a shorter line needs a terminal mark
 MARK_WORD = r"(!!|\?\?|[#*$%&|<>]{2,})"     # shouting and symbol runs
-SEPARATOR = r"(^|\x20)[|>»›•·/\\-](?=\x20|$)"  # menu separators standing alone
+SEPARATOR = r"(^|\x20)[|>»›•·/\\-](\x20|\z)"  # menu separators standing alone
 MAX_MARK_SHARE = 0.3       # of the words of a line
 MAX_SEPARATOR_SHARE = 0.2
 BOILERPLATE = [            # phrases of notices; only lines of fewer than BOILERPLATE_WORDS words
@@ -123,3 +123,40 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with base counts, ``cleaned`` text, ``kept_share`` and ``kept`` (both kinds of rules pass)."""
     return (with_cleaned(with_base_counts(docs, text), text)
             .withColumn("kept", ~F.col("base_failed") & F.col("line_kept")).drop("line_kept"))
+
+
+def sql(documents: str = "documents") -> str:
+    """The base counts and the verdict as SQL, for comparison."""
+    lit = lambda x: "'" + x.replace("'", "''") + "'"
+    count = lambda x, p: f"len(regexp_extract_all({x}, {lit(p)}))"
+    chars = lambda x: f"length(regexp_replace({x}, {lit(SPACE + '+')}, '', 'g'))"
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t FROM {documents}),
+w AS MATERIALIZED (SELECT rn, list_filter(regexp_split_to_array(t, {lit(SPACE + '+')}), lambda x: x <> '') AS ws FROM d),
+windows AS (
+  SELECT rn, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS k
+  FROM (SELECT rn, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM w)),
+repeated AS (SELECT rn, i FROM (SELECT rn, i, count(*) OVER (PARTITION BY rn, k) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT rn, sum(least({WINDOW}, coalesce(later - i, {WINDOW}))) AS c
+  FROM (SELECT rn, i, lead(i) OVER (PARTITION BY rn ORDER BY i) AS later FROM repeated) GROUP BY rn),
+lines AS (SELECT rn, line, {count('line', WORD)} AS n FROM (SELECT rn, unnest(string_split(t, chr(10))) AS line FROM d)),
+judged AS (
+  SELECT *, n > 0 AND ((n < {SHORT_LINE} AND NOT regexp_matches(rtrim(line), {lit(TERMINAL)}))
+    OR {count('line', MARK_WORD)} > n * {MAX_MARK_SHARE} OR {count('line', SEPARATOR)} > n * {MAX_SEPARATOR_SHARE}
+    OR (n < {BOILERPLATE_WORDS} AND regexp_matches(lower(line), {lit('|'.join(BOILERPLATE))}))) AS fails
+  FROM lines),
+by_line AS (
+  SELECT rn, count(*) FILTER (WHERE n > 0) - count(DISTINCT line) FILTER (WHERE n > 0) AS dups,
+         coalesce(sum({chars('line')}) FILTER (WHERE NOT fails), 0) AS left_, sum({chars('line')}) AS all_
+  FROM judged GROUP BY rn),
+counted AS (
+  SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+         {count('t', SYMBOLS)} AS n_symbols, dups AS n_dup_lines, coalesce(c, 0) AS n_repeat_words,
+         CASE WHEN all_ > 0 THEN left_ / all_ ELSE 0 END AS share
+  FROM d JOIN w USING (rn) JOIN by_line USING (rn) LEFT JOIN covered USING (rn))
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AND share >= {MIN_KEPT_SHARE} AS kept
+FROM counted"""

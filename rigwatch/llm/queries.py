@@ -75,7 +75,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan_documents(table(spark, folder, "documents"))
 
 
-@query("op8_line_quality")
+@query("op8_line_quality", line_quality.sql())
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Quality counts and verdict per document."""
     return line_quality.judge(table(spark, folder, "documents").select("doc_id", "text")).select(

@@ -1,9 +1,11 @@
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from rigwatch.llm import QUERIES, line_quality
+from rigwatch.llm import QUERIES, SQL, line_quality
 from tests.llm import brute
 from tests.llm.odd import empty_docs, odd_docs, saved
+from tests.oracle import differences
 
 SF = "/root/testdata/sf0.01"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -21,6 +23,15 @@ def test_op8_on_tables(spark, folder):
     check(QUERIES["op8_line_quality"](spark, folder).collect(), spark.read.parquet(f"{folder}/documents.parquet").collect())
 
 
+def test_op8_equals_its_sql(spark, out):
+    for folder in (SF, saved(odd_docs(spark).coalesce(1), out)):
+        con = duckdb.connect()
+        source = f"{folder}/documents.parquet" + ("" if folder == SF else "/*.parquet")
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{source}')")
+        got = QUERIES["op8_line_quality"](spark, folder).toPandas()
+        assert differences(got, con.execute(SQL["op8_line_quality"]).df()) == []
+
+
 def test_op8_on_odd_rows(spark, out):
     check(QUERIES["op8_line_quality"](spark, saved(odd_docs(spark), out)).collect(), odd_docs(spark).collect())
     assert QUERIES["op8_line_quality"](spark, saved(empty_docs(spark), out + "/e")).count() == 0
