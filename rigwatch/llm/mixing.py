@@ -86,9 +86,10 @@ def mix_plan(docs: DataFrame, weights: DataFrame, share: float = 1.5, epochs: fl
     lasts = (edge.select(F.col("p_source").alias("e_source"), "p_bucket")
              .join(lasts, F.col("e_source").eqNullSafe(F.col("p_source")), "left")
              .select("e_source", F.coalesce("inner", F.shiftleft(F.col("p_bucket").cast("long"), 63 - BUCKET_BITS) - 1).alias("edge_last")))
-    return (plan.join(lasts, F.col("source").eqNullSafe(F.col("e_source")), "left")
-            .select("source", "source_size", "target", "whole",
-                    F.coalesce("edge_last", F.when(F.col("quota") > 0, F.lit((1 << 63) - 1)).otherwise(F.lit(-1))).alias("last")))
+    whole = (plan.join(lasts, F.col("source").eqNullSafe(F.col("e_source")), "left")
+             .select("source", "source_size", "target", "whole",
+                     F.coalesce("edge_last", F.when(F.col("quota") > 0, F.lit((1 << 63) - 1)).otherwise(F.lit(-1))).alias("last")))
+    return materialise(whole, "mix-final")  # its size is known to the joins that apply it
 
 
 def repetitions(docs: DataFrame, plan: DataFrame) -> DataFrame:
