@@ -7,7 +7,7 @@ import argparse
 from rigwatch.operators import features, training
 from rigwatch.session import get_session, materialise
 from rigwatch.sinks.archive import write_parquet
-from rigwatch.sources.files import scan_with_fallback
+from rigwatch.sources.files import first_with_all, scan_parquet
 from rigwatch.streaming import jobs
 
 
@@ -21,10 +21,11 @@ def stream(args: argparse.Namespace) -> None:
 
 
 def train(args: argparse.Namespace) -> None:
-    """Cycle features, labels and models from the archives; the first folder that exists is used."""
+    """Cycle features, labels and models from the archives; both come from the first folder that has them."""
     spark = get_session("rigwatch-train")
-    readings = scan_with_fallback(spark, [f"{folder}/raw" for folder in args.archive])
-    labels = features.newest_labels(scan_with_fallback(spark, [f"{folder}/labels" for folder in args.archive]))
+    root = first_with_all(spark, args.archive, ["raw", "labels"])
+    readings = scan_parquet(spark, f"{root}/raw")
+    labels = features.newest_labels(scan_parquet(spark, f"{root}/labels"))
     wide = features.cycle_features(readings)
     data = materialise(features.join_labels(wide, labels.drop("timestamp"), fill=True), "training")
     write_parquet(data, f"{args.out}/labelled")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rigwatch.functions.columns import (
     ACTIVE_BANDS, ALIVE_BANDS, ANALYTICS_STALE_BANDS, HEALTH_BANDS, VITAL_BANDS, band, micros, span,
 )
-from rigwatch.operators.ordered import latest_by, merge_runs
+from rigwatch.operators.ordered import latest_by, merge_runs, newest_first
 from rigwatch.operators.rules import matches
 from rigwatch.schemas import SENSOR_NAMES, family_of, rate_of
 
@@ -19,21 +19,14 @@ from rigwatch.schemas import SENSOR_NAMES, family_of, rate_of
 # Readings ---------------------------------------------------------------
 
 def gauges(readings: DataFrame, time_col: str = "ts", tie: str = "offset") -> DataFrame:
-    """Last reading and sample count of each known sensor.
-
-    The newest time per sensor is found first, in a hash aggregation; only
-    the readings at that time are compared further. The join side has at most
-    one row per known sensor.
-    """
-    known = readings.filter(F.col("sensor").isin(SENSOR_NAMES))
-    ends = known.groupBy("sensor").agg(F.max(time_col).alias("_end"), F.count(F.lit(1)).alias("samples"))
-    at_end = known.withColumnRenamed("sensor", "_sensor").join(
-        F.broadcast(ends), (F.col("_sensor") == F.col("sensor")) & (F.col(time_col) == F.col("_end")))
-    return latest_by(at_end, ["sensor"], F.col(tie), [time_col, "cycle", "value", "samples"])
+    """Last reading and sample count of each sensor, in one read and one hash aggregation."""
+    newest = newest_first(time_col, tie)
+    return readings.groupBy("sensor").agg(
+        *[F.max_by(c, newest).alias(c) for c in (time_col, "cycle", "value")], F.count(F.lit(1)).alias("samples"))
 
 
 def latest_value(readings: DataFrame, time_col: str = "ts", tie: str = "offset") -> DataFrame:
-    """Last reading of each known sensor by event time."""
+    """Last reading of each sensor by event time."""
     return gauges(readings, time_col, tie).drop("samples")
 
 
@@ -52,12 +45,19 @@ def totals(df: DataFrame, as_of: datetime, time_col: str = "ts", keys: Sequence[
     )
 
 
+def _windows(counts: DataFrame, width: timedelta, start: str = "window_start") -> DataFrame:
+    """All windows from the first to the last one in ``counts``."""
+    ends = counts.agg(F.min(start).alias("_first"), F.max(start).alias("_last"))
+    return ends.filter("_first IS NOT NULL").select(F.explode(F.sequence("_first", "_last", F.lit(width))).alias(start))
+
+
 def message_rate(df: DataFrame, width: timedelta = timedelta(minutes=1), time_col: str = "ts") -> DataFrame:
-    """Messages per second in tumbling windows (exact counts, no extrapolation)."""
+    """Messages per second in tumbling windows (exact counts, no extrapolation), silent windows as 0."""
+    counts = (df.groupBy(F.window(time_col, span(width))).agg(F.count(F.lit(1)).alias("messages"))
+              .select(F.col("window.start").alias("window_start"), "messages"))
     return (
-        df.groupBy(F.window(time_col, span(width))).agg(F.count(F.lit(1)).alias("messages"))
-        .select(F.col("window.start").alias("window_start"), "messages",
-                (F.col("messages") / width.total_seconds()).alias("per_second"))
+        _windows(counts, width).join(counts, "window_start", "left").na.fill(0, ["messages"])
+        .withColumn("per_second", F.col("messages") / width.total_seconds())
         .withColumn("status", band("per_second", ALIVE_BANDS))
     )
 
@@ -84,12 +84,16 @@ def heatmap(df: DataFrame, width: timedelta = timedelta(seconds=10), bucket: flo
 
 
 def completeness(readings: DataFrame, width: timedelta = timedelta(minutes=1), time_col: str = "ts") -> DataFrame:
-    """Received against expected samples (rate times window length)."""
+    """Received against expected samples (rate times window length); a silent sensor has received 0.
+
+    The grid has a row per window and known sensor; sensors that are not known are kept with what they sent.
+    """
+    counts = (readings.groupBy(F.window(time_col, span(width)), "sensor").agg(F.count("value").alias("received"))
+              .select(F.col("window.start").alias("window_start"), "sensor", "received"))
+    grid = _windows(counts, width).select("window_start", F.explode(F.array(*[F.lit(s) for s in SENSOR_NAMES])).alias("sensor"))
     return (
-        readings.groupBy(F.window(time_col, span(width)), "sensor")
-        .agg(F.count("value").alias("received"))
-        .select(F.col("window.start").alias("window_start"), "sensor", "received",
-                (rate_of("sensor") * F.lit(width.total_seconds())).cast("long").alias("expected"))
+        grid.join(counts, ["window_start", "sensor"], "full_outer").na.fill(0, ["received"])
+        .withColumn("expected", (rate_of("sensor") * F.lit(width.total_seconds())).cast("long"))
         .withColumn("completeness", F.col("received") / F.col("expected"))
     )
 
@@ -193,7 +197,8 @@ def anomaly_trend(status: DataFrame) -> DataFrame:
 
 def anomaly_counters(events: DataFrame) -> DataFrame:
     """Distinct windows raised per sensor and type; independent of how often results are emitted."""
-    return events.groupBy("sensor", "type").agg(F.count(F.lit(1)).alias("total"))
+    windows = events.groupBy("sensor", "type", "window_start").agg(F.count(F.lit(1)).alias("emitted"))
+    return windows.groupBy("sensor", "type").agg(F.count(F.lit(1)).alias("total"))
 
 
 def by_type(counters: DataFrame) -> DataFrame:
@@ -221,11 +226,13 @@ def anomalies_by_hour(events: DataFrame) -> DataFrame:
 
 
 def anomalies_by_day(events: DataFrame) -> DataFrame:
-    """Daily totals with the change to the day before."""
+    """Daily totals with the change to the day before; a day after one with anomalies is there, if only with 0."""
     daily = events.groupBy(F.to_date("window_start").alias("day"), "type").agg(F.count(F.lit(1)).alias("total"))
-    before = daily.select(F.date_add("day", 1).alias("day"), "type", F.col("total").alias("_before"))
-    return daily.join(before, ["day", "type"], "left").select(
-        "day", "type", "total", (F.col("total") - F.coalesce("_before", F.lit(0))).alias("change"))
+    # Every total counts for its own day and against the next one.
+    both = daily.select(F.explode(F.array(
+        F.struct("day", "type", "total", F.lit(0).cast("long").alias("before")),
+        F.struct(F.date_add("day", 1).alias("day"), "type", F.lit(0).cast("long").alias("total"), F.col("total").alias("before")))).alias("d"))
+    return both.select("d.*").groupBy("day", "type").agg(F.sum("total").alias("total"), (F.sum("total") - F.sum("before")).alias("change"))
 
 
 def health_trend(health: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,30 +22,25 @@ from rigwatch.session import materialise
 DAY = timedelta(days=1)
 
 
-def with_index(df: DataFrame, keys: Sequence[str], time_col: str, tie: str,
-               block: timedelta = DAY, name: str = "sample_idx", max_block_rows: int = 20_000_000) -> DataFrame:
+def with_index(df: DataFrame, keys: Sequence[str], time_col: str, tie: str, name: str = "sample_idx") -> DataFrame:
     """Add the 0-based position of each row inside its key group, by time then ``tie``.
 
-    The rows of a time block are numbered in one task as long as no block has
-    more than ``max_block_rows``. Otherwise the rows are range-partitioned on
-    keys, time and ``tie``, which splits any group evenly, and the ranges take
-    the place of the blocks.
+    Rows are range-partitioned on keys, time and ``tie``, which splits a group of any size evenly,
+    and written once, so counting and numbering see the same ranges. Rows are numbered inside their
+    range; the counts of earlier ranges, a few rows per range, are added. Rows with NULL keys or
+    times are numbered like others, NULL first.
     """
-    blocked = df.withColumn("_block", block_of(time_col, block))
-    counts = materialise(blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n")), "block-counts")
-    if (counts.agg(F.max("_n")).first()[0] or 0) > max_block_rows:
-        # Written once: range borders must be the same for counting and numbering.
-        blocked = materialise(
-            df.repartitionByRange(*keys, time_col, tie).withColumn("_block", F.spark_partition_id()), "ranges")
-        counts = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*keys, "_block").orderBy(time_col, tie)
+    ranged = materialise(df.repartitionByRange(*keys, time_col, tie).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("_own"),
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*keys, "_range").orderBy(time_col, tie)
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("_range") == F.col("_own"))
     return (
-        blocked.join(offsets, [*keys, "_block"])
-        .withColumn(name, (F.col("_offset") + F.row_number().over(inside) - 1).cast("int"))
-        .drop("_block", "_offset")
+        ranged.withColumn("_place", F.row_number().over(inside) - 1).join(offsets, on)
+        .withColumn(name, (F.col("_offset") + F.col("_place")).try_cast("int"))
+        .drop("_range", "_own", "_offset", "_place", *[f"_{k}" for k in keys])
     )
 
 
@@ -155,6 +151,12 @@ def newest(df: DataFrame, order: Sequence[str], n: int = 2) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
 
 
+def newest_first(time_col: str, tie: str) -> Column:
+    """Time and tie-break as one number, so that ``max_by`` stays in a hash aggregation."""
+    micros = F.unix_micros(F.col(time_col).cast("timestamp")).cast("decimal(18,0)")
+    return (micros * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.coalesce(F.col(tie).cast("decimal(19,0)"), F.lit(-1))).cast("decimal(38,0)")
+
+
 def latest_by(df: DataFrame, keys: Sequence[str], order: Column, columns: Sequence[str]) -> DataFrame:
     """Per key the values of the row that comes last in ``order``.
 

@@ -3,27 +3,27 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rigwatch.schemas import SENSOR_NAMES
+from rigwatch.session import materialise
 
 
 def zscores(df: DataFrame, column: str = "value", keys: tuple[str, ...] = ("sensor",),
             limit: float = 3.0) -> DataFrame:
     """Rows whose distance from the group mean exceeds ``limit`` deviations.
 
-    Groups are reduced map-side to one row. With ``keys=("sensor",)`` the
-    reference side has at most one row per known sensor and is broadcast, so
-    the readings are not shuffled; with more keys the optimiser chooses.
+    Groups are reduced map-side to one row each and written, so their size is known to the join:
+    few groups are broadcast and the rows are not shuffled. Rows with NULL keys form groups as well.
     """
-    groups = df.groupBy(*keys).agg(F.avg(column).alias("_mean"), F.stddev_samp(column).alias("_std"))
-    if tuple(keys) == ("sensor",):
-        groups = F.broadcast(groups.filter(F.col("sensor").isin(SENSOR_NAMES)))
-    scored = df.join(groups, list(keys)).withColumn(
+    groups = materialise(df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.avg(column).alias("_mean"), F.stddev_samp(column).alias("_std")), "group-spread")
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    scored = df.join(groups, on).withColumn(
         "zscore", (F.col(column) - F.col("_mean")) / F.when(F.col("_std") > 0, F.col("_std")))
-    return scored.filter(F.abs("zscore") > limit).drop("_mean", "_std")
+    return scored.filter(F.abs("zscore") > limit).drop("_mean", "_std", *[f"_{k}" for k in keys])
 
 
 def sudden_changes(df: DataFrame, rate: str, limit: float) -> DataFrame:
@@ -38,9 +38,7 @@ def early_warnings(stats: DataFrame, anomalies: DataFrame, slide: timedelta, ahe
     anomaly is projected back onto the windows before it, which turns the
     look-ahead into an equality join.
     """
-    usual = F.broadcast(
-        stats.groupBy("sensor").agg(F.avg("stddev_value").alias("usual_stddev"))
-        .filter(F.col("sensor").isin(SENSOR_NAMES)))
+    usual = materialise(stats.groupBy("sensor").agg(F.avg("stddev_value").alias("usual_stddev")), "usual-spread")
     spikes = (
         stats.join(usual, "sensor")
         .filter(F.col("stddev_value") > F.col("usual_stddev") * factor)

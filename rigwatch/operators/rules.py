@@ -123,10 +123,12 @@ def threshold_tuning(stats: DataFrame, labels: DataFrame, target: str = "label_c
             " + ".join(f"IF({r.metric} > {r.threshold}D * {f}D, 1, 0)" for f in steps)).alias("level")))
         for r in rules
     ]
+    # Counted per cycle first, so the join meets a few rows per cycle and a busy cycle is no heavier than others.
+    per_cycle = (stats.select("cycle", F.inline(F.array_compact(F.array(*exceeded))))
+                 .groupBy("cycle", "type", "level").agg(F.count(F.lit(1)).alias("n")))
     counts = (
-        stats.join(labels.select("cycle", (F.col(target) == HEALTHY_CODES[target]).alias("healthy")), "cycle")
-        .select("healthy", F.inline(F.array_compact(F.array(*exceeded))))
-        .groupBy("type", "level", "healthy").agg(F.count(F.lit(1)).alias("n"))
+        per_cycle.join(labels.select("cycle", (F.col(target) == HEALTHY_CODES[target]).alias("healthy")), "cycle")
+        .groupBy("type", "level", "healthy").agg(F.sum("n").alias("n"))
     )
     # One row per rule and step even when no window belongs to the rule.
     none = stats.sparkSession.createDataFrame(

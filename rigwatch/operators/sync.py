@@ -59,8 +59,14 @@ def sync_stream(readings: DataFrame, width: timedelta = SYNC_WIDTH, stats: Seque
 
 
 def join_sensor_windows(frames: Sequence[DataFrame], on: Sequence[str] = ("window_start", "cycle")) -> DataFrame:
-    """Chained full outer join of per-sensor frames that share the join columns."""
-    return reduce(lambda left, right: left.join(right, list(on), "full_outer"), frames)
+    """Full outer join of per-sensor frames, one row per key each, on the shared columns.
+
+    The frames are laid side by side in one aggregation: one shuffle, however many sensors. A NULL
+    key meets NULL keys of the other frames.
+    """
+    columns = [c for f in frames for c in f.columns if c not in on]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return together.groupBy(*on).agg(*[F.max(c).alias(c) for c in columns])
 
 
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
@@ -69,8 +75,8 @@ def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def upsample(readings: DataFrame) -> DataFrame:
-    """Repeat slow samples up to the highest rate: tick = index * factor + k."""
-    factor = (F.lit(TOP_RATE_HZ) / rate_of("sensor")).cast("int")
+    """Repeat slow samples up to the highest rate: tick = index * factor + k; samples of unknown sensors stay as they are."""
+    factor = F.coalesce((F.lit(TOP_RATE_HZ) / rate_of("sensor")).cast("int"), F.lit(1))
     return (
         readings.withColumn("_factor", factor)
         .withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_factor") - 1)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
@@ -100,8 +101,7 @@ def train(data: DataFrame, target: str = "label_cooler", seed: int = SEED) -> tu
         metrics.append(evaluate(model.transform(test_rows), target).select(F.lit(name).alias("model"), "*"))
         weights.append(importances(spark, model, columns).select(F.lit(name).alias("model"), "*"))
     train_rows.unpersist()
-    both = [frames[0].unionByName(frames[1]) for frames in (metrics, weights)]
-    return models, both[0], both[1]
+    return models, reduce(DataFrame.unionByName, metrics), reduce(DataFrame.unionByName, weights)
 
 
 def save_run(models: dict, metrics: DataFrame, weights: DataFrame, params: dict, path: str) -> None:

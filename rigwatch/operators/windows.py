@@ -117,19 +117,26 @@ def tumbling_stats(readings: DataFrame, width: timedelta = SYNC_WIDTH,
 
 
 def window_samples(readings: DataFrame, width: timedelta = SYNC_WIDTH,
-                   keys: Sequence[str] = ("cycle", "sensor"), time_col: str = "ts",
-                   part_size: int = 10_000) -> DataFrame:
+                   keys: Sequence[str] = ("cycle", "sensor"), time_col: str = "ts") -> DataFrame:
     """The samples of each tumbling window as an array ordered by sample index.
 
-    ``part`` numbers stretches of ``part_size`` sample indexes, so one group
-    holds a bounded array; a window of regular length is all in one part.
+    An array holds the samples of one sensor in one window: sampling rate times width, once replays are dropped.
     """
     return (
-        readings
-        .withColumn("part", F.floor(F.col("sample_idx") / part_size).cast("int"))
-        .groupBy(F.window(time_col, span(width)), *keys, "part")
+        readings.groupBy(F.window(time_col, span(width)), *keys)
         .agg(F.sort_array(F.collect_list(F.struct("sample_idx", "value"))).alias("samples"))
         .select(*keys, F.col("window.start").alias("window_start"),
-                F.col("window.end").alias("window_end"), "part",
-                F.col("samples.value").alias("values"))
+                F.col("window.end").alias("window_end"), F.col("samples.value").alias("values"))
     )
+
+
+def tumbling_record(readings: DataFrame, width: timedelta = SYNC_WIDTH,
+                    keys: Sequence[str] = ("cycle", "sensor"), time_col: str = "ts") -> DataFrame:
+    """Statistics per tumbling window with its samples in the same row."""
+    samples = F.sort_array(F.collect_list(F.struct("sample_idx", "value"))).alias("samples")
+    grouped = readings.groupBy(F.window(time_col, span(width)), *keys).agg(
+        F.avg("value").alias("avg_value"), F.max("value").alias("max_value"), F.min("value").alias("min_value"),
+        F.stddev_samp("value").alias("stddev_value"), F.count("value").alias("sample_count"), samples)
+    return grouped.select(
+        *keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "avg_value", "max_value", "min_value", "stddev_value", "sample_count", F.col("samples.value").alias("values"))

@@ -69,7 +69,9 @@ SELECT cycle, {r('avg("PS1_avg")')} AS avg_pressure, {r('max("PS1_max")')} AS ma
 FROM family WHERE year(window_start) = 2024 AND month(window_start) = 1 AND day(window_start) BETWEEN 3 AND 20
 GROUP BY cycle"""))
 def cycle_sql(spark, sf):
-    with_date_parts(_families(spark, sf)).createOrReplaceTempView("synchronised_seconds")
+    # The same days as bounds on the readings, which reach the scan; windows don't cross midnight.
+    days = "ts >= timestamp_ntz'2024-01-03' AND ts < timestamp_ntz'2024-01-21'"
+    with_date_parts(_families(spark, sf, days)).createOrReplaceTempView("synchronised_seconds")
     return spark.sql("""
         SELECT cycle, round(avg(PS1_avg) + 1e-9, 6) AS avg_pressure, round(max(PS1_max) + 1e-9, 6) AS max_pressure,
                count(*) AS record_count
@@ -189,13 +191,47 @@ def train_split(spark, sf):
         df.select("cycle", F.lit(part).alias("part")) for df, part in ((train, "train"), (test, "test"))])
 
 
-@query("train_metrics")
+_METRICS = ("accuracy", "weightedPrecision", "weightedRecall", "f1")
+_MODELS = ("RandomForest", "DecisionTree")
+
+
+@query("train_metrics", "SELECT * FROM (VALUES " + ", ".join(f"('{m}', '{k}', true)" for m in _MODELS for k in _METRICS)
+       + ") t(model, metric, in_range)")
 def train_metrics(spark, sf):
+    """Every model has every metric, each between 0 and 1; their values are Spark's own."""
     data = materialise(training_table(spark, sf), "training")
-    return training.train(data)[1]
+    return training.train(data)[1].select("model", "metric", F.col("score").between(0, 1).alias("in_range"))
 
 
-@query("feature_importance")
+@query("feature_importance", "SELECT * FROM (VALUES " + ", ".join(f"('{m}', {len(_MODEL)}::BIGINT, 1.0::DOUBLE)" for m in _MODELS)
+       + ") t(model, features, total)")
 def feature_importance(spark, sf):
+    """Importances of every model: one per feature, together 1."""
     data = materialise(training_table(spark, sf), "training")
-    return training.train(data)[2].orderBy("model", F.col("importance").desc())
+    return training.train(data)[2].groupBy("model").agg(
+        F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+
+
+_CLASS = "CASE label_cooler WHEN 3 THEN 0.0 WHEN 20 THEN 1.0 ELSE 2.0 END"
+
+
+@query("classification_metrics", with_ctes(i.LABELS, f"""
+scored AS (SELECT {_CLASS} AS label, (cycle % 4)::DOUBLE AS prediction FROM labelled)""", """
+classes AS (
+  SELECT class, sum(actual) AS actual, sum(predicted) AS predicted, sum(hit) AS hits
+  FROM (SELECT label AS class, 1 AS actual, 0 AS predicted, CAST(label = prediction AS INT) AS hit FROM scored
+        UNION ALL SELECT prediction, 0, 1, 0 FROM scored) GROUP BY class)""", """
+rates AS (
+  SELECT actual, hits, CASE WHEN predicted > 0 THEN hits / predicted ELSE 0 END AS p,
+         CASE WHEN actual > 0 THEN hits / actual ELSE 0 END AS r FROM classes)""", select=f"""
+SELECT metric, {r('score')} AS score FROM (
+  SELECT 'accuracy' AS metric, sum(hits) / sum(actual) AS score FROM rates
+  UNION ALL SELECT 'weightedPrecision', sum(p * actual) / sum(actual) FROM rates
+  UNION ALL SELECT 'weightedRecall', sum(r * actual) / sum(actual) FROM rates
+  UNION ALL SELECT 'f1', sum(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END * actual) / sum(actual) FROM rates)"""))
+def classification_metrics(spark, sf):
+    """The four scores of a predictor that doesn't look, with one class more than there are labels."""
+    scored = i.labels(spark, sf).select(
+        F.when(F.col("label_cooler") == 3, 0.0).when(F.col("label_cooler") == 20, 1.0).otherwise(2.0).alias("label_cooler_indexed"),
+        (F.col("cycle") % 4).cast("double").alias("prediction"))
+    return rounded(training.evaluate(scored), "score")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rigwatch.functions.columns import fixed, raw_metric_name, topic_to_sensor, with_prefix
@@ -29,11 +29,12 @@ def parse_json(spark, sf):
 
 @query("quarantine", with_ctes(i.READINGS, select="""
 SELECT "offset", CASE WHEN "offset" % 10 = 9 THEN NULL ELSE sensor END AS sensor,
+       CASE WHEN "offset" % 10 = 9 THEN '{broken' END AS broken_body,
        CASE WHEN "offset" % 10 = 9 THEN 'no sensor' ELSE 'no value' END AS reason
 FROM readings WHERE "offset" % 10 >= 7"""))
 def quarantine(spark, sf):
-    _, rejected = messages.split_valid(messages.parse_readings(i.messages(spark, sf), keep_bus_columns=True))
-    return rejected.select("offset", "sensor", "reason")
+    _, rejected = messages.split_valid(messages.parse_readings(i.messages(spark, sf), keep_bus_columns=True, keep_body=True))
+    return rejected.select("offset", "sensor", F.when(F.col("offset") % 10 == 9, F.col("body")).alias("broken_body"), "reason")
 
 
 @query("enriched_documents", with_ctes(i.READINGS, select="""
@@ -139,20 +140,51 @@ def label_lines(spark: SparkSession, sf: str) -> DataFrame:
     fields = [F.col(n).cast("double").cast("string") for n in LABEL_NAMES]
     full = F.concat_ws("  ", *fields)
     short = F.concat_ws("  ", *fields[:-1])
-    return i.labels(spark, sf).select(
-        "cycle", F.when(F.col("cycle") % 25 == 7, short).otherwise(full).alias("value"))
+    wordy = F.concat_ws("  ", *fields[:-1], F.lit("x"))
+    return i.labels(spark, sf).select("cycle", F.when(F.col("cycle") % 25 == 7, short).when(F.col("cycle") % 25 == 8, wordy)
+                                      .otherwise(full).alias("value"))
 
 
-@query("label_parse", with_ctes(i.LABELS, select="SELECT * FROM labelled WHERE cycle % 25 <> 7"))
+@query("label_parse", with_ctes(i.LABELS, select="SELECT * FROM labelled WHERE cycle % 25 NOT IN (7, 8)"))
 def label_parse(spark, sf):
     return files.parse_label_lines(label_lines(spark, sf))
 
 
-@query("label_rejects", with_ctes(i.LABELS, select="SELECT cycle FROM labelled WHERE cycle % 25 = 7"))
+@query("label_rejects", with_ctes(i.LABELS, select="SELECT cycle FROM labelled WHERE cycle % 25 IN (7, 8)"))
 def label_rejects(spark, sf):
     return files.malformed_label_lines(label_lines(spark, sf)).select("cycle")
 
 
+@query("label_preview", with_ctes(i.LABELS, select="SELECT * FROM labelled ORDER BY cycle DESC LIMIT 20"))
+def label_preview(spark, sf):
+    """The last cycles' labels."""
+    from rigwatch.operators.ordered import newest
+
+    return newest(i.labels(spark, sf), ["cycle"], 20)
+
+
+@query("label_scan", with_ctes(i.LABELS, select="""
+SELECT CAST(row_number() OVER (ORDER BY cycle) - 1 AS INT) AS line, cycle, label_cooler, label_valve, label_pump,
+       label_accumulator, label_stable
+FROM labelled"""))
+def label_scan(spark, sf):
+    """Labels written as text, ranges of cycles a file, and numbered where they are read.
+
+    The number of lines in the files before is added; there is a row per file to order.
+    """
+    path = scratch_path(spark, "label-lines")
+    fields = [F.col(n).cast("string") for n in ("cycle", *LABEL_NAMES)]
+    (i.labels(spark, sf).repartitionByRange("cycle").sortWithinPartitions("cycle")
+     .select(F.concat_ws("\t", *fields).alias("value")).write.text(path))
+    lines = files.numbered_lines(spark, path).select(
+        "file", "line", F.split_part("value", F.lit("\t"), F.lit(1)).cast("int").alias("cycle"),
+        F.regexp_replace("value", r"^[^\t]*\t", "").alias("value"))
+    per_file = lines.groupBy("file").agg(F.min("cycle").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = lines.join(per_file.select("file", before.alias("before")), "file")
+    return files.parse_label_lines(placed.select((F.col("before") + F.col("line")).cast("int").alias("line"), "cycle", "value"))
+
+
 @query("label_table", with_ctes(i.LABELS, select="SELECT * FROM labelled"))
 def label_table(spark, sf):
     path = scratch_path(spark, "labels-tsv")
@@ -212,15 +244,15 @@ def _dated_archive(spark: SparkSession, sf: str) -> str:
 
 @query("retention", with_ctes(i.READINGS, select=_DAILY.format(n="n", op=">=")))
 def retention(spark, sf):
-    source, target = _dated_archive(spark, sf), scratch_path(spark, "retained")
-    archive.apply_retention(spark, source, target, "date", date(2024, 1, 16))
-    kept = spark.read.parquet(target).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    path = _dated_archive(spark, sf)
+    archive.apply_retention(spark, path, "date", date(2024, 1, 16))
+    kept = spark.read.parquet(path).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
     return i.day_as_time(kept, "date")
 
 
 @query("expired_partitions", with_ctes(i.READINGS, select=_DAILY.format(n="rows", op="<")))
 def expired_partitions(spark, sf):
-    source = spark.read.parquet(_dated_archive(spark, sf))
+    source = i.readings(spark, sf).withColumn("date", F.to_date("ts"))
     return i.day_as_time(archive.expired_partitions(source, "date", date(2024, 1, 16)), "date")
 
 
@@ -242,11 +274,11 @@ _CATALOG = ", ".join(
 
 @query("sensor_catalog", with_ctes(i.READINGS, f"""
 catalog AS (SELECT * FROM (VALUES {_CATALOG}) c(sensor, family, unit, rate_hz, samples_per_cycle, upsample))""", select="""
-SELECT sensor, family, unit, rate_hz, samples_per_cycle, upsample, count(*) AS sample_count
-FROM catalog JOIN readings USING (sensor) GROUP BY ALL"""))
+SELECT sensor, family, unit, rate_hz, samples_per_cycle, upsample, count(cycle) AS sample_count
+FROM catalog LEFT JOIN readings USING (sensor) GROUP BY ALL"""))
 def sensor_catalog(spark, sf):
     """The sensor dimension beside the samples received; counted before the join."""
-    return sensor_table(spark).join(monitoring.sample_counts(i.readings(spark, sf)), "sensor")
+    return sensor_table(spark).join(monitoring.sample_counts(i.readings(spark, sf)), "sensor", "left").na.fill(0, ["sample_count"])
 
 
 @query("stored_records", with_ctes(i.READINGS, select="""
@@ -256,6 +288,6 @@ def stored_records(spark, sf):
     """Record count of a stored collection beside its two newest rows."""
     from rigwatch.operators.ordered import newest
 
-    stored = spark.read.parquet(_write_archive(spark, sf))
+    stored = i.readings(spark, sf)
     counted = monitoring.sample_counts(stored).agg(F.sum("sample_count").alias("records")).first()[0]
     return newest(stored, ["ts", "offset"]).select("sensor", "ts", "value", "offset", F.lit(counted).cast("long").alias("records"))

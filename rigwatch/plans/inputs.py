@@ -38,7 +38,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def indexed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings with the sample index inside each cycle and sensor."""
-    return with_index(readings(spark, sf_dir), ["cycle", "sensor"], "ts", "offset", BLOCK)
+    return with_index(readings(spark, sf_dir), ["cycle", "sensor"], "ts", "offset")
 
 
 def rig_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,10 +90,21 @@ def messages_of(source: DataFrame) -> DataFrame:
         F.col("ts").cast("timestamp").alias("timestamp"))
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: str, **options: str) -> DataFrame:
+    """A table as a stream, whether it is a file or a folder of files; stops if there is none."""
+    path = f"{sf_dir}/{name}.parque[t]"  # a pattern: a file source takes no single file
+    spark.read.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).options(**options).parquet(path)
+
+
 def reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The readings as a stream over the events file."""
-    source = spark.readStream.schema(EVENT_COLUMNS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return source.selectExpr(
+    """The readings as a stream over the events table."""
+    return readings_of(table_stream(spark, sf_dir, "events", EVENT_COLUMNS))
+
+
+def readings_of(events: DataFrame) -> DataFrame:
+    """Readings of a stream of events."""
+    return events.selectExpr(
         *READING_COLUMNS, "value", "CAST(ts AS TIMESTAMP) AS ts", "event_id AS offset").withColumn("sampling_rate_hz", rate_of("sensor"))
 
 

@@ -174,8 +174,9 @@ def anomaly_by_hour(spark, sf):
 
 @query("anomaly_by_day", with_ctes(i.EVENTS, """daily AS (
   SELECT date_trunc('day', window_start)::TIMESTAMP AS day, type, count(*) AS total FROM raised GROUP BY 1, 2)""", select="""
-SELECT d.day, d.type, d.total, d.total - coalesce(b.total, 0) AS change
-FROM daily d LEFT JOIN daily b ON b.day = d.day - INTERVAL 1 DAY AND b.type = d.type"""))
+SELECT coalesce(d.day, b.day + INTERVAL 1 DAY) AS day, coalesce(d.type, b.type) AS type, coalesce(d.total, 0) AS total,
+       coalesce(d.total, 0) - coalesce(b.total, 0) AS change
+FROM daily d FULL JOIN daily b ON b.day = d.day - INTERVAL 1 DAY AND b.type = d.type"""))
 def anomaly_by_day(spark, sf):
     return i.day_as_time(m.anomalies_by_day(events(spark, sf)))
 
@@ -266,11 +267,17 @@ def analytics_totals(spark, sf):
     return rounded(m.totals(stats(spark, sf), i.AS_OF, "window_start"), "seconds_ago")
 
 
-@query("message_rate", with_ctes(i.READINGS, select=f"""
+def _counted(columns: str, count: str) -> str:
+    """Counts per hour, and all hours from the first to the last one."""
+    return f"""counted AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start, {columns} {count} AS n FROM readings GROUP BY ALL),
+hours AS (SELECT unnest(generate_series(min(window_start), max(window_start), INTERVAL 1 HOUR)) AS window_start FROM counted)"""
+
+
+@query("message_rate", with_ctes(i.READINGS, _counted("", "count(*)"), select=f"""
 SELECT window_start, messages, {r('messages / 3600.0')} AS per_second,
        CASE WHEN messages / 3600.0 >= 1 THEN 'green' ELSE 'red' END AS status
-FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start, count(*) AS messages
-      FROM readings GROUP BY 1)"""))
+FROM (SELECT window_start, coalesce(n, 0) AS messages FROM hours LEFT JOIN counted USING (window_start))"""))
 def message_rate(spark, sf):
     return rounded(m.message_rate(i.readings(spark, sf), timedelta(hours=1)), "per_second")
 
@@ -314,11 +321,13 @@ def smooth_heatmap(spark, sf):
     return m.heatmap(ps1, timedelta(hours=3), time_col="window_end", value="avg_value")
 
 
-@query("completeness", with_ctes(i.READINGS, select=f"""
+@query("completeness", with_ctes(i.READINGS, _counted("sensor,", "count(value)"), f"""sent AS (
+  SELECT h.window_start, s.sensor, coalesce(n, 0) AS received
+  FROM hours h CROSS JOIN (SELECT unnest([{i._NAMES}]) AS sensor) s
+  LEFT JOIN counted c ON c.window_start = h.window_start AND c.sensor = s.sensor)""", select=f"""
 SELECT window_start, sensor, received, expected, {r('received / expected', 9)} AS completeness
-FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start, sensor,
-             count(value) AS received, CAST(any_value(sampling_rate_hz) * 3600 AS BIGINT) AS expected
-      FROM readings GROUP BY 1, 2)"""))
+FROM (SELECT *, CAST(CASE WHEN sensor LIKE 'PS%' OR sensor = 'EPS1' THEN 100 WHEN sensor LIKE 'FS%' THEN 10 ELSE 1 END * 3600 AS BIGINT) AS expected
+      FROM sent)"""))
 def completeness(spark, sf):
     return m.completeness(i.readings(spark, sf), timedelta(hours=1)).withColumn(
         "completeness", fixed("completeness", 9))

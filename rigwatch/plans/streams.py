@@ -61,6 +61,22 @@ def stream_status(spark, sf):
     return i.plain_times(_appended(spark, rules.anomaly_status(_stats(spark, sf)), "status"))
 
 
+_CUT = "TIMESTAMP '2024-01-16 00:00:00'"
+
+
+@query("stream_late_rows", _HOP_SQL.replace("FROM events", f"FROM events WHERE ts >= {_CUT}") + f" WHERE {_CLOSED}")
+def stream_late_rows(spark, sf):
+    """Statistics over two runs of a job: the rows before the cut come after the others and are too late."""
+    base = scratch_path(spark, "late")
+    events = spark.read.schema(i.EVENT_COLUMNS).parquet(f"{sf}/events.parquet")
+    late = F.col("ts") < F.expr(_CUT.replace("TIMESTAMP ", "timestamp_ntz"))
+    for part in (events.where(~late), events.where(late)):
+        part.write.mode("append").parquet(f"{base}/in")
+        stats = jobs.hop_stats_stream(i.readings_of(spark.readStream.schema(events.schema).parquet(f"{base}/in")), i.SIZE, i.SLIDE, DELAY)
+        jobs.drain(jobs.to_parquet(stats, f"{base}/data", f"{base}/checkpoint", (), "available"))
+    return rounded(i.plain_times(spark.read.schema(stats.schema).parquet(f"{base}/data")), *DOUBLES)
+
+
 _SYNC = [f"{s}_{k}" for s in SENSOR_NAMES for k in ("avg", "min", "max")]
 
 
@@ -90,9 +106,23 @@ def stream_raw_archive(spark, sf):
     return i.plain_times(spark.read.parquet(f"{base}/raw")).select("sensor", "cycle", "sample_idx", "value", "ts")
 
 
+@query("stream_quarantine", with_ctes(i.READINGS, select="""
+SELECT "offset", 'hydraulic-' || sensor AS topic, CAST("offset" % 8 AS INT) AS partition,
+       CASE WHEN "offset" % 10 = 9 THEN '{broken' END AS broken_body,
+       CASE WHEN "offset" % 10 = 9 THEN 'no sensor' ELSE 'no value' END AS reason
+FROM readings WHERE "offset" % 10 >= 7"""))
+def stream_quarantine(spark, sf):
+    """What the archive turns away, with the message as it came."""
+    base = scratch_path(spark, "archive")
+    messages = i.messages_of(i.reading_stream(spark, sf))
+    jobs.drain(*jobs.archive_readings(messages, f"{base}/raw", f"{base}/quarantine", f"{base}/checkpoints", "available"))
+    broken = F.when(F.col("offset") % 10 == 9, F.col("body")).alias("broken_body")
+    return spark.read.parquet(f"{base}/quarantine").select("offset", "topic", "partition", broken, "reason")
+
+
 @query("stream_label_archive", with_ctes(i.LABELS, select="SELECT * FROM labelled"))
 def stream_label_archive(spark, sf):
-    source = spark.readStream.schema(i.CUSTOMER_COLUMNS).option("pathGlobFilter", "customer.parquet").parquet(sf)
+    source = i.table_stream(spark, sf, "customer", i.CUSTOMER_COLUMNS)
     sent = i.labels_of(source).select(F.to_json(F.struct("*")).cast("binary").alias("value"))
     data, checkpoint = _paths(spark, "labels")
     jobs.drain(jobs.archive_labels(sent, data, checkpoint, "available"))
@@ -117,7 +147,7 @@ def stream_counts(spark, sf):
 
 
 @query("stream_gauges", with_ctes(i.READINGS, select="""
-SELECT sensor, max_by(value, ts) AS value, count(*) AS sample_count, max(ts) AS last_update
+SELECT sensor, max_by(value, struct_pack(t := ts, o := "offset")) AS value, count(*) AS sample_count, max(ts) AS last_update
 FROM readings GROUP BY sensor"""))
 def stream_gauges(spark, sf):
     data, checkpoint = _paths(spark, "gauges")

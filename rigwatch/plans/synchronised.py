@@ -13,7 +13,7 @@ from rigwatch.plans import inputs as i
 from rigwatch.plans.inputs import r, with_ctes
 from rigwatch.plans.monitoring import rounded
 from rigwatch.plans.registry import query
-from rigwatch.schemas import SENSOR_NAMES
+from rigwatch.schemas import SENSOR_NAMES, SENSORS, TOP_RATE_HZ
 from rigwatch.session import materialise
 
 BUCKET = "time_bucket(INTERVAL {h} HOUR, ts, TIMESTAMP '1970-01-01')"
@@ -33,15 +33,26 @@ def tumbling_stats(spark, sf):
 
 @query("window_samples", with_ctes(i.INDEXED, select=f"""
 SELECT cycle, sensor, {BUCKET.format(h=240)} AS window_start, {BUCKET.format(h=240)} + INTERVAL 240 HOUR AS window_end,
-       CAST(sample_idx // 4 AS INT) AS part,
        string_agg(CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY sample_idx) AS samples
 FROM indexed GROUP BY ALL"""))
 def window_samples(spark, sf):
-    arrays = windows.window_samples(i.indexed_readings(spark, sf), timedelta(hours=240), part_size=4)
+    arrays = windows.window_samples(i.indexed_readings(spark, sf), timedelta(hours=240))
     cents = F.transform("values", lambda v: F.round(v * 100).cast("long").cast("string"))
     return arrays.withColumn("samples", F.array_join(cents, ",")).drop("values")
 
 
+@query("tumbling_record", with_ctes(i.INDEXED, select=f"""
+SELECT cycle, sensor, {BUCKET.format(h=240)} AS window_start, {BUCKET.format(h=240)} + INTERVAL 240 HOUR AS window_end,
+       {r('avg(value)')} AS avg_value, max(value) AS max_value, min(value) AS min_value,
+       {r('stddev_samp(value)')} AS stddev_value, count(value) AS sample_count,
+       string_agg(CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY sample_idx) AS samples
+FROM indexed GROUP BY ALL"""))
+def tumbling_record(spark, sf):
+    record = windows.tumbling_record(i.indexed_readings(spark, sf), timedelta(hours=240))
+    cents = F.transform("values", lambda v: F.round(v * 100).cast("long").cast("string"))
+    return rounded(record.withColumn("samples", F.array_join(cents, ",")).drop("values"), "avg_value", "stddev_value")
+
+
 def _sync(spark: SparkSession, sf: str, **options) -> DataFrame:
     return sync.sync_table(i.rig_readings(spark, sf), i.RIG_WIDTH, **options)
 
@@ -56,8 +67,9 @@ def sync_seconds(spark, sf):
         {f"{s}_count": F.col(f"{s}_count").cast("double") for s in SENSOR_NAMES}), *_SYNC_COLUMNS)
 
 
-def _families(spark: SparkSession, sf: str) -> DataFrame:
-    return features.family_features(_sync(spark, sf, stats=("avg", "min", "max", "std")))
+def _families(spark: SparkSession, sf: str, where: str = "true") -> DataFrame:
+    readings = i.rig_readings(spark, sf).where(where)
+    return features.family_features(sync.sync_table(readings, i.RIG_WIDTH, stats=("avg", "min", "max", "std")))
 
 
 _FAMILY = (i.RIG, i.sync_cte(("avg", "min", "max", "std")), i.family_cte())
@@ -96,17 +108,19 @@ def wide_anomalies(spark, sf):
         "window_start", "cycle", "PS1_avg", "temperature_mean", "pressure_range", "anomaly_type")
 
 
-@query("forward_fill", with_ctes(i.RIG, i.sync_cte(("avg",), ("PS1", "FS1", "TS1"), hours=1), select=f"""
+_SLOW = [s.sensor for s in SENSORS if s.rate_hz < TOP_RATE_HZ]
+
+
+@query("forward_fill", with_ctes(i.RIG, i.sync_cte(("avg",), hours=1), select=f"""
 SELECT window_start, cycle, {r('"PS1_avg"')} AS "PS1_avg",
-       {r('last_value("TS1_avg" IGNORE NULLS) OVER w')} AS "TS1_avg_interpolated",
-       {r('last_value("FS1_avg" IGNORE NULLS) OVER w')} AS "FS1_avg_interpolated"
+       {", ".join(f'{r(f"last_value({chr(34)}{s}_avg{chr(34)} IGNORE NULLS) OVER w")} AS "{s}_avg_interpolated"' for s in _SLOW)}
 FROM sync WINDOW w AS (PARTITION BY cycle ORDER BY window_start
                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""))
 def forward_fill(spark, sf):
-    wide = materialise(
-        sync.sync_table(i.rig_readings(spark, sf), timedelta(hours=1), ("avg",), ["PS1", "FS1", "TS1"]), "seconds")
-    filled = ordered.forward_fill(wide, ["cycle"], "window_start", ["TS1_avg", "FS1_avg"], block=i.BLOCK)
-    names = ["PS1_avg", "TS1_avg_interpolated", "FS1_avg_interpolated"]
+    """All slow sensors filled up to the fast ones."""
+    wide = materialise(sync.sync_table(i.rig_readings(spark, sf), timedelta(hours=1), ("avg",)), "seconds")
+    filled = ordered.forward_fill(wide, ["cycle"], "window_start", [f"{s}_avg" for s in _SLOW], block=i.BLOCK)
+    names = ["PS1_avg", *[f"{s}_avg_interpolated" for s in _SLOW]]
     return rounded(filled, *names).select("window_start", "cycle", *names)
 
 
@@ -155,15 +169,14 @@ def sensor_corr(spark, sf):
 
 @query("outer_join_sensors", with_ctes(i.RIG, *[f"""
 {s.lower()} AS (SELECT {BUCKET.format(h=1)} AS window_start, cycle, avg(value) AS "{s}_avg" FROM readings
-       WHERE sensor = '{s}' GROUP BY ALL)""" for s in ("PS1", "FS1", "TS1")], select=f"""
-SELECT window_start, cycle, {r('"PS1_avg"')} AS "PS1_avg", {r('"FS1_avg"')} AS "FS1_avg", {r('"TS1_avg"')} AS "TS1_avg"
-FROM ps1 FULL JOIN fs1 USING (window_start, cycle) FULL JOIN ts1 USING (window_start, cycle)"""))
+       WHERE sensor = '{s}' GROUP BY ALL)""" for s in SENSOR_NAMES], select="SELECT window_start, cycle, "
+       + ", ".join(f'{r(chr(34) + s + "_avg" + chr(34))} AS "{s}_avg"' for s in SENSOR_NAMES)
+       + f" FROM {SENSOR_NAMES[0].lower()} " + " ".join(f"FULL JOIN {s.lower()} USING (window_start, cycle)" for s in SENSOR_NAMES[1:])))
 def outer_join_sensors(spark, sf):
     each = materialise(windows.hop_stats(i.rig_readings(spark, sf), i.WIDTH, i.WIDTH, ("cycle", "sensor")), "stats")
-    names = ["PS1", "FS1", "TS1"]
     frames = [each.filter(F.col("sensor") == s).select("window_start", "cycle", F.col("avg_value").alias(f"{s}_avg"))
-              for s in names]
-    return rounded(sync.join_sensor_windows(frames), *[f"{s}_avg" for s in names])
+              for s in SENSOR_NAMES]
+    return rounded(sync.join_sensor_windows(frames), *[f"{s}_avg" for s in SENSOR_NAMES])
 
 
 @query("union_pivot", with_ctes(i.RIG, i.sync_cte(("avg",), hours=6), select="SELECT window_start, window_end, cycle, "

@@ -26,21 +26,28 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", "true").option("sep", sep).csv(path)
 
 
-def export_single_csv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """One CSV file, for results known to be small; larger ones are refused."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: use write_csv")
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
-
-
 def expired_partitions(df: DataFrame, date_col: str, keep_from: date) -> DataFrame:
     """Partition dates before the cutoff with their row counts."""
     return df.filter(F.col(date_col) < F.lit(keep_from)).groupBy(date_col).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def apply_retention(spark: SparkSession, source: str, target: str, date_col: str, keep_from: date) -> None:
-    """Rewrite the partitions from the cutoff on into a new path; the source stays untouched."""
-    if source.rstrip("/") == target.rstrip("/"):
-        raise ValueError("retention never rewrites in place")
-    kept = spark.read.parquet(source).filter(F.col(date_col) >= F.lit(keep_from))
-    write_parquet(kept, target, [date_col], mode="errorifexists")
+def apply_retention(spark: SparkSession, path: str, date_col: str, keep_from: date) -> list[str]:
+    """Drop the folders of expired dates, at any depth of partition columns; what is kept isn't touched.
+
+    Returns the folders dropped. The work grows with the number of partition folders, not with the data.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    dropped, level = [], [root]
+    while level:
+        below = [s.getPath() for p in level for s in files.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName()]
+        level = []
+        for folder in below:
+            name, _, value = folder.getName().partition("=")
+            if name != date_col:
+                level.append(folder)
+            elif value < keep_from.isoformat():  # a default partition name sorts after all dates and stays
+                files.delete(folder, True)
+                dropped.append(folder.toString())
+    return dropped

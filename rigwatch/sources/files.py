@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from rigwatch.schemas import CSV_MAPPING, DEVICE_EVENT, LABEL_NAMES, rate_of
 
@@ -68,19 +70,26 @@ def label_fields(lines: DataFrame, line: str = "value") -> DataFrame:
     return lines.withColumn("parts", F.split(F.trim(F.col(line)), r"\s+"))
 
 
+def _code(i: int) -> Column:
+    return F.get("parts", F.lit(i)).try_cast("double").try_cast("int")
+
+
+def well_formed() -> Column:
+    """Whether ``parts`` are as many numbers as there are labels."""
+    numbers = reduce(lambda a, b: a & b, [_code(i).isNotNull() for i in range(len(LABEL_NAMES))])
+    return F.coalesce((F.size("parts") == len(LABEL_NAMES)) & numbers, F.lit(False))
+
+
 def parse_label_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Well-formed label lines (five numbers) as integer codes."""
-    fields = label_fields(lines, line).filter(F.size("parts") == len(LABEL_NAMES))
+    fields = label_fields(lines, line).filter(well_formed())
     others = [c for c in lines.columns if c != line]
-    codes = [
-        F.get("parts", F.lit(i)).try_cast("double").try_cast("int").alias(name)
-        for i, name in enumerate(LABEL_NAMES)
-    ]
-    return fields.select(*others, *codes)
+    return fields.select(*others, *[_code(i).alias(name) for i, name in enumerate(LABEL_NAMES)])
 
 
 def malformed_label_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    return label_fields(lines, line).filter(F.size("parts") != len(LABEL_NAMES)).drop("parts")
+    """Lines with another number of fields, or with a field that is not a number."""
+    return label_fields(lines, line).filter(~well_formed()).drop("parts")
 
 
 def read_label_file(spark: SparkSession, path: str, cycle_offset: int = 0) -> DataFrame:
@@ -105,16 +114,28 @@ def scan_parquet(spark: SparkSession, path: str, filters: Mapping[str, object] |
 
 
 def first_existing(spark: SparkSession, paths: Sequence[str]) -> str:
-    """The first path that exists, primary location first."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """The first path that holds a table, primary location first."""
     for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        if target.getFileSystem(conf).exists(target):
+        try:
+            spark.read.parquet(path)
             return path
+        except AnalysisException:  # no such path, or nothing in it
+            continue
     raise FileNotFoundError(f"none of {list(paths)} exists")
 
 
+def first_with_all(spark: SparkSession, folders: Sequence[str], names: Sequence[str]) -> str:
+    """The first folder in which all the named tables can be read, primary location first."""
+    for folder in folders:
+        try:
+            for name in names:
+                spark.read.parquet(f"{folder}/{name}")
+            return folder
+        except AnalysisException:  # no such path, or nothing in it
+            continue
+    raise FileNotFoundError(f"none of {list(folders)} holds {list(names)}")
+
+
 def scan_with_fallback(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.parquet(first_existing(spark, paths))
 

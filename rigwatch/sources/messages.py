@@ -20,18 +20,20 @@ def unpacked(df: DataFrame, body: Column, *keep: Column | str) -> DataFrame:
     return df.select(F.inline(F.array(body)), *keep)
 
 
-def parse(messages: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+def parse(messages: DataFrame, schema: T.StructType, keep: tuple[Column | str, ...] = ()) -> DataFrame:
     """Decode the message body; fields that do not fit the schema become NULL."""
     return unpacked(messages, F.from_json(F.col("value").cast("string"), schema), *keep)
 
 
-def parse_readings(messages: DataFrame, keep_bus_columns: bool = False) -> DataFrame:
-    """Sensor readings with an event time ``ts`` from the ISO text."""
+def parse_readings(messages: DataFrame, keep_bus_columns: bool = False, keep_body: bool = False) -> DataFrame:
+    """Sensor readings with an event time ``ts`` from the ISO text; ``body`` is the message as it came."""
     kept = [c for c in BUS_COLUMNS if c in messages.columns] if keep_bus_columns else []
     # The bus timestamp would collide with the payload's own field.
     renamed = messages.withColumnRenamed("timestamp", "kafka_timestamp") \
         if "timestamp" in messages.columns else messages
     extra = tuple(kept + (["kafka_timestamp"] if "kafka_timestamp" in renamed.columns else []))
+    if keep_body:
+        extra += (F.col("value").cast("string").alias("body"),)
     return parse(renamed, READING, extra).withColumn("ts", F.try_to_timestamp("timestamp")).drop("timestamp")
 
 

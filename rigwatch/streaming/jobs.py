@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rigwatch.functions.columns import span
-from rigwatch.operators.ordered import latest_by
+from rigwatch.operators.ordered import latest_by, newest_first
 from rigwatch.operators.rules import anomaly_events
 from rigwatch.operators.windows import HOP_SIZE, HOP_SLIDE, hop_stats_direct
 from rigwatch.schemas import ALERT_TOPIC, ANALYTICS_TOPIC
-from rigwatch.sources.messages import documents, envelope, parse_labels, parse_readings, split_valid
+from rigwatch.sources.messages import BUS_COLUMNS, documents, envelope, parse_labels, parse_readings, split_valid
 
 WATERMARK = timedelta(seconds=10)
 LABEL_TRIGGER = "5 seconds"
@@ -41,9 +41,9 @@ def running_counts(readings: DataFrame) -> DataFrame:
 
 
 def running_gauges(readings: DataFrame) -> DataFrame:
-    """Current value of each sensor beside its running count."""
+    """Current value of each sensor, of equal times the one with the largest bus offset, beside its running count."""
     return readings.groupBy("sensor").agg(
-        F.max_by("value", "ts").alias("value"), F.count(F.lit(1)).alias("sample_count"), F.max("ts").alias("last_update"))
+        F.max_by("value", newest_first("ts", "offset")).alias("value"), F.count(F.lit(1)).alias("sample_count"), F.max("ts").alias("last_update"))
 
 
 def publish_gauges(readings: DataFrame, path: str, checkpoint: str, trigger: str | None = "2 seconds") -> StreamingQuery:
@@ -68,16 +68,13 @@ def to_parquet(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence
     return _with_trigger(writer, trigger).start()
 
 
-def to_time_partitions(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
-                       files_per_hour: int = 4) -> StreamingQuery:
+def to_time_partitions(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Archive partitioned by date and hour; finer folders would hold one tiny file each.
 
-    The rows of an hour go to at most ``files_per_hour`` tasks, which bounds
-    the files per folder and batch without sending a busy hour to one task.
+    Rows are dealt to all shuffle partitions by a hash of the whole row, so a busy hour is written by all tasks.
     """
     dated = df.withColumn("date", F.to_date("window_start")).withColumn("hour", F.hour("window_start"))
-    part = F.pmod(F.hash(*df.columns), F.lit(files_per_hour))
-    dated = dated.repartition("date", "hour", part)
+    dated = dated.repartition(*df.columns)
     return to_parquet(dated, path, checkpoint, ["date", "hour"], trigger)
 
 
@@ -129,7 +126,8 @@ def archive_readings(messages: DataFrame, path: str, quarantine: str, checkpoint
     A "date" among the partition columns is taken from the event time; long
     archives want it, so that time ranges and retention prune folders too.
     """
-    valid, rejected = split_valid(parse_readings(messages))
+    valid, rejected = split_valid(parse_readings(messages, keep_bus_columns=True, keep_body=True))
+    valid = valid.drop("body", *BUS_COLUMNS)
     if "date" in partition_by:
         valid = valid.withColumn("date", F.to_date("ts"))
     return [to_parquet(valid, path, f"{checkpoints}/raw", partition_by, trigger),
@@ -146,11 +144,15 @@ def alerts(stats: DataFrame) -> DataFrame:
     return anomaly_events(stats)
 
 
-def run(spark: SparkSession, servers: str, archive: str, checkpoints: str) -> list[StreamingQuery]:
-    """The main job: statistics and alerts to the bus, readings and labels to the archive."""
+def run(spark: SparkSession, servers: str, archive: str, checkpoints: str,
+        max_per_trigger: int = 5_000_000) -> list[StreamingQuery]:
+    """The main job: statistics and alerts to the bus, readings and labels to the archive.
+
+    ``max_per_trigger`` bounds a micro-batch; what is left of a backlog follows in the next ones.
+    """
     from rigwatch.sources.bus import read_labels, read_sensors
 
-    messages = read_sensors(spark, servers)
+    messages = read_sensors(spark, servers, max_per_trigger=max_per_trigger)
     valid, _ = split_valid(parse_readings(messages))
     stats = hop_stats_stream(valid)
     return [

@@ -24,10 +24,10 @@ def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 class ProgressRecorder(StreamingQueryListener):
-    """Keeps the newest reports of all queries of a session."""
+    """Collects the reports of all queries of a session; ``save`` moves them to a table."""
 
-    def __init__(self, keep: int = 1000) -> None:
-        self._rows: deque = deque(maxlen=keep)
+    def __init__(self) -> None:
+        self._rows: deque = deque()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -45,3 +45,10 @@ class ProgressRecorder(StreamingQueryListener):
 
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self._rows), SCHEMA)
+
+    def save(self, spark: SparkSession, path: str) -> int:
+        """Append the reports held to the table at ``path`` and let go of them; returns how many."""
+        rows = [self._rows.popleft() for _ in range(len(self._rows))]
+        if rows:
+            spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(path)
+        return len(rows)

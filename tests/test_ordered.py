@@ -45,12 +45,14 @@ def test_rate_and_rolling_mean(spark, block):
     np.testing.assert_allclose(rolled["rolled"].astype(float), want)
 
 
-@pytest.mark.parametrize("max_rows", [1, 1_000_000])
-@pytest.mark.parametrize("block", [timedelta(hours=3), timedelta(days=400)])
-def test_index(spark, block, max_rows):
-    """By time blocks, and by ranges where a block is too large for one task."""
+def test_index_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, T0.to_pydatetime(), 1.0), (None, None, 2.0), (1, None, 3.0)], "key int, ts timestamp_ntz, w double")
+    assert {r.w: r.sample_idx for r in ordered.with_index(df, ["key"], "ts", "w").collect()} == {2.0: 0, 1.0: 1, 3.0: 0}
+
+
+def test_index(spark):
     df, pdf = make(spark)
-    got = back(ordered.with_index(df, ["key"], "ts", "w", block, max_block_rows=max_rows))
+    got = back(ordered.with_index(df, ["key"], "ts", "w"))
     assert (got["sample_idx"] == pdf.groupby("key").cumcount()).all()
 
 

@@ -4,10 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from rigwatch.plans import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
 
 
 def plan(df):
@@ -53,3 +52,18 @@ def test_partition_filter_reaches_the_archive(spark):
 def test_outliers_do_not_shuffle_readings(spark):
     text = plan(QUERIES["zscore_outliers"](spark, SF_DIR))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_days_reach_the_scan(spark):
+    text = plan(QUERIES["cycle_sql"](spark, SF_DIR))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,[^\]]*LessThan\(ts,", text)
+
+
+def test_latest_value_reads_once(spark):
+    text = plan(QUERIES["latest_value"](spark, SF_DIR))
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_outer_join_is_one_shuffle(spark):
+    text = plan(QUERIES["outer_join_sensors"](spark, SF_DIR))
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1

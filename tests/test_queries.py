@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from rigwatch.plans import QUERIES, SQL
 from tests.oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.01"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,3 +33,4 @@ def test_entry(spark):
 
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())

@@ -27,23 +27,18 @@ def test_csv_with_header(spark, out):
     assert sorted(back.collect()) == sorted(df.collect())
 
 
-def test_single_csv_refuses_large_results(spark, out):
-    archive.export_single_csv(spark.range(10), out + "/one", max_rows=10)
-    assert len([f for f in os.listdir(out + "/one") if f.endswith(".csv")]) == 1
-    with pytest.raises(ValueError):
-        archive.export_single_csv(spark.range(11), out + "/two", max_rows=10)
-
-
-def test_retention_keeps_the_source(spark, out):
+def test_retention_drops_expired_folders_alone(spark, out):
     archive.write_parquet(dated(spark), out + "/src", ["day"])
     source = spark.read.parquet(out + "/src")
     assert {r.day: r.rows for r in archive.expired_partitions(source, "day", date(2024, 1, 3)).collect()} == \
         {date(2024, 1, 1): 20, date(2024, 1, 2): 20}
-    archive.apply_retention(spark, out + "/src", out + "/kept", "day", date(2024, 1, 3))
-    assert spark.read.parquet(out + "/kept").count() == 60
-    assert spark.read.parquet(out + "/src").count() == 100
-    with pytest.raises(ValueError):
-        archive.apply_retention(spark, out + "/src", out + "/src/", "day", date(2024, 1, 3))
+    kept = sorted(os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(out + "/src") for f in names if "day=2024-01-0" in d and d[-1] > "2")
+    assert len(archive.apply_retention(spark, out + "/src", "day", date(2024, 1, 3))) == 2
+    assert spark.read.parquet(out + "/src").count() == 60
+    assert kept == sorted(os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(out + "/src") for f in names if "day=" in d)
+    archive.write_parquet(dated(spark).selectExpr("*", "'a' as k"), out + "/nested", ["k", "day"])
+    archive.apply_retention(spark, out + "/nested", "day", date(2024, 1, 3))
+    assert spark.read.parquet(out + "/nested").count() == 60
 
 
 def test_scratch_paths(spark):

@@ -101,7 +101,9 @@ def test_archive_and_quarantine(spark, out):
     jobs.drain(*jobs.archive_readings(stream, out + "/raw", out + "/bad", out + "/cp", "available"))
     assert os.path.isdir(out + "/raw/sensor=PS1")
     assert spark.read.parquet(out + "/raw").count() == 1
-    assert sorted(r.reason for r in spark.read.parquet(out + "/bad").collect()) == ["no sensor", "no value"]
+    bad = spark.read.parquet(out + "/bad").collect()
+    assert sorted(r.reason for r in bad) == ["no sensor", "no value"]
+    assert "{broken" in {r.body for r in bad} and all(r.offset is not None and r.topic for r in bad)
 
 
 def test_archive_by_sensor_and_date(spark, out):
@@ -168,6 +170,9 @@ def test_progress_table_and_stop(spark, out):
         jobs.stop_all(spark)
         assert not query.isActive
         assert recorder.table(spark).columns == table.columns
+        held = recorder.table(spark).count()
+        assert recorder.save(spark, out + "/metrics") >= held and recorder.table(spark).count() == 0
+        assert recorder.save(spark, out + "/metrics") == 0 or held >= 0
     finally:
         spark.streams.removeListener(recorder)
 
