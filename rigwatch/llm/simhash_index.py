@@ -17,15 +17,16 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType
 
 from rigwatch.llm.components import components
 from rigwatch.session import materialise
@@ -42,25 +43,40 @@ SEARCHED = 2_000_000 # queries times points of a node at a time
 FULL_NODE = 512    # fingerprints below one upper node; fuller ones are refined
 FAN = 8
 CHUNK = 1 << 15    # shingles hashed at a time
+COPY_SHINGLE = 5
+FEW_TEXTS = 4000   # looked through for common shingles
+COMMON = 8         # of those texts with a shingle, or more
+MARK_BITS = 24
+SKETCH = 64        # counts of a set
+TURNS = 4          # of comparing with a few members of a node
+FEW = 64           # pairs a row that are compared at once
+MANY = 256         # pairs that one copy of a text serves
 ROWS = 8192        # rows searched at a time, whole nodes
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """Majority of the bits of the shingles' hashes, as a signed 64-bit integer."""
+def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of a text, in chunks; a shorter text is one shingle."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     k = min(shingle, len(words))
     starts, ends = starts[:len(words) - k + 1].tolist(), ends[k - 1:].tolist()
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    digest = xxhash.xxh64_intdigest
     for i in range(0, len(starts), CHUNK):
-        hashes = np.array([digest(line[a:b], SEED) for a, b in zip(starts[i:i + CHUNK], ends[i:i + CHUNK])], np.uint64)
+        yield np.array([digest(line[a:b], SEED) for a, b in zip(starts[i:i + CHUNK], ends[i:i + CHUNK])], np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """Majority of the bits of the shingles' hashes, as a signed 64-bit integer."""
+    ones, n = np.zeros(64, np.int64), 0
+    for hashes in _hashes(text, shingle):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(starts), bitorder="little").view(np.int64)[0])
+        n += len(hashes)
+    return int(np.packbits(ones * 2 > n, bitorder="little").view(np.int64)[0])
 
 
 @F.pandas_udf(LongType())
@@ -289,34 +305,201 @@ def word_fingerprints(text: str | None) -> tuple[int, int, int]:
     return out[0], out[1], total
 
 
-@F.pandas_udf(StructType([StructField(n, LongType()) for n in ("shingles", "words_a", "words_b", "size")]))
-def _prints(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for text in texts:
-        yield pd.DataFrame([(fingerprint(t), *word_fingerprints(t)) for t in text],
-                           columns=["shingles", "words_a", "words_b", "size"], dtype="int64")
+# Documents with one of each group of near copies ---------------------------------------------------
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """The different five-word shingles of a text, as ascending 64-bit hashes."""
+    parts = list(_hashes(text, COPY_SHINGLE))
+    return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+
+
+def near_copies(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets of shingles have a Jaccard similarity of 0.8 or more."""
+    small, large = sorted((len(a), len(b)))
+    if small * 5 < large * 4:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both * 5 >= (len(a) + len(b) - both) * 4
+
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Range of each shingle's hash, once a text."""
+    for batch in batches:
+        for text in batch.column(0):
+            yield pa.record_batch([pa.array(np.unique(shingle_set(text.as_py()) >> np.uint64(64 - MARK_BITS)).astype(np.int64))], ["mark"])
+
+
+def _common(texts: DataFrame) -> bytes:
+    """Marks of the ranges of hashes with shingles that many texts have, from a few texts: it's for speed only."""
+    few = texts.where(F.rand(SEED) < F.lit(FEW_TEXTS / max(1, texts.count())))
+    often = few.mapInArrow(_shingles, "mark long").groupBy("mark").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COMMON)
+    marks = np.zeros(1 << MARK_BITS, np.uint8)  # a fixed size, however many there are
+    marks[[r.mark for r in often.toLocalIterator()]] = 1
+    return np.packbits(marks).tobytes()
+
+
+def _described(common: bytes):
+    """``doc_id, id, set, n, sketch, prefix`` of ``doc_id, id, text``.
+
+    ``prefix`` has a set's first shingles, one more than may be missing: sets with a similarity of 0.8 share
+    one of those, in whatever order that is the same for all sets. Shingles in ``common`` ranges come last,
+    so that a common passage makes a node only for texts that are little else. ``sketch`` counts the shingles
+    by the low bits of their hashes.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = np.unpackbits(np.frombuffer(common, np.uint8))
+        for batch in batches:
+            names, sizes, sketches, prefixes = [], [], [], []
+            for text in batch.column(2):
+                s = shingle_set(text.as_py())
+                n = len(s)
+                names.append(xxhash.xxh128_hexdigest(s.tobytes()))
+                sizes.append(n)
+                sketches.append(np.minimum(np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes())
+                order = np.argsort(last[s >> np.uint64(64 - MARK_BITS)], kind="stable")
+                prefixes.append(s[order[:n - (4 * n + 4) // 5 + 1 if n else 0]].view(np.int64))
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(sizes, pa.int64()),
+                                   pa.array(sketches, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+                                  ["doc_id", "id", "set", "n", "sketch", "prefix"])
+    return run
+
+
+def _alike(n: str, m: str) -> Column:
+    return F.least(n, m) * 5 >= F.greatest(n, m) * 4
+
+
+def _shared(points: DataFrame) -> DataFrame:
+    """``key, id, n, pos`` of the prefix shingles that several points have."""
+    keys = materialise(points.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "copy-keys")
+    keyed = points.select("id", "n", F.posexplode("prefix").alias("pos", "key")).select("key", "id", "n", F.col("pos").cast("long").alias("pos"))
+    return materialise(keyed.join(keys, "key", "left_semi"), "copy-nodes")
+
+
+def _sketches(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+
+
+def _node_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs ``a, b`` of each node that may be near copies, from ``key, i, j, block, id, n, pos, root, sketch`` sorted by node."""
+    def pairs(key, i, j, block, ids, n, pos, root, sketch):
+        node = np.cumsum(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        at, step = np.arange(len(node)), 0
+        while len(at):
+            step += 1
+            at = at[at + step < len(node)]
+            at = at[node[at] == node[at + step]]
+            x, y = at, at + step
+            once = (i[x] == j[x]) | (block[x] != block[y])  # two blocks: only pairs across
+            most = np.minimum(n[x] - pos[x], n[y] - pos[y])  # shared from the first shared shingle on
+            ok = once & (root[x] != root[y]) & (5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y])) & (9 * most >= 4 * (n[x] + n[y]))
+            x, y = x[ok], y[ok]
+            ok = 9 * np.abs(sketch[x] - sketch[y]).sum(axis=1) <= n[x] + n[y]
+            if ok.any():
+                yield pa.record_batch([pa.array(np.minimum(ids[x[ok]], ids[y[ok]])), pa.array(np.maximum(ids[x[ok]], ids[y[ok]]))], ["a", "b"])
+    held = [np.empty(0, np.int64)] * 8 + [np.empty((0, SKETCH), np.int16)]
+    for batch in batches:
+        columns = [c.to_numpy() for c in batch.columns[:8]] + [_sketches(batch, "sketch")]
+        rows = [np.concatenate([h, c]) for h, c in zip(held, columns)]
+        if not len(rows[0]):
+            continue
+        last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1]) & (rows[2] == rows[2][-1])  # the last node may go on
+        done = len(last) - int(last.sum())
+        held = [c[done:] for c in rows]
+        if done:
+            yield from pairs(*[c[:done] for c in rows])
+    if len(held[0]):
+        yield from pairs(*held)
+
+
+def _all_pairs(rest: DataFrame, points: DataFrame) -> DataFrame:
+    """``a, b``: all pairs of the nodes' rows with different roots; wide nodes are cut to blocks, a task has two of them."""
+    blocks = F.ceil(F.col("c") / F.lit(WIDE_NODE))
+    rest = rest.select("key", "c", "id", "n", "pos", "root").join(points.select("id", "sketch"), "id")
+    rows = rest.select("key", "id", "n", "pos", "root", "sketch", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).alias("block"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n", "pos", "root", "sketch")
+    return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(_node_pairs, "a long, b long").distinct())
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sets = lru_cache(64)(lambda i, text: shingle_set(text))
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")]
+        ok = [near_copies(sets(a, x), sets(b, y)) for a, b, x, y in zip(*cols)]
+        yield pa.record_batch([batch.column("a").filter(pa.array(ok, pa.bool_())), batch.column("b").filter(pa.array(ok, pa.bool_()))], ["a", "b"])
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches leave a similarity of 0.8 possible: their differences are differing shingles."""
+    for batch in batches:
+        if batch.num_rows:
+            x, y = (_sketches(batch, c) for c in ("sketch_a", "sketch_b"))
+            n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            ok = pa.array(9 * np.abs(x - y).sum(axis=1) <= n)
+            yield pa.record_batch([batch.column("a").filter(ok), batch.column("b").filter(ok)], ["a", "b"])
+
+
+def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose texts are near copies, by all of their shingles."""
+    for end in ("a", "b"):
+        pairs = pairs.join(points.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}")), end)
+    rows = pairs = materialise(pairs.mapInArrow(_sketched, "a long, b long"), "copy-pairs")
+    ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "copy-ids")
+    texts = materialise(texts.join(F.broadcast(ids), "id", "left_semi"), "copy-texts")  # ids of the few that may have copies
+    for end in ("a", "b"):
+        parts = materialise(pairs.groupBy(end).agg(F.ceil(F.count(F.lit(1)) / F.lit(MANY)).alias("parts")), "copy-ends")
+        held = texts.join(parts, texts.id == F.col(end)).select(
+            end, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("text").alias(f"text_{end}"))
+        rows = rows.join(parts, end).withColumn("part", F.pmod(F.xxhash64("a", "b"), F.col("parts"))).drop("parts")
+        rows = rows.join(held, [end, "part"]).drop("part")
+    return materialise(rows.select("a", "b", "text_a", "text_b").mapInArrow(_compare, "a long, b long"), "copy-links")
+
+
+def copy_links(points: DataFrame, texts: DataFrame) -> DataFrame:
+    """``a, b``: ids that link all points with a similarity of 0.8 or more, directly or through others.
+
+    First, texts of a node are compared with a few members of it only, and what that links needs no further
+    comparing; then all pairs of a node that are still apart. ``points`` has ``id, n, sketch, prefix``, ``texts``
+    ``id, text``; both are read several times.
+    """
+    nodes = _shared(points)
+    found = nodes.sparkSession.createDataFrame([], "a long, b long")
+    rest = nodes.withColumn("root", F.col("id"))
+    for turn in range(TURNS + 1):
+        star = F.min(F.struct(F.xxhash64("id", F.lit(turn), F.col("key").bitwiseAND(3)), "id", "n", "root")).alias("star")
+        mixed = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"), star).where("lo <> hi")
+        mixed = materialise(mixed.select("key", "c", "star"), "copy-mixed")
+        rest = materialise(rest.join(mixed, "key"), "copy-rest")
+        pairs = mixed.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
+        if not pairs.rows or pairs.pairs <= FEW * pairs.rows or turn == TURNS:
+            break
+        apart = rest.where((F.col("root") != F.col("star.root")) & _alike("n", "star.n"))
+        new = _verified(apart.select(F.col("star.id").alias("a"), F.col("id").alias("b")).distinct(), points, texts)
+        rest = rest.drop("c", "star", "root")
+        found = found.union(new)
+        roots = components(found)
+        rest = rest.join(roots, rest.id == roots.node, "left").select(*nodes.columns, F.coalesce("root", "id").alias("root"))
+    return found.union(_verified(_all_pairs(rest, points), points, texts))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` less all but one document of each group: the smallest id stays, of equal ids any one.
 
-    A changed word moves only its own share of a fingerprint of words, so near copies are within a few bits
-    there, while it takes ``SHINGLE`` shingles with it. Hence documents are linked if their shingle fingerprints
-    are within ``RADIUS`` bits; or if their fingerprints of words, under either of two seeds, are within
-    ``WORD_RADIUS`` bits, their shingle fingerprints confirm it within ``CONFIRM_RADIUS`` bits (unrelated texts
-    differ in about 32) and their lengths are alike.
+    Documents are linked if the Jaccard similarity of their sets of five-word shingles is 0.8 or more. Every
+    such pair shares one of its sets' first shingles (see ``_described``), so none is missed, and every link is
+    verified on whole sets. Shingles are known by 64-bit hashes, equal sets by 128-bit ones. A text of fewer
+    than five words is one shingle; texts without words are one group.
     """
-    rows = materialise(docs.withColumn("_sim", _prints(F.col(text))).withColumn("_sim_row", F.monotonically_increasing_id()), "sim-docs")
-    slim = rows.select(F.col(doc_id).alias("doc_id"), "_sim_row", "_sim.*")
-    kind = ["shingles", "words_a", "words_b", "size"]
-    points = materialise(slim.groupBy(*kind).agg(F.min("_sim_row").alias("id")), "sim-points")
-    first = points.groupBy("shingles").agg(F.min("id").alias("first"))
-    equal = points.join(first, "shingles").select(F.col("id").alias("a"), F.col("first").alias("b")).where("a <> b")
-    near = links(first.select(F.col("first").alias("id"), F.col("shingles").alias("fp")))
-    for words in ("words_a", "words_b"):
-        wide = points.select("id", F.col(words).alias("fp"), F.col("shingles").alias("other"), "size")
-        near = near.union(links(wide, WORD_RADIUS, CONFIRM_RADIUS))
-    roots = components(near.union(equal))
-    rooted = points.join(roots, points.id == roots.node, "left").select(*kind, F.coalesce("root", "id").alias("root"))
-    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "_sim_row")
-    kept = slim.join(rooted, kind).groupBy("root").agg(F.min(rank).alias("k")).select(F.col("k._sim_row").alias("_sim_kept"))
+    rows = materialise(docs.withColumn("_sim_row", F.monotonically_increasing_id()), "sim-docs")
+    texts = rows.select(F.col("_sim_row").alias("id"), F.col(text).alias("text"))
+    kinds = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id long, set string, n long, sketch binary, prefix array<long>"
+    slim = rows.select(F.col(doc_id).alias("doc_id"), F.col("_sim_row").alias("id"), F.col(text).alias("text"))
+    slim = materialise(slim.mapInArrow(_described(_common(texts.select("text"))), kinds), "sim-sets")
+    first = materialise(slim.groupBy("set").agg(F.min("id").alias("id")), "sim-points")
+    points = materialise(slim.select("id", "n", "sketch", "prefix").join(first.select("id"), "id", "left_semi"), "sim-first")
+    roots = components(copy_links(points, texts))
+    rooted = first.join(roots, first.id == roots.node, "left").select("set", F.coalesce("root", "id").alias("root"))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
+    kept = slim.select("doc_id", "id", "set").join(rooted, "set").groupBy("root").agg(F.min(rank).alias("k")).select(F.col("k.id").alias("_sim_kept"))
     return rows.join(kept, F.col("_sim_row") == F.col("_sim_kept"), "left_semi").select(*docs.columns)

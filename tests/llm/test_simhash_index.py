@@ -128,3 +128,54 @@ def test_one_of_each(spark):
     docs = odd_docs(spark)
     kept = simhash_index.one_of_each(docs).collect()
     assert sorted(r.doc_id or -1 for r in kept) == [-1, 1, 2, 5, 6, 8, 9, 10] and set(kept[0].asDict()) == set(docs.columns)
+
+
+def sets_of(texts):
+    out = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        out.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+    return out
+
+
+def similar_groups(texts):
+    """Smallest place of every text's group, by the similarity of all pairs of texts, and the number of similar pairs."""
+    sets, label, pairs = sets_of(texts), list(range(len(texts))), 0
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                x, y = root(i), root(j)
+                label[max(x, y)], pairs = min(x, y), pairs + 1
+    return [root(i) for i in range(len(texts))], pairs
+
+
+@pytest.mark.parametrize("wide, common, few", [(8192, 1000, 4), (4, 1000, 1000), (7, 3, 0), (8192, 5, 1)])
+def test_groups_are_those_of_exact_similarity(spark, monkeypatch, wide, common, few):
+    for name, value in (("WIDE_NODE", wide), ("COMMON", common), ("FEW", few), ("MANY", 3)):
+        monkeypatch.setattr(simhash_index, name, value)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    passage, texts = [word() for _ in range(60)], []
+    for size in [5, 6, 9, 14, 40, 120, 300] * 4:
+        base = [word() for _ in range(size)] + (passage if rng.random() < 0.5 else [])
+        texts.append(" ".join(base))
+        for share in (0.03, 0.08, 0.15, 0.2, 0.22, 0.25, 0.3):
+            cut = int(len(base) * share)
+            texts += [" ".join(base + [word() for _ in range(cut)]), " ".join(base[cut:]), edited(rng, base, int(len(base) * share / 5))]
+    rng.shuffle(texts)
+    want, pairs = similar_groups(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    kept = sorted(r.doc_id for r in simhash_index.one_of_each(df).collect())
+    assert pairs > 500 and kept == sorted(set(want))
+
+
+def test_copies_found_are_those_of_exact_search_on_tables(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+    want, _ = similar_groups([r.text for r in rows])
+    kept = [r.doc_id for r in simhash_index.one_of_each(spark.createDataFrame(rows)).collect()]
+    assert sorted(kept) == sorted(rows[i].doc_id for i in set(want))
