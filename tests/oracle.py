@@ -27,7 +27,7 @@ def _cell(value) -> str:
         value = value.tolist()
     if isinstance(value, (list, tuple)):
         return "[" + ",".join(_cell(v) for v in value) + "]"
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return "NULL"
     if isinstance(value, (bool, np.bool_)):
         return str(bool(value))
