@@ -22,13 +22,14 @@ from rigwatch.session import materialise
 DAY = timedelta(days=1)
 
 
-def with_index(df: DataFrame, keys: Sequence[str], time_col: str, tie: str, name: str = "sample_idx") -> DataFrame:
+def with_index(df: DataFrame, keys: Sequence[str], time_col: str, tie: str, name: str = "sample_idx",
+               kind: str = "int") -> DataFrame:
     """Add the 0-based position of each row inside its key group, by time then ``tie``.
 
     Rows are range-partitioned on keys, time and ``tie``, which splits a group of any size evenly,
     and written once, so counting and numbering see the same ranges. Rows are numbered inside their
     range; the counts of earlier ranges, a few rows per range, are added. Rows with NULL keys or
-    times are numbered like others, NULL first.
+    times are numbered like others, NULL first. A position that does not fit ``kind`` is an error.
     """
     ranged = materialise(df.repartitionByRange(*keys, time_col, tie).withColumn("_range", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
@@ -39,27 +40,32 @@ def with_index(df: DataFrame, keys: Sequence[str], time_col: str, tie: str, name
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.col("_range") == F.col("_own"))
     return (
         ranged.withColumn("_place", F.row_number().over(inside) - 1).join(offsets, on)
-        .withColumn(name, (F.col("_offset") + F.col("_place")).try_cast("int"))
+        .withColumn(name, (F.col("_offset") + F.col("_place")).cast(kind))
         .drop("_range", "_own", "_offset", "_place", *[f"_{k}" for k in keys])
     )
 
 
 def forward_fill(df: DataFrame, keys: Sequence[str], time_col: str, columns: Sequence[str],
                  suffix: str = "_interpolated", block: timedelta = DAY) -> DataFrame:
-    """Last non-NULL value at or before each row, per column."""
+    """Last non-NULL value at or before each row, per column.
+
+    NULL keys make a group like others; rows without a time keep their own values.
+    """
     blocked = df.withColumn("_block", block_of(time_col, block))
     last_in_block = blocked.groupBy(*keys, "_block").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(time_col))).alias(f"_last_{c}") for c in columns])
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = last_in_block.select(
-        *keys, "_block",
+        *[F.col(k).alias(f"_{k}") for k in [*keys, "_block"]],
         *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns])
     inside = (Window.partitionBy(*keys, "_block").orderBy(time_col)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = blocked.join(carried, [*keys, "_block"]).withColumns({
-        f"{c}{suffix}": F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_carry_{c}"))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in [*keys, "_block"]])
+    filled = blocked.join(carried, on).withColumns({
+        f"{c}{suffix}": F.when(F.col(time_col).isNull(), F.col(c))
+        .otherwise(F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_carry_{c}")))
         for c in columns})
-    return filled.drop("_block", *[f"_carry_{c}" for c in columns])
+    return filled.drop("_block", "__block", *[f"_{k}" for k in keys], *[f"_carry_{c}" for c in columns])
 
 
 def over_previous_rows(df: DataFrame, keys: Sequence[str], time_col: str, columns: Sequence[str],

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rigwatch.functions.columns import span
+from rigwatch.operators.ordered import DAY, forward_fill, newest_first
 from rigwatch.operators.windows import SYNC_WIDTH
-from rigwatch.schemas import SENSOR_NAMES, TOP_RATE_HZ, rate_of
+from rigwatch.schemas import SENSOR_NAMES, SENSORS, TOP_RATE_HZ, rate_of
 
 STATS = ("avg", "min", "max", "std", "count")
 
@@ -69,6 +70,75 @@ def join_sensor_windows(frames: Sequence[DataFrame], on: Sequence[str] = ("windo
     return together.groupBy(*on).agg(*[F.max(c).alias(c) for c in columns])
 
 
+def join_sensor_streams(readings: DataFrame, width: timedelta = SYNC_WIDTH, sensors: Sequence[str] = SENSOR_NAMES,
+                        time_col: str = "ts", keys: Sequence[str] = ("cycle",)) -> DataFrame:
+    """Window means of separate streams, one per sampling rate, in full outer stream-stream joins on (window, keys).
+
+    ``readings`` carry a watermark: state holds the windows that are still open, and a window without a partner is given
+    out when the watermark has passed it. Means are made before the joins, so a join sees a row per window and key.
+    """
+    rates = {s.sensor: s.rate_hz for s in SENSORS}
+    window = F.window(time_col, span(width))
+    frames = []
+    for rate in sorted({rates[s] for s in sensors}, reverse=True):
+        names = [s for s in sensors if rates[s] == rate]
+        cells = [F.expr(f"avg(CASE WHEN sensor = '{s}' THEN value END) AS {s}_avg") for s in names]
+        frames.append(readings.filter(F.col("sensor").isin(names)).groupBy(window, *keys).agg(*cells))
+    joined = reduce(lambda a, b: a.join(b, ["window", *keys], "full_outer"), frames)
+    return joined.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys,
+                         *[f"{s}_avg" for s in sensors])
+
+
+def sync_record(readings: DataFrame, width: timedelta = SYNC_WIDTH, sensors: Sequence[str] = SENSOR_NAMES,
+                time_col: str = "ts", keys: Sequence[str] = ("cycle",)) -> DataFrame:
+    """One wide row per time window and key: the samples of every sensor as an ordered array beside its statistics.
+
+    One shuffle: a group's samples are collected once, sorted by sensor and index, and laid side by side by array
+    expressions. A group holds what all sensors send in one window. ``second_in_cycle`` is that of the earliest
+    sample; a sensor without samples has an empty array, NULL statistics and count 0; the spread of one sample is NULL.
+    """
+    second = F.floor(F.col("sample_idx") / rate_of("sensor")).cast("int")
+    grouped = (
+        readings.filter(F.col("sensor").isin(list(sensors)))
+        .groupBy(F.window(time_col, span(width)).alias("window"), *keys)
+        .agg(F.min(second).alias("second_in_cycle"),
+             F.sort_array(F.collect_list(F.struct("sensor", "sample_idx", "value"))).alias("_samples"))
+    )
+    cells = grouped.withColumns({
+        f"{s}_values": F.expr(f"transform(filter(_samples, x -> x.sensor = '{s}'), x -> x.value)") for s in sensors})
+    stats = {}
+    for s in sensors:
+        stats |= {
+            f"{s}_avg": F.expr(f"aggregate({s}_values, 0D, (a, x) -> a + x) / nullif(size({s}_values), 0)"),
+            f"{s}_min": F.array_min(f"{s}_values"), f"{s}_max": F.array_max(f"{s}_values"),
+            f"{s}_count": F.size(f"{s}_values"),
+        }
+    spreads = {f"{s}_std": F.expr(
+        f"CASE WHEN {s}_count > 1 THEN sqrt(aggregate({s}_values, 0D, (a, x) -> a + pow(x - {s}_avg, 2)) / ({s}_count - 1)) END")
+        for s in sensors}
+    return cells.withColumns(stats).withColumns(spreads).select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "second_in_cycle",
+        *[f"{s}_{part}" for s in sensors for part in ("values", *STATS)])
+
+
+def aligned(readings: DataFrame, base: str, others: Sequence[str], keys: Sequence[str] = ("cycle",), time_col: str = "ts",
+            tie: str = "offset", block: timedelta = DAY) -> DataFrame:
+    """Every reading of ``base`` beside the last value of each other sensor at or before its time.
+
+    Of readings of one sensor at one time the one with the largest ``tie`` counts. All series are laid into one table with
+    a row per key and time, in which values are carried forward from time block to time block; no range join.
+    """
+    carried = [f"_{s}" for s in others]
+    newest = newest_first(time_col, tie)
+    points = readings.filter(F.col("sensor").isin([base, *others])).groupBy(*keys, time_col).agg(
+        *[F.max_by("value", F.when(F.col("sensor") == s, newest)).alias(c) for s, c in zip(others, carried)])
+    filled = forward_fill(points, keys, time_col, carried, "_at", block).select(
+        *[F.col(k).alias(f"_key_{k}") for k in [*keys, time_col]], *[F.col(f"{c}_at").alias(s) for s, c in zip(others, carried)])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in [*keys, time_col]])
+    return (readings.filter(F.col("sensor") == base).withColumnRenamed("value", base).join(filled, on)
+            .select(*keys, time_col, tie, base, *others))
+
+
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of separate sources in one frame, by column name."""
     return reduce(lambda left, right: left.unionByName(right), frames)

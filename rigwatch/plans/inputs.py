@@ -47,8 +47,13 @@ def rig_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     A synchronised record needs all sensors in the same window and cycle; the
     user-based cycles of :func:`readings` are too thin for that.
     """
+    return by_days(readings(spark, sf_dir))
+
+
+def by_days(rows: DataFrame) -> DataFrame:
+    """Readings with their cycle taken from the time."""
     day = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(EPOCH_MICROS)) / (CYCLE_DAYS * 86_400_000_000))
-    return readings(spark, sf_dir).withColumn("cycle", day.cast("int"))
+    return rows.withColumn("cycle", day.cast("int"))
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,9 +12,9 @@ from rigwatch.plans import inputs as i
 from rigwatch.plans.inputs import r, with_ctes
 from rigwatch.plans.monitoring import _HOP_SQL, DOUBLES, rounded
 from rigwatch.plans.registry import query
-from rigwatch.schemas import LABEL_NAMES, SENSOR_NAMES
+from rigwatch.schemas import LABEL_NAMES, SENSOR_NAMES, SENSORS, TOP_RATE_HZ
 from rigwatch.session import scratch_path
-from rigwatch.streaming import jobs
+from rigwatch.streaming import jobs, tables, transitions
 
 DELAY = timedelta(seconds=10)
 # Append mode emits a window once the watermark has passed its end.
@@ -168,3 +168,97 @@ SELECT sensor, {r('avg(health)')} AS health FROM scores WHERE {_CLOSED} GROUP BY
 def stream_health(spark, sf):
     scores = _appended(spark, rules.sensor_health(_stats(spark, sf)), "health")
     return scores.groupBy("sensor").agg(fixed(F.avg("health")).alias("health"))
+
+
+@query("stream_outer_join", with_ctes(i.READINGS, i.sync_cte(("avg",)), select="SELECT window_start, window_end, cycle, "
+       + ", ".join(f'{r(chr(34) + s + "_avg" + chr(34))} AS "{s}_avg"' for s in SENSOR_NAMES) + f" FROM sync WHERE {_CLOSED}"))
+def stream_outer_join(spark, sf):
+    """Streams of three sampling rates in full outer joins; most windows have silent sensors."""
+    joined = sync.join_sensor_streams(jobs.watermarked(i.reading_stream(spark, sf), DELAY), i.RIG_WIDTH)
+    return rounded(i.plain_times(_appended(spark, joined, "outer")), *[f"{s}_avg" for s in SENSOR_NAMES])
+
+
+def _in_parts(spark, sf: str, folder: str, parts: int):
+    """The events, delivered in ``parts`` spans of time: after each the stream of all readings so far, to be drained."""
+    events = spark.read.schema(i.EVENT_COLUMNS).parquet(f"{sf}/events.parquet")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) / parts
+    for n in range(parts):
+        span = events.where(F.col("ts") >= F.lit(first + n * step).cast("timestamp_ntz"))
+        if n < parts - 1:
+            span = span.where(F.col("ts") < F.lit(first + (n + 1) * step).cast("timestamp_ntz"))
+        span.write.mode("append").parquet(folder)
+        yield i.readings_of(spark.readStream.schema(events.schema).parquet(folder))
+
+
+_STALE = timedelta(minutes=150)
+_SHORT = timedelta(hours=2)
+
+
+@query("stream_status_transitions", with_ctes(i.STATUS.replace(i.hops(), i.hops(2)), f"""
+seen AS (
+  SELECT *, lag(status) OVER w AS before, lag(window_end) OVER w AS before_end, lead(window_end) OVER w AS next_end
+  FROM (SELECT * FROM status WHERE {_CLOSED}) WHERE window_end <= (SELECT max(window_end) - INTERVAL 10 SECOND FROM status WHERE {_CLOSED})
+  WINDOW w AS (PARTITION BY sensor, type ORDER BY window_start))""", f"""
+named AS (
+  SELECT *, CASE status WHEN 1 THEN 'raised' ELSE 'normal' END AS now,
+         CASE WHEN window_end - before_end > INTERVAL 150 MINUTE THEN 'stale'
+              WHEN before = 1 THEN 'raised' WHEN before = 0 THEN 'normal' END AS earlier
+  FROM seen)""", select=f"""
+SELECT sensor, type, window_start AS changed_at, now AS state, earlier AS previous FROM named WHERE now IS DISTINCT FROM earlier
+UNION ALL
+SELECT sensor, type, window_end + INTERVAL 150 MINUTE, 'stale', now FROM named
+WHERE coalesce(next_end, (SELECT max(window_end) - INTERVAL 10 SECOND FROM status WHERE {_CLOSED})) - window_end > INTERVAL 150 MINUTE"""))
+def stream_status_transitions(spark, sf):
+    """Statistics arrive in three runs of two jobs: one that closes windows, one that follows their status."""
+    base = scratch_path(spark, "transitions")
+    for readings in _in_parts(spark, sf, f"{base}/in", 3):
+        stats = jobs.hop_stats_stream(readings, _SHORT, i.SLIDE, DELAY)
+        jobs.drain(jobs.to_parquet(stats, f"{base}/stats", f"{base}/checkpoint-1", (), "available"))
+        table = spark.readStream.schema(stats.schema).parquet(f"{base}/stats")
+        jobs.drain(jobs.publish_transitions(table, f"{base}/data", f"{base}/checkpoint-2", _STALE, DELAY, "available"))
+    return i.plain_times(spark.read.schema(transitions.SCHEMA).parquet(f"{base}/data"))
+
+
+def _tables(spark, sf):
+    """The tables of one stateful query, after four runs of it."""
+    base = scratch_path(spark, "tables")
+    for readings in _in_parts(spark, sf, f"{base}/in", 4):
+        stats = jobs.hop_stats_stream(readings, i.SIZE, i.SLIDE, DELAY)
+        made = tables.WindowTables(spark, stats, f"{base}/out", every=3)
+        jobs.drain(made.start(f"{base}/checkpoint", "available"))
+    return made
+
+
+@query("stream_table_windows", _HOP_SQL)
+def stream_table_windows(spark, sf):
+    kept = _tables(spark, sf).windows.read().drop("alerted", "new_alerts")
+    return rounded(i.plain_times(kept), *DOUBLES)
+
+
+@query("stream_table_alerts", with_ctes(i.EVENTS, select="SELECT sensor, window_start, window_end, type FROM raised"))
+def stream_table_alerts(spark, sf):
+    """Every alert once, however often its window was updated."""
+    return i.plain_times(_tables(spark, sf).alerts.read()).select("sensor", "window_start", "window_end", "type")
+
+
+_SLOW = [s.sensor for s in SENSORS if s.rate_hz < TOP_RATE_HZ]
+
+
+@query("stream_carried", with_ctes(i.RIG, i.sync_cte(("avg",)), select=f"""
+SELECT window_start, cycle, {r('"PS1_avg"')} AS "PS1_avg",
+       {", ".join(f'{r(f"last_value({chr(34)}{s}_avg{chr(34)} IGNORE NULLS) OVER w")} AS "{s}_avg_interpolated"' for s in _SLOW)},
+       {r('("PS1_avg" - lag("PS1_avg") OVER (PARTITION BY cycle ORDER BY window_start)) / 21600.0')} AS "PS1_avg_rate",
+       {r('avg("PS1_avg") OVER (PARTITION BY cycle ORDER BY window_start ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)')} AS "PS1_avg_rolling"
+FROM sync WHERE {_CLOSED} WINDOW w AS (PARTITION BY cycle ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""))
+def stream_carried(spark, sf):
+    """Fill, rate and rolling mean over five runs of a stream of window records."""
+    base = scratch_path(spark, "carried")
+    for readings in _in_parts(spark, sf, f"{base}/in", 5):
+        wide = sync.sync_stream(jobs.watermarked(i.by_days(readings), DELAY), i.RIG_WIDTH, ("avg", "count"))
+        wide = wide.select("window_start", "window_end", "cycle", *[f"{s}_avg" for s in SENSOR_NAMES])
+        made = tables.CarriedColumns(spark, wide, f"{base}/out", ["cycle"], "window_start", [f"{s}_avg" for s in _SLOW], "PS1_avg",
+                                     i.RIG_WIDTH.total_seconds(), every=3)
+        jobs.drain(made.start(f"{base}/checkpoint", "available"))
+    names = ["PS1_avg", *[f"{s}_avg_interpolated" for s in _SLOW], "PS1_avg_rate", "PS1_avg_rolling"]
+    return rounded(i.plain_times(made.read()), *names).select("window_start", "cycle", *names)

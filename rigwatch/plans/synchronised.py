@@ -7,13 +7,13 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rigwatch.functions.columns import fixed, sample_time, second_in_cycle
+from rigwatch.functions.columns import fixed, mean_of, sample_time, second_in_cycle
 from rigwatch.operators import features, monitoring, ordered, outliers, rules, sync, windows
 from rigwatch.plans import inputs as i
 from rigwatch.plans.inputs import r, with_ctes
 from rigwatch.plans.monitoring import rounded
 from rigwatch.plans.registry import query
-from rigwatch.schemas import SENSOR_NAMES, SENSORS, TOP_RATE_HZ
+from rigwatch.schemas import PRESSURE, SENSOR_NAMES, SENSORS, TOP_RATE_HZ
 from rigwatch.session import materialise
 
 BUCKET = "time_bucket(INTERVAL {h} HOUR, ts, TIMESTAMP '1970-01-01')"
@@ -67,6 +67,54 @@ def sync_seconds(spark, sf):
         {f"{s}_count": F.col(f"{s}_count").cast("double") for s in SENSOR_NAMES}), *_SYNC_COLUMNS)
 
 
+_RIG_INDEXED = i.RIG + """,
+indexed AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY cycle, sensor ORDER BY ts, "offset") - 1 AS INT) AS sample_idx
+  FROM readings)"""
+_RECORD = (_RIG_INDEXED, i.sync_cte(), f"""
+arrays AS (
+  SELECT {BUCKET.format(h=6)} AS window_start, cycle, CAST(min(sample_idx // sampling_rate_hz) AS INT) AS second_in_cycle,
+         {", ".join(f"""string_agg(CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY sample_idx)
+           FILTER (WHERE sensor = '{s}') AS "{s}_values" """ for s in SENSOR_NAMES)}
+  FROM indexed GROUP BY ALL)""", i.family_cte().replace("FROM sync", "FROM sync JOIN arrays USING (window_start, cycle)"))
+
+
+@query("sync_record", with_ctes(*_RECORD, select="SELECT window_start, window_end, cycle, second_in_cycle, "
+       + ", ".join(f"""coalesce("{s}_values", '') AS "{s}_values", """ + ", ".join(
+           f'{r(chr(34) + s + "_" + k + chr(34))} AS "{s}_{k}"' for k in ("avg", "min", "max", "std"))
+           + f', coalesce("{s}_count", 0) AS "{s}_count"' for s in SENSOR_NAMES)
+       + f""", {r('pressure_mean')} AS pressure_mean,
+  {r('(pressure_mean - lag(pressure_mean) OVER (PARTITION BY cycle ORDER BY window_start)) / 21600.0')} AS pressure_rate_of_change
+FROM family"""))
+def sync_record(spark, sf):
+    """Sample arrays of all sensors side by side, with their statistics and the change of the pressure mean."""
+    indexed = ordered.with_index(i.rig_readings(spark, sf), ["cycle", "sensor"], "ts", "offset")
+    record = materialise(sync.sync_record(indexed, i.RIG_WIDTH).withColumn("pressure_mean", mean_of([f"{p}_avg" for p in PRESSURE])), "records")
+    # The change needs three columns only; it comes back to the wide rows by their key.
+    rates = materialise(ordered.rate_of_change(record.select("window_start", "cycle", "pressure_mean"), ["cycle"], "window_start",
+                                               "pressure_mean", "pressure_rate_of_change", i.RIG_WIDTH.total_seconds(), i.BLOCK)
+                        .select("window_start", "cycle", "pressure_rate_of_change"), "rates")
+    cents = {f"{s}_values": F.array_join(F.transform(f"{s}_values", lambda v: F.round(v * 100).cast("long").cast("string")), ",")
+             for s in SENSOR_NAMES}
+    whole = record.join(rates, ["window_start", "cycle"]).withColumns(cents)
+    whole = whole.withColumns({f"{s}_count": F.col(f"{s}_count").cast("long") for s in SENSOR_NAMES})
+    return rounded(whole, "pressure_mean", "pressure_rate_of_change",
+                   *[f"{s}_{k}" for s in SENSOR_NAMES for k in ("avg", "min", "max", "std")])
+
+
+_OTHERS = [s for s in SENSOR_NAMES if s != "PS1"]
+
+
+@query("aligned_sensors", with_ctes(i.RIG, *[f"""
+{s.lower()} AS (SELECT cycle, ts, max_by(value, "offset") AS "{s}" FROM readings WHERE sensor = '{s}' GROUP BY cycle, ts)""" for s in _OTHERS],
+    select='SELECT b.cycle, b.ts, b."offset", b.value AS "PS1", ' + ", ".join(f'{s.lower()}."{s}"' for s in _OTHERS)
+    + " FROM (SELECT * FROM readings WHERE sensor = 'PS1') b "
+    + " ".join(f"ASOF LEFT JOIN {s.lower()} ON b.cycle = {s.lower()}.cycle AND b.ts >= {s.lower()}.ts" for s in _OTHERS)))
+def aligned_sensors(spark, sf):
+    """Each reading of the first pressure sensor beside what all others showed at that time."""
+    return sync.aligned(i.rig_readings(spark, sf), "PS1", _OTHERS, block=i.BLOCK)
+
+
 def _families(spark: SparkSession, sf: str, where: str = "true") -> DataFrame:
     readings = i.rig_readings(spark, sf).where(where)
     return features.family_features(sync.sync_table(readings, i.RIG_WIDTH, stats=("avg", "min", "max", "std")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rigwatch.functions.columns import span
 from rigwatch.operators.ordered import latest_by, newest_first
-from rigwatch.operators.rules import anomaly_events
+from rigwatch.operators.rules import anomaly_events, anomaly_status
 from rigwatch.operators.windows import HOP_SIZE, HOP_SLIDE, hop_stats_direct
 from rigwatch.schemas import ALERT_TOPIC, ANALYTICS_TOPIC
 from rigwatch.sources.messages import BUS_COLUMNS, documents, envelope, parse_labels, parse_readings, split_valid
+from rigwatch.streaming.transitions import status_transitions
 
 WATERMARK = timedelta(seconds=10)
 LABEL_TRIGGER = "5 seconds"
@@ -164,6 +166,26 @@ def run(spark: SparkSession, servers: str, archive: str, checkpoints: str,
     ]
 
 
+@contextmanager
+def state_in_rocksdb(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, which event-time timers need; the session's setting returns after."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def publish_transitions(stats: DataFrame, path: str, checkpoint: str, stale_after: timedelta, delay: timedelta = WATERMARK,
+                        trigger: str | None = None) -> StreamingQuery:
+    """Changes of status, and staleness, of a stream of window statistics as an append-only table."""
+    status = anomaly_status(watermarked(stats, delay, "window_end"))
+    with state_in_rocksdb(stats.sparkSession):
+        return to_parquet(status_transitions(status, stale_after), path, checkpoint, (), trigger)
+
+
 def wait_for_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
