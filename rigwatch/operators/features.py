@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rigwatch.functions.columns import guarded_ratio, mean_of, pooled_std
-from rigwatch.operators.ordered import latest_by
+from rigwatch.operators.ordered import latest_by, with_index
 from rigwatch.schemas import FLOW, LABEL_NAMES, PRESSURE, SENSOR_NAMES, TEMPERATURE
 
 
@@ -114,6 +114,25 @@ def summarise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
+def quartiles(df: DataFrame, columns: Sequence[str], points: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact quantiles of every column, interpolated between neighbours, one row per column; NULLs are left out.
+
+    Values are range-partitioned by (column, value) and numbered over the ranges, so no buffer or task holds
+    a column; the rows at the two ranks around each point are picked by their number.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    long = df.select(F.inline(cells)).where("value IS NOT NULL").withColumn("_row", F.monotonically_increasing_id())
+    placed = with_index(long, ["column"], "value", "_row", "_at", "long")
+    sizes = placed.groupBy("column").agg(F.count(F.lit(1)).alias("n"))  # a row per column
+    at = {p: F.lit(float(p)) * (F.col("n") - 1) for p in points}
+    picked = placed.join(sizes, "column").groupBy("column", "n").agg(*[
+        F.max(F.when(F.col("_at") == rank(at[p]), F.col("value"))).alias(f"_{k}_{p}")
+        for p in points for k, rank in (("low", F.floor), ("high", F.ceil))])
+    return picked.select("column", "n", *[
+        (F.col(f"`_low_{p}`") + (F.col(f"`_high_{p}`") - F.col(f"`_low_{p}`")) * (at[p] - F.floor(at[p]))).alias(f"q{round(p * 100)}")
+        for p in points])
+
+
 def cycle_change(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Difference of each column to the previous cycle number, NULL where that cycle is absent.
 

@@ -16,6 +16,9 @@ from rigwatch.operators.rules import matches
 from rigwatch.schemas import SENSOR_NAMES, family_of, rate_of
 
 
+GRID_ROWS = 10_000  # windows of a grid that are made from one row
+
+
 # Readings ---------------------------------------------------------------
 
 def gauges(readings: DataFrame, time_col: str = "ts", tie: str = "offset") -> DataFrame:
@@ -46,9 +49,13 @@ def totals(df: DataFrame, as_of: datetime, time_col: str = "ts", keys: Sequence[
 
 
 def _windows(counts: DataFrame, width: timedelta, start: str = "window_start") -> DataFrame:
-    """All windows from the first to the last one in ``counts``."""
-    ends = counts.agg(F.min(start).alias("_first"), F.max(start).alias("_last"))
-    return ends.filter("_first IS NOT NULL").select(F.explode(F.sequence("_first", "_last", F.lit(width))).alias(start))
+    """All windows from the first to the last one in ``counts``, made in blocks that tasks share: an early stray stamp stretches the grid."""
+    step = round(width.total_seconds() * 1_000_000)
+    ends = counts.agg(F.min(start).alias("_first"), F.max(start).alias("_last")).filter("_first IS NOT NULL")
+    total = F.floor((micros(F.col("_last")) - micros(F.col("_first"))) / F.lit(step))
+    blocks = ends.select("_first", total.alias("_total"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor(total / GRID_ROWS))).alias("_block"))
+    number = F.explode(F.sequence(F.col("_block") * GRID_ROWS, F.least("_total", F.col("_block") * GRID_ROWS + (GRID_ROWS - 1)))).alias("_n")
+    return blocks.repartition("_block").select("_first", number).select((F.col("_first") + F.col("_n") * F.lit(width)).alias(start))
 
 
 def message_rate(df: DataFrame, width: timedelta = timedelta(minutes=1), time_col: str = "ts") -> DataFrame:
@@ -169,6 +176,18 @@ def correlations(sync: DataFrame, pairs: Sequence[tuple[str, str]], keys: Sequen
     return sync.groupBy(*keys).agg(*[F.corr(a, b).alias(f"corr_{a}_{b}") for a, b in pairs])
 
 
+def pair_correlations(sync: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Pearson correlation of every pair of columns, per key group: a row per pair, with the rows that have both.
+
+    Each row gives its pairs to one aggregation, whose buffers (count, means, squared deviations and the cross
+    product) are merged map-side: keys times pairs rows are shuffled, and the plan has one aggregate for any number of columns.
+    """
+    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).alias("x"), F.col(b).alias("y"))
+             for n, a in enumerate(columns) for b in columns[n + 1:]]
+    return (sync.select(*keys, F.inline(F.array(*pairs))).groupBy(*keys, "a", "b")
+            .agg(F.corr("x", "y").alias("correlation"), F.count(F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), 1)).alias("n")))
+
+
 def vitals(latest: DataFrame, sensors: Sequence[str], value: str) -> DataFrame:
     """Current value and colour of the chosen sensors."""
     return latest.filter(F.col("sensor").isin(list(sensors))).select(

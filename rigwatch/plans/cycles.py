@@ -98,11 +98,10 @@ def labelled_archive(spark, sf):
 
 
 @query("labelled_sorted", with_ctes(i.READINGS, _WIDE, i.LABELS, select=f"""
-SELECT cycle, {r('"PS1_mean"')} AS "PS1_mean", {r('"TS1_mean"')} AS "TS1_mean", {_LABELS}
+SELECT cycle, {_ROUND_ALL}, {_LABELS}
 FROM wide JOIN labelled USING (cycle) ORDER BY cycle"""))
 def labelled_sorted(spark, sf):
-    some = wide(spark, sf).select("cycle", "PS1_mean", "TS1_mean")
-    return rounded(features.join_labels(some, i.labels(spark, sf)), "PS1_mean", "TS1_mean").orderBy("cycle")
+    return rounded(features.join_labels(wide(spark, sf), i.labels(spark, sf)), *FEATURES).orderBy("cycle")
 
 
 @query("labelled_left", with_ctes(i.READINGS, _WIDE, i.LABELS, select=f"""
@@ -120,12 +119,15 @@ def label_texts(spark, sf):
 
 
 @query("newest_labels", """
-SELECT CAST(o_custkey AS INT) AS cycle, CAST(o_orderkey % 3 AS INT) AS label_pump,
+SELECT CAST(o_custkey AS INT) AS cycle, [3, 20, 100][1 + o_orderkey % 3] AS label_cooler, [73, 80, 90, 100][1 + o_orderkey % 4] AS label_valve,
+       CAST(o_orderkey % 3 AS INT) AS label_pump, [90, 100, 115, 130][1 + o_orderkey % 4] AS label_accumulator,
        CAST(o_orderkey % 2 AS INT) AS label_stable, CAST(o_orderkey AS DOUBLE) AS "timestamp"
 FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""")
 def newest_labels(spark, sf):
     delivered = spark.read.parquet(f"{sf}/orders.parquet").select(
-        F.col("o_custkey").cast("int").alias("cycle"), (F.col("o_orderkey") % 3).cast("int").alias("label_pump"),
+        F.col("o_custkey").cast("int").alias("cycle"), F.expr(f"get(array{i.COOLER}, CAST(o_orderkey % 3 AS INT))").alias("label_cooler"),
+        F.expr(f"get(array{i.VALVE}, CAST(o_orderkey % 4 AS INT))").alias("label_valve"), (F.col("o_orderkey") % 3).cast("int").alias("label_pump"),
+        F.expr(f"get(array{i.ACCUMULATOR}, CAST(o_orderkey % 4 AS INT))").alias("label_accumulator"),
         (F.col("o_orderkey") % 2).cast("int").alias("label_stable"), F.col("o_orderkey").cast("double").alias("timestamp"))
     return features.newest_labels(delivered)
 
@@ -137,13 +139,19 @@ def feature_summary(spark, sf):
     return rounded(features.summarise(wide(spark, sf), FEATURES), "mean", "stddev", "min", "max")
 
 
-@query("cycle_change", with_ctes(i.READINGS, _WIDE, select=f"""
-SELECT w.cycle, {r('w."PS1_mean"')} AS "PS1_mean", {r('w."TS1_mean"')} AS "TS1_mean",
-       {r('w."PS1_mean" - b."PS1_mean"')} AS "PS1_mean_change", {r('w."TS1_mean" - b."TS1_mean"')} AS "TS1_mean_change"
-FROM wide w LEFT JOIN wide b ON b.cycle = w.cycle - 1"""))
+@query("feature_quartiles", with_ctes(i.READINGS, _WIDE, select=" UNION ALL ".join(f"""
+SELECT '{c}' AS "column", count("{c}") AS n, {", ".join(f'{r(f"""quantile_cont("{c}", {q / 100})""")} AS q{q}' for q in (25, 50, 75))}
+FROM wide HAVING count("{c}") > 0""" for c in FEATURES)))
+def feature_quartiles(spark, sf):
+    return rounded(features.quartiles(wide(spark, sf), FEATURES), "q25", "q50", "q75")
+
+
+@query("cycle_change", with_ctes(i.READINGS, _WIDE, select="SELECT w.cycle, " + ", ".join(
+    f'{r(f"""w."{c}" """)} AS "{c}", {r(f"""w."{c}" - b."{c}" """)} AS "{c}_change"' for c in FEATURES)
+    + " FROM wide w LEFT JOIN wide b ON b.cycle = w.cycle - 1"))
 def cycle_change(spark, sf):
-    changed = features.cycle_change(wide(spark, sf), ["PS1_mean", "TS1_mean"])
-    return rounded(changed, "PS1_mean", "TS1_mean", "PS1_mean_change", "TS1_mean_change")
+    changed = features.cycle_change(wide(spark, sf), FEATURES)
+    return rounded(changed, *FEATURES, *[f"{c}_change" for c in FEATURES])
 
 
 # Training -------------------------------------------------------------------

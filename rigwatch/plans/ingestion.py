@@ -98,6 +98,28 @@ def event_validation(spark, sf):
         F.element_at("features", F.lit("note")).alias("feature_note"))
 
 
+@query("event_extras", with_ctes(i.READINGS, select="""
+SELECT "offset", CASE WHEN k NOT IN (0, 8) THEN sensor END AS device_id, CASE WHEN k NOT IN (7, 8) THEN 'fw-' || (cycle % 5) END AS firmware,
+       CASE WHEN k <> 8 THEN cycle::DOUBLE % 13 END AS bay, CASE WHEN k = 6 THEN 'n/a' END AS feature_note,
+       CASE WHEN k = 0 THEN 'device_id missing' WHEN k = 8 THEN 'not an object' END AS problem,
+       k IN (0, 8) AS has_body, CASE WHEN k = 8 THEN '{broken' END AS broken_body
+FROM (SELECT *, "offset" % 11 AS k FROM readings)"""))
+def event_extras(spark, sf):
+    """Fields that no schema lists, one of them nested, and the bodies of what is turned away."""
+    k = F.col("offset") % 11
+    body = F.when(k == 8, F.lit("{broken")).otherwise(F.to_json(F.struct(
+        F.when(k != 0, F.col("sensor")).alias("device_id"), F.col("cycle").alias("cycle_index"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_time"), F.col("value").alias("cooler_efficiency_pct"),
+        F.when(k == 6, F.create_map(F.lit("note"), F.lit("n/a"))).alias("features"),
+        F.when(k != 7, F.concat(F.lit("fw-"), (F.col("cycle") % 5).cast("string"))).alias("firmware"),
+        F.struct(F.struct((F.col("cycle") % 13).alias("bay")).alias("place")).alias("site"))))
+    valid, rejected = messages.split_events(messages.open_events(i.readings(spark, sf).select(body.alias("value"), "offset"), keep=("offset",)))
+    both = valid.unionByName(rejected, allowMissingColumns=True)
+    return both.select("offset", "device_id", messages.extra("firmware", "string").alias("firmware"), messages.extra("site.place.bay", "double").alias("bay"),
+                       messages.extra("features.note", "string").alias("feature_note"), "problem", F.col("body").isNotNull().alias("has_body"),
+                       F.when(F.col("problem") == "not an object", F.col("body")).alias("broken_body"))
+
+
 @query("csv_mapping", with_ctes(i.READINGS, select="""
 SELECT sensor AS device_id, cycle::BIGINT AS cycle_index, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_time,
        value AS cooler_efficiency_pct, value * 2 AS pressure1_bar, CAST(NULL AS DOUBLE) AS pressure2_bar,

@@ -14,7 +14,7 @@ from rigwatch.plans.monitoring import _HOP_SQL, DOUBLES, rounded
 from rigwatch.plans.registry import query
 from rigwatch.schemas import LABEL_NAMES, SENSOR_NAMES, SENSORS, TOP_RATE_HZ
 from rigwatch.session import scratch_path
-from rigwatch.streaming import jobs, tables, transitions
+from rigwatch.streaming import jobs, progress, tables, transitions
 
 DELAY = timedelta(seconds=10)
 # Append mode emits a window once the watermark has passed its end.
@@ -262,3 +262,23 @@ def stream_carried(spark, sf):
         jobs.drain(made.start(f"{base}/checkpoint", "available"))
     names = ["PS1_avg", *[f"{s}_avg_interpolated" for s in _SLOW], "PS1_avg_rate", "PS1_avg_rolling"]
     return rounded(i.plain_times(made.read()), *names).select("window_start", "cycle", *names)
+
+
+@query("stream_metrics", with_ctes(i.READINGS, select="""
+SELECT count(*) AS read, count(*) FILTER (WHERE "offset" % 10 < 7) AS valid, count(*) FILTER (WHERE "offset" % 10 >= 7) AS rejected,
+       count(*) AS input_rows, 3::BIGINT AS batches
+FROM readings"""))
+def stream_metrics(spark, sf):
+    """Counters of the raw archive over three runs, from the table that grows beside them."""
+    base = scratch_path(spark, "metrics")
+    recorder = progress.ProgressRecorder(spark, f"{base}/metrics", every=2)
+    spark.streams.addListener(recorder)
+    try:
+        for readings in _in_parts(spark, sf, f"{base}/in", 3):
+            raw, quarantine = jobs.archive_readings(i.messages_of(readings), f"{base}/raw", f"{base}/quarantine", f"{base}/checkpoints", "available")
+            jobs.drain(raw, quarantine)
+            recorder.wait(raw, quarantine)
+    finally:
+        spark.streams.removeListener(recorder)
+    seen = spark.read.schema(progress.METRICS).parquet(f"{base}/metrics").where("read IS NOT NULL AND input_rows > 0")
+    return seen.agg(*[F.sum(c).alias(c) for c in ("read", "valid", "rejected", "input_rows")], F.count(F.lit(1)).alias("batches"))

@@ -215,6 +215,14 @@ def sensor_corr(spark, sf):
     return rounded(monitoring.correlations(_sync(spark, sf, stats=("avg",)), _PAIRS, ["cycle"]), *names)
 
 
+@query("sensor_pair_corr", with_ctes(i.RIG, i.sync_cte(("avg",)), select=" UNION ALL ".join(f"""
+SELECT cycle, '{a}_avg' AS a, '{b}_avg' AS b, {r(f'corr("{a}_avg", "{b}_avg")')} AS correlation, count(*) FILTER (WHERE "{a}_avg" + "{b}_avg" IS NOT NULL) AS n
+FROM sync GROUP BY cycle""" for k, a in enumerate(SENSOR_NAMES) for b in SENSOR_NAMES[k + 1:])))
+def sensor_pair_corr(spark, sf):
+    """All pairs of sensors, per cycle."""
+    return rounded(monitoring.pair_correlations(_sync(spark, sf, stats=("avg",)), [f"{s}_avg" for s in SENSOR_NAMES], ["cycle"]), "correlation")
+
+
 @query("outer_join_sensors", with_ctes(i.RIG, *[f"""
 {s.lower()} AS (SELECT {BUCKET.format(h=1)} AS window_start, cycle, avg(value) AS "{s}_avg" FROM readings
        WHERE sensor = '{s}' GROUP BY ALL)""" for s in SENSOR_NAMES], select="SELECT window_start, cycle, "
@@ -230,9 +238,8 @@ def outer_join_sensors(spark, sf):
 @query("union_pivot", with_ctes(i.RIG, i.sync_cte(("avg",), hours=6), select="SELECT window_start, window_end, cycle, "
        + ", ".join(f'{r(chr(34) + s + "_avg" + chr(34))} AS "{s}_avg"' for s in SENSOR_NAMES) + " FROM sync"))
 def union_pivot(spark, sf):
-    base = i.rig_readings(spark, sf)
-    sources = [base.filter(F.col("sampling_rate_hz") == rate) for rate in (100, 10, 1)]
-    wide = sync.sync_table(sync.union_sources(sources), i.RIG_WIDTH, ("avg",))
+    # Separate sources become one scan: the folders differ, the table is read once.
+    wide = sync.sync_table(i.rig_readings(spark, sf).filter(F.col("sampling_rate_hz").isin(100, 10, 1)), i.RIG_WIDTH, ("avg",))
     return rounded(wide, *[f"{s}_avg" for s in SENSOR_NAMES])
 
 

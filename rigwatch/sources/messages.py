@@ -82,12 +82,35 @@ def bus_time(millis: Column) -> Column:
     return F.timestamp_millis(millis)
 
 
-def device_events(messages: DataFrame, body: str = "value") -> DataFrame:
-    """Device events with a ``problem`` column, NULL when the event meets the contract."""
-    event = F.from_json(F.col(body).cast("string"), DEVICE_EVENT)
-    flat = unpacked(messages, event)
+def extra(path: str, kind: str, event: str = "event") -> Column:
+    """A field of an open event by its path, whether a schema lists it or not; NULL when absent or of another kind."""
+    return F.try_variant_get(event, F.lit(f"$.{path}"), kind)
+
+
+def open_events(messages: DataFrame, body: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Device events whose open fields are kept.
+
+    A body is decoded once, into a VARIANT, from which the declared fields and the checks are taken; ``event`` is that
+    VARIANT, ``body`` the text as it came.
+    """
+    text = F.col(body).cast("string")
+    rows = messages.select(*keep, text.alias("body"), F.try_parse_json(text).alias("event"))
+    declared = {f.name: f.dataType.simpleString() for f in DEVICE_EVENT.fields}
+    whole = F.schema_of_variant("event").startswith("OBJECT")
+    flat = rows.select(*keep, "body", "event", F.coalesce(whole, F.lit(False)).alias("_object"), *[extra(name, kind).alias(name) for name, kind in declared.items()])
     when = F.try_to_timestamp("event_time")
-    problem = (
+    problem = F.when(~F.col("_object"), "not an object").otherwise(event_problem(when))
+    return flat.withColumn("event_ts", when).withColumn("problem", problem).drop("_object")
+
+
+def split_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid events without their body, and the rest with body and problem."""
+    return events.filter("problem IS NULL").drop("body"), events.filter("problem IS NOT NULL")
+
+
+def event_problem(when: Column) -> Column:
+    """What keeps a decoded event from meeting the contract; ``when`` is its event time."""
+    return (
         F.when(F.col("device_id").isNull(), "device_id missing")
         .when(F.col("cycle_index").isNull(), "cycle_index missing")
         .when(F.col("cycle_index") < 0, "cycle_index negative")
@@ -95,4 +118,11 @@ def device_events(messages: DataFrame, body: str = "value") -> DataFrame:
         .when(when.isNull(), "event_time not a date-time")
         .when(F.col("cooler_efficiency_pct").isNull(), "cooler_efficiency_pct missing")
     )
-    return flat.withColumn("event_ts", when).withColumn("problem", problem)
+
+
+def device_events(messages: DataFrame, body: str = "value") -> DataFrame:
+    """Device events with a ``problem`` column, NULL when the event meets the contract."""
+    event = F.from_json(F.col(body).cast("string"), DEVICE_EVENT)
+    flat = unpacked(messages, event)
+    when = F.try_to_timestamp("event_time")
+    return flat.withColumn("event_ts", when).withColumn("problem", event_problem(when))

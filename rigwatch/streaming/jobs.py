@@ -15,7 +15,10 @@ from rigwatch.operators.ordered import latest_by, newest_first
 from rigwatch.operators.rules import anomaly_events, anomaly_status
 from rigwatch.operators.windows import HOP_SIZE, HOP_SLIDE, hop_stats_direct
 from rigwatch.schemas import ALERT_TOPIC, ANALYTICS_TOPIC
-from rigwatch.sources.messages import BUS_COLUMNS, documents, envelope, parse_labels, parse_readings, split_valid
+from rigwatch.sources.messages import (
+    BUS_COLUMNS, documents, envelope, is_valid_reading, parse_labels, parse_readings, split_valid,
+)
+from rigwatch.streaming.progress import ProgressRecorder, counted
 from rigwatch.streaming.transitions import status_transitions
 
 WATERMARK = timedelta(seconds=10)
@@ -128,7 +131,9 @@ def archive_readings(messages: DataFrame, path: str, quarantine: str, checkpoint
     A "date" among the partition columns is taken from the event time; long
     archives want it, so that time ranges and retention prune folders too.
     """
-    valid, rejected = split_valid(parse_readings(messages, keep_bus_columns=True, keep_body=True))
+    parsed = parse_readings(messages, keep_bus_columns=True, keep_body=True)
+    _, rejected = split_valid(parsed)
+    valid, _ = split_valid(counted(parsed, is_valid_reading()))
     valid = valid.drop("body", *BUS_COLUMNS)
     if "date" in partition_by:
         valid = valid.withColumn("date", F.to_date("ts"))
@@ -148,18 +153,25 @@ def alerts(stats: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, servers: str, archive: str, checkpoints: str,
         max_per_trigger: int = 5_000_000) -> list[StreamingQuery]:
-    """The main job: statistics and alerts to the bus, readings and labels to the archive.
+    """The main job: statistics, alerts and current state from one stateful query, readings and labels to the archive.
 
-    ``max_per_trigger`` bounds a micro-batch; what is left of a backlog follows in the next ones.
+    The statistics, alerts (each once) and current state are tables below ``archive``, and what a micro-batch changed goes to the bus
+    as well. ``max_per_trigger`` bounds a micro-batch; what is left of a backlog follows in the next ones. Progress, counters and late rows of
+    all queries are appended to ``archive``/metrics while they run.
     """
     from rigwatch.sources.bus import read_labels, read_sensors
+    from rigwatch.streaming.tables import WindowTables
 
+    def publish(stats: DataFrame, alerts: DataFrame) -> None:
+        for rows, topic in ((stats, ANALYTICS_TOPIC), (alerts, ALERT_TOPIC)):
+            envelope(rows, "sensor").write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+    spark.streams.addListener(ProgressRecorder(spark, f"{archive}/metrics"))
     messages = read_sensors(spark, servers, max_per_trigger=max_per_trigger)
     valid, _ = split_valid(parse_readings(messages))
-    stats = hop_stats_stream(valid)
+    tables = WindowTables(spark, hop_stats_stream(valid), f"{archive}/tables", publish=publish)
     return [
-        to_bus(stats, servers, ANALYTICS_TOPIC, f"{checkpoints}/analytics"),
-        to_bus(alerts(stats), servers, ALERT_TOPIC, f"{checkpoints}/alerts"),
+        tables.start(f"{checkpoints}/tables"),
         *archive_readings(messages, f"{archive}/raw", f"{archive}/quarantine", checkpoints,
                           partition_by=("sensor", "date")),
         archive_labels(read_labels(spark, servers), f"{archive}/labels", f"{checkpoints}/labels"),

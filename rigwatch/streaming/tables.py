@@ -110,13 +110,14 @@ class WindowTables:
     ``windows`` has the statistics of every window and the alert types raised for it so far; ``alerts`` has each
     (window, sensor, type) once, when it is raised first, however often the window is updated; ``current`` has
     the newest window per sensor. A repeated batch gives the same files: it starts from the batches before it.
+    ``publish`` gets what a batch changed and its new alerts, once more when the batch is repeated.
     """
 
     WINDOW = ("sensor", "window_start", "window_end")
 
     def __init__(self, spark: SparkSession, stats: DataFrame, path: str, rules: list[Rule] = DEFAULT_RULES,
-                 every: int = EVERY, keep: timedelta = KEEP):
-        self.stats, self.rules = stats, rules
+                 every: int = EVERY, keep: timedelta = KEEP, publish: Callable[[DataFrame, DataFrame], None] | None = None):
+        self.stats, self.rules, self.publish = stats, rules, publish
         types, fields = ArrayType(StringType()), stats.schema.fields
         window = StructType([*fields, StructField("alerted", types), StructField("new_alerts", types)])
         alert = StructType([*fields, StructField("type", StringType())])
@@ -140,7 +141,10 @@ class WindowTables:
                              .withColumn("new_alerts", F.array_except("fired", "known")), batch_id)
         changed = self.windows.changed(batch_id)  # read back: the stream's batch is computed once
         if not self.alerts.covers(batch_id):
-            self.alerts.put(changed.select(*self.stats.columns, F.explode("new_alerts").alias("type")), batch_id)
+            alerts = changed.select(*self.stats.columns, F.explode("new_alerts").alias("type"))
+            self.alerts.put(alerts, batch_id)
+            if self.publish:
+                self.publish(changed.select(*self.stats.columns), alerts)
         if not self.current.covers(batch_id):
             rows = self.current.open_rows(batch_id).withColumn("_b", F.lit(0)).unionByName(
                 changed.select(*self.stats.columns, F.lit(1).alias("_b")))

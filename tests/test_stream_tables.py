@@ -6,7 +6,7 @@ from pyspark.sql.types import StructType
 
 from rigwatch.operators import ordered, rules, sync, windows
 from rigwatch.sources import messages
-from rigwatch.streaming import jobs, tables, transitions
+from rigwatch.streaming import jobs, progress, tables, transitions
 from tests.test_streaming import T0, body, deliver, readings
 
 
@@ -150,3 +150,32 @@ def test_sync_record_arrays(spark):
     row = sync.sync_record(df).first()
     assert (row.PS1_values, row.PS1_avg, row.PS1_std, row.PS1_count, row.second_in_cycle) == ([0.0, 1.0, 2.0], 1.0, 1.0, 3, 0)
     assert (row.TS1_values, row.TS1_std, row.FS1_values, row.FS1_avg, row.FS1_count) == ([9.0], None, [], None, 0)
+
+
+def test_metrics_are_appended_while_queries_run(spark, out):
+    for n in range(4):
+        deliver(spark, out + "/bus", [body("PS1", 60 * n + t, 1.0) for t in range(5)] + ["{broken"], n * 10)
+    deliver(spark, out + "/bus", [body("PS1", 1, 9.0)], 90)  # behind the watermark
+    recorder = progress.ProgressRecorder(spark, out + "/metrics", every=2)
+    spark.streams.addListener(recorder)
+    try:
+        from rigwatch.sources import bus
+        made = jobs.archive_readings(bus.read_message_files(spark, out + "/bus", 1), out + "/raw", out + "/q", out + "/cp", "available")
+        stats = jobs.to_updates(jobs.hop_stats_stream(readings(spark, out + "/bus")), out + "/s", out + "/cp-s", "available")
+        jobs.drain(*made, stats)
+        recorder.wait(*made, stats)
+    finally:
+        spark.streams.removeListener(recorder)
+    rows = spark.read.parquet(out + "/metrics").collect()
+    counted = [(r.read, r.valid, r.rejected) for r in rows if r.read]
+    assert sorted(counted) == [(1, 1, 0)] + [(6, 5, 1)] * 4
+    assert sum(r.late or 0 for r in rows) > 0
+    assert recorder.save(spark, out + "/metrics") == 0
+
+
+def test_stray_stamp_does_not_make_one_huge_row(spark):
+    from rigwatch.operators import monitoring
+    df = spark.createDataFrame([("PS1", T0, 1.0), ("PS1", T0 - timedelta(days=30), 1.0)], "sensor string, ts timestamp, value double")
+    rate = monitoring.message_rate(df)
+    assert rate.count() == 30 * 1440 + 1
+    assert rate.agg(F.sum("messages")).first()[0] == 2
