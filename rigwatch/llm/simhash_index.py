@@ -17,19 +17,18 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from rigwatch.llm.components import components
-from rigwatch.session import materialise
+from rigwatch.session import materialise, scratch_path
 
 SHINGLE = 3
 SEED = 42
@@ -47,10 +46,12 @@ COPY_SHINGLE = 5
 FEW_TEXTS = 4000   # looked through for common shingles
 COMMON = 8         # of those texts with a shingle, or more
 MARK_BITS = 24
-SKETCH = 64        # counts of a set
+SKETCH = 64        # counts of a set, looked at for every two members of a node
+WIDE_SKETCH = 1024 # counts of a set, for pairs that the small sketch leaves: it tells long texts apart
 TURNS = 4          # of comparing with a few members of a node
 FEW = 64           # pairs a row that are compared at once
 MANY = 256         # pairs that one copy of a text serves
+BROADCAST_IDS = 1 << 20  # ids that are sent to all tasks at most: 8 MB
 ROWS = 8192        # rows searched at a time, whole nodes
 
 
@@ -338,29 +339,34 @@ def _common(texts: DataFrame) -> bytes:
     return np.packbits(marks).tobytes()
 
 
+def _counts(hashes: np.ndarray, buckets: int) -> bytes:
+    return np.minimum(np.bincount((hashes % np.uint64(buckets)).astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
+
+
 def _described(common: bytes):
-    """``doc_id, id, set, n, sketch, prefix`` of ``doc_id, id, text``.
+    """``doc_id, id, set, n, sketch, wide, prefix`` of ``doc_id, id, text``.
 
     ``prefix`` has a set's first shingles, one more than may be missing: sets with a similarity of 0.8 share
     one of those, in whatever order that is the same for all sets. Shingles in ``common`` ranges come last,
-    so that a common passage makes a node only for texts that are little else. ``sketch`` counts the shingles
-    by the low bits of their hashes.
+    so that a common passage makes a node only for texts that are little else. ``sketch`` and ``wide`` count the shingles
+    by bits of their hashes.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.unpackbits(np.frombuffer(common, np.uint8))
         for batch in batches:
-            names, sizes, sketches, prefixes = [], [], [], []
+            names, sizes, sketches, wides, prefixes = [], [], [], [], []
             for text in batch.column(2):
                 s = shingle_set(text.as_py())
                 n = len(s)
                 names.append(xxhash.xxh128_hexdigest(s.tobytes()))
                 sizes.append(n)
-                sketches.append(np.minimum(np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes())
+                sketches.append(_counts(s, SKETCH))
+                wides.append(_counts(s >> np.uint64(8), WIDE_SKETCH))
                 order = np.argsort(last[s >> np.uint64(64 - MARK_BITS)], kind="stable")
                 prefixes.append(s[order[:n - (4 * n + 4) // 5 + 1 if n else 0]].view(np.int64))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(sizes, pa.int64()),
-                                   pa.array(sketches, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                                  ["doc_id", "id", "set", "n", "sketch", "prefix"])
+                                   pa.array(sketches, pa.binary()), pa.array(wides, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+                                  ["doc_id", "id", "set", "n", "sketch", "wide", "prefix"])
     return run
 
 
@@ -368,15 +374,44 @@ def _alike(n: str, m: str) -> Column:
     return F.least(n, m) * 5 >= F.greatest(n, m) * 4
 
 
-def _shared(points: DataFrame) -> DataFrame:
-    """``key, id, n, pos`` of the prefix shingles that several points have."""
-    keys = materialise(points.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "copy-keys")
+class _Scratch:
+    """Results written for a step and deleted after it, with the shuffles that made them."""
+
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        path, before = scratch_path(self.spark, label), self.spark.conf.get(self.cleanup, None)
+        self.spark.conf.set(self.cleanup, "true")  # a written result needs its shuffles no more
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(self.cleanup) if before is None else self.spark.conf.set(self.cleanup, before)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+        self.paths = []
+
+
+def _shared(points: DataFrame, kept: _Scratch) -> DataFrame:
+    """``key, id, n, pos`` of the prefix shingles that several points (``id, n, prefix``) have."""
+    step = _Scratch(points.sparkSession)
+    keys = step.write(points.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "copy-keys")
     keyed = points.select("id", "n", F.posexplode("prefix").alias("pos", "key")).select("key", "id", "n", F.col("pos").cast("long").alias("pos"))
-    return materialise(keyed.join(keys, "key", "left_semi"), "copy-nodes")
+    nodes = kept.write(keyed.join(keys, "key", "left_semi"), "copy-nodes")
+    step.drop()
+    return nodes
 
 
 def _sketches(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+    return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(len(batch), -1).astype(np.int16)
 
 
 def _node_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,11 +458,17 @@ def _all_pairs(rest: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sets = lru_cache(64)(lambda i, text: shingle_set(text))
+    """Links of ``a, part, b, text`` sorted by block, in which the text of ``a`` itself (no ``b``) comes first."""
+    own = None
     for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")]
-        ok = [near_copies(sets(a, x), sets(b, y)) for a, b, x, y in zip(*cols)]
-        yield pa.record_batch([batch.column("a").filter(pa.array(ok, pa.bool_())), batch.column("b").filter(pa.array(ok, pa.bool_()))], ["a", "b"])
+        found: tuple[list, list] = [], []
+        for a, b, text in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("text")):
+            if b is None:
+                own = shingle_set(text.as_py())
+            elif near_copies(own, shingle_set(text.as_py())):
+                found[0].append(a)
+                found[1].append(b)
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in found], ["a", "b"])
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,47 +481,66 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([batch.column("a").filter(ok), batch.column("b").filter(ok)], ["a", "b"])
 
 
-def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose texts are near copies, by all of their shingles."""
-    for end in ("a", "b"):
-        pairs = pairs.join(points.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}")), end)
-    rows = pairs = materialise(pairs.mapInArrow(_sketched, "a long, b long"), "copy-pairs")
-    ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "copy-ids")
-    texts = materialise(texts.join(F.broadcast(ids), "id", "left_semi"), "copy-texts")  # ids of the few that may have copies
+def _with_counts(pairs: DataFrame, points: DataFrame, column: str) -> DataFrame:
+    """Pairs that the counts in ``column`` leave possible."""
     for end in ("a", "b"):
-        parts = materialise(pairs.groupBy(end).agg(F.ceil(F.count(F.lit(1)) / F.lit(MANY)).alias("parts")), "copy-ends")
-        held = texts.join(parts, texts.id == F.col(end)).select(
-            end, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("text").alias(f"text_{end}"))
-        rows = rows.join(parts, end).withColumn("part", F.pmod(F.xxhash64("a", "b"), F.col("parts"))).drop("parts")
-        rows = rows.join(held, [end, "part"]).drop("part")
-    return materialise(rows.select("a", "b", "text_a", "text_b").mapInArrow(_compare, "a long, b long"), "copy-links")
+        pairs = pairs.join(points.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col(column).alias(f"sketch_{end}")), end)
+    return pairs.mapInArrow(_sketched, "a long, b long")
 
 
-def copy_links(points: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kept: _Scratch, one: bool = False) -> DataFrame:
+    """The pairs whose texts are near copies, by all of their shingles; of ``one``, a pair per ``b`` that sketches allow.
+
+    A text ``a`` is sent once to each block of its partners, and a partner's once to the block.
+    """
+    step = _Scratch(texts.sparkSession)
+    pairs = step.write(_with_counts(pairs, points, "sketch"), "copy-candidates")
+    pairs = _with_counts(pairs, points, "wide")
+    if one:
+        pairs = pairs.groupBy("b").agg(F.min(F.struct(F.xxhash64("a").alias("h"), "a")).alias("m")).select("m.a", "b")
+    pairs = step.write(pairs, "copy-pairs")
+    ids = step.write(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "copy-ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids  # more of them meet the texts in a shuffle
+    held = step.write(texts.join(ids, "id", "left_semi"), "copy-texts")
+    blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(MANY)).alias("parts"))
+    placed = step.write(pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b"), "copy-blocks")
+    partners = placed.join(held, placed.b == held.id).select("a", "part", "b", "text")
+    stars = placed.select("a", "part").distinct().join(held, F.col("a") == held.id).select("a", "part", F.lit(None).cast("long").alias("b"), "text")
+    rows = stars.union(partners).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").isNotNull())
+    links = kept.write(rows.select("a", "b", "text").mapInArrow(_compare, "a long, b long"), "copy-links")
+    step.drop()
+    return links
+
+
+def copy_links(nodes: DataFrame, points: DataFrame, texts: DataFrame, kept: _Scratch) -> DataFrame:
     """``a, b``: ids that link all points with a similarity of 0.8 or more, directly or through others.
 
     First, texts of a node are compared with a few members of it only, and what that links needs no further
-    comparing; then all pairs of a node that are still apart. ``points`` has ``id, n, sketch, prefix``, ``texts``
-    ``id, text``; both are read several times.
+    comparing; then all pairs of a node that are still apart. ``nodes`` has ``key, id, n, pos``, ``points`` ``id, n, sketch, wide``,
+    ``texts`` ``id, text``; all are read several times.
     """
-    nodes = _shared(points)
     found = nodes.sparkSession.createDataFrame([], "a long, b long")
-    rest = nodes.withColumn("root", F.col("id"))
+    rest, turns = nodes.withColumn("root", F.col("id")), []
     for turn in range(TURNS + 1):
+        turns.append(_Scratch(nodes.sparkSession))
         star = F.min(F.struct(F.xxhash64("id", F.lit(turn), F.col("key").bitwiseAND(3)), "id", "n", "root")).alias("star")
         mixed = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"), star).where("lo <> hi")
-        mixed = materialise(mixed.select("key", "c", "star"), "copy-mixed")
-        rest = materialise(rest.join(mixed, "key"), "copy-rest")
+        mixed = turns[-1].write(mixed.select("key", "c", "star"), "copy-mixed")
+        rest = turns[-1].write(rest.join(mixed, "key"), "copy-rest")
+        for done in turns[:-1]:
+            done.drop()
         pairs = mixed.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
         if not pairs.rows or pairs.pairs <= FEW * pairs.rows or turn == TURNS:
             break
         apart = rest.where((F.col("root") != F.col("star.root")) & _alike("n", "star.n"))
-        new = _verified(apart.select(F.col("star.id").alias("a"), F.col("id").alias("b")).distinct(), points, texts)
+        new = _verified(apart.select(F.col("star.id").alias("a"), F.col("id").alias("b")).distinct(), points, texts, kept, one=True)
         rest = rest.drop("c", "star", "root")
         found = found.union(new)
         roots = components(found)
         rest = rest.join(roots, rest.id == roots.node, "left").select(*nodes.columns, F.coalesce("root", "id").alias("root"))
-    return found.union(_verified(_all_pairs(rest, points), points, texts))
+    found = found.union(_verified(_all_pairs(rest, points), points, texts, kept))
+    turns[-1].drop()
+    return found
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -491,15 +551,20 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     verified on whole sets. Shingles are known by 64-bit hashes, equal sets by 128-bit ones. A text of fewer
     than five words is one shingle; texts without words are one group.
     """
-    rows = materialise(docs.withColumn("_sim_row", F.monotonically_increasing_id()), "sim-docs")
+    kept = _Scratch(docs.sparkSession)
+    rows = kept.write(docs.withColumn("_sim_row", F.monotonically_increasing_id()), "sim-docs")
     texts = rows.select(F.col("_sim_row").alias("id"), F.col(text).alias("text"))
-    kinds = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id long, set string, n long, sketch binary, prefix array<long>"
+    kinds = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id long, set string, n long, sketch binary, wide binary, prefix array<long>"
     slim = rows.select(F.col(doc_id).alias("doc_id"), F.col("_sim_row").alias("id"), F.col(text).alias("text"))
-    slim = materialise(slim.mapInArrow(_described(_common(texts.select("text"))), kinds), "sim-sets")
-    first = materialise(slim.groupBy("set").agg(F.min("id").alias("id")), "sim-points")
-    points = materialise(slim.select("id", "n", "sketch", "prefix").join(first.select("id"), "id", "left_semi"), "sim-first")
-    roots = components(copy_links(points, texts))
+    step = _Scratch(docs.sparkSession)
+    whole = step.write(slim.mapInArrow(_described(_common(texts.select("text"))), kinds), "sim-described")
+    slim = kept.write(whole.drop("prefix", "wide"), "sim-sets")
+    first = kept.write(slim.groupBy("set").agg(F.min("id").alias("id")), "sim-first")
+    points = kept.write(whole.select("id", "n", "sketch", "wide").join(first.select("id"), "id", "left_semi"), "sim-points")
+    nodes = _shared(whole.select("id", "n", "prefix").join(first.select("id"), "id", "left_semi"), kept)
+    step.drop()
+    roots = components(copy_links(nodes, points, texts, kept))
     rooted = first.join(roots, first.id == roots.node, "left").select("set", F.coalesce("root", "id").alias("root"))
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
-    kept = slim.select("doc_id", "id", "set").join(rooted, "set").groupBy("root").agg(F.min(rank).alias("k")).select(F.col("k.id").alias("_sim_kept"))
-    return rows.join(kept, F.col("_sim_row") == F.col("_sim_kept"), "left_semi").select(*docs.columns)
+    best = slim.select("doc_id", "id", "set").join(rooted, "set").groupBy("root").agg(F.min(rank).alias("k")).select(F.col("k.id").alias("_sim_kept"))
+    return rows.join(best, F.col("_sim_row") == F.col("_sim_kept"), "left_semi").select(*docs.columns)
