@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 # Fixed values of the base rules.
 SPACE = r"[\x20\x09-\x0D]"
+SPACES = " \t\n\x0b\x0c\r"  # the same, as characters
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
@@ -39,7 +40,7 @@ MIN_KEPT_SHARE = 0.5       # of a text's non-space characters
 
 def words_of(text: Column) -> Column:
     """Words of a text; empty for null and for white space alone."""
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE + "+"))
 
 
@@ -101,7 +102,7 @@ def line_fails(line: Column) -> Column:
 
 
 def _line_fails(line: Column, n: Column) -> Column:
-    bare = (n < SHORT_LINE) & ~F.rtrim(line).rlike(TERMINAL)
+    bare = (n < SHORT_LINE) & ~F.rtrim(line, F.lit(SPACES)).rlike(TERMINAL)
     shouting = F.regexp_count(line, F.lit(MARK_WORD)) > n * MAX_MARK_SHARE
     menu = F.regexp_count(line, F.lit(SEPARATOR)) > n * MAX_SEPARATOR_SHARE
     notice = (n < BOILERPLATE_WORDS) & F.lower(line).rlike("|".join(BOILERPLATE))
@@ -142,7 +143,7 @@ covered AS (
   FROM (SELECT rn, i, lead(i) OVER (PARTITION BY rn ORDER BY i) AS later FROM repeated) GROUP BY rn),
 lines AS (SELECT rn, line, {count('line', WORD)} AS n FROM (SELECT rn, unnest(string_split(t, chr(10))) AS line FROM d)),
 judged AS (
-  SELECT *, n > 0 AND ((n < {SHORT_LINE} AND NOT regexp_matches(rtrim(line), {lit(TERMINAL)}))
+  SELECT *, n > 0 AND ((n < {SHORT_LINE} AND NOT regexp_matches(rtrim(line, {lit(SPACES)}), {lit(TERMINAL)}))
     OR {count('line', MARK_WORD)} > n * {MAX_MARK_SHARE} OR {count('line', SEPARATOR)} > n * {MAX_SEPARATOR_SHARE}
     OR (n < {BOILERPLATE_WORDS} AND regexp_matches(lower(line), {lit('|'.join(BOILERPLATE))}))) AS fails
   FROM lines),

@@ -48,6 +48,19 @@ def test_line_rules(spark, line, fails):
     assert got == fails
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", " \t\r\n"])
+def test_line_ends_do_not_matter(spark, end, out):
+    """Short lines with a full stop stay, whatever white space follows it; the SQL agrees."""
+    text = end.join(f"The {w} line is a sentence." for w in "first second third fourth fifth sixth seventh eighth ninth".split())
+    docs = spark.createDataFrame([(1, text, "en", "s", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    row = line_quality.judge(docs).first()
+    assert row.kept and row.kept_share == 1.0 and row.cleaned == text
+    folder = saved(docs.coalesce(1), out)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    assert differences(QUERIES["op8_line_quality"](spark, folder).toPandas(), con.execute(SQL["op8_line_quality"]).df()) == []
+
+
 def test_cleaned_text_and_extra_columns(spark):
     df = spark.createDataFrame([("Good text stays here, it is fine.\nMenu\nMore good text, also fine here.", 3)], "body string, text int")
     row = line_quality.judge(df, "body").first()
