@@ -14,6 +14,7 @@ block; an empty table gives no blocks; further columns are ignored.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +33,8 @@ END_ID = 1
 BLOCK_IDS = 1 << 16
 PART_BYTES = 8 << 20         # aim for the text of a part
 MAX_PARTS = 1 << 16          # then parts grow
-CACHE_WORDS = 500_000        # encoded words kept by a Python worker
+CACHE_WORDS = 300_000        # encoded words after which a Python worker starts anew; it keeps those and the ones before
+MARKS = ".,;:!?"             # marks cut off a word's end before it is encoded
 SLICE_CHARS = 2_000_000      # text encoded at a time
 BLOCK_SCHEMA = ("part int, block int, start long, n_ids int, planes array<binary>, "
                 "piece_doc array<long>, piece_number array<long>, piece_ids array<int>")
@@ -65,38 +67,72 @@ def from_planes(planes: list[bytes], n: int) -> np.ndarray:
 # Encoding ----------------------------------------------------------------------------------------
 
 class Encoder:
-    """Encodes with the library, once for each distinct stretch between white space.
+    """Encodes with the library, once for each distinct word.
 
     The tokenizer named must treat white space as a separator and nothing else, as one that drops
     it does; then a text's ids are those of its stretches in turn. Texts with characters on which
     Python and the tokenizer disagree about white space, or with NUL, go to the library whole.
+    ASCII is lower-cased beforehand if the tokenizer does so (but not beside combining marks, with
+    which it composes first), and a new stretch is cut before its last punctuation marks if the
+    tokenizer does so; both are probed, and both leave the ids as they are.
+    Words are kept in two generations: when the recent one is full, it takes the place of the older.
     """
 
     unsure = re.compile("[\x00\x1c-\x1f]")
+    combining = re.compile("[\u0300-\u036f]")
+    letters = frozenset(c for c in map(chr, range(0x250)) if c.lower().isalpha())  # to every version of Unicode, in any case
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.nul, = self.tokenizer.encode("\x00", add_special_tokens=False).ids
+        normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.folds = normal is not None and normal.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
+        self.marks = "".join(m for m in MARKS if cut is not None and all(
+            [at for _, at in cut.pre_tokenize_str(letter + m + more)][:1] == [(0, 1)] for letter in "a0" for more in ("", m)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
-        split = [None if self.unsure.search(t) else t.split() for t in texts]
-        fresh = list(set().union(*[s for s in split if s]).difference(self.known))
-        for i in range(0, len(fresh), 20_000):
-            self._learn(fresh[i:i + 20_000])
-        get = self.known.__getitem__
+        split = [None if self.unsure.search(t) else self._fold(t).split() for t in texts]
+        self._know(set().union(*[s for s in split if s]))
+        get = self.recent.__getitem__
         out = [self._whole(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
-        if len(self.known) > CACHE_WORDS:
-            for w in fresh:
-                del self.known[w]
+        if len(self.recent) > CACHE_WORDS:
+            self.older, self.recent = self.recent, {}
         return out
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _missing(self, words: set[str]) -> set[str]:
+        """Those of the words that no generation has; words of the older one become recent."""
+        missing = words.difference(self.recent)
+        again = missing.intersection(self.older)
+        self.recent.update((w, self.older[w]) for w in again)
+        return missing - again
+
+    def _fold(self, text: str) -> str:
+        if not self.folds or self.combining.search(text):
+            return text
+        return text.lower() if text.isascii() else text.encode().lower().decode()  # bytes: ASCII alone
+
+    def _know(self, words: set[str]) -> None:
+        fresh, cuts = self._missing(words), {}
+        for w in fresh:
+            if w[-1] in self.marks:
+                core = w.rstrip(self.marks)
+                if core and core[-1] in self.letters:
+                    cuts[w] = core, w[len(core):]
+        plain = list(self._missing(fresh.difference(cuts).union(*cuts.values())))
+        for i in range(0, len(plain), 20_000):
+            self._learn(plain[i:i + 20_000])
+        recent = self.recent
+        for word, (core, marks) in cuts.items():
+            recent[word] = recent[core] + recent[marks]
+
     def _learn(self, words: list[str]) -> None:
         """Encode words in groups, with the NUL character, one id that no other word has, between them."""
         groups = [words[i:i + 1000] for i in range(0, len(words), 1000)]
@@ -106,7 +142,7 @@ class Encoder:
             cuts = (np.flatnonzero(ids == self.nul) * 4).tolist()
             data = ids.tobytes()
             for word, start, end in zip(group, [0, *[c + 4 for c in cuts]], [*cuts, len(data)], strict=True):
-                self.known[word] = data[start:end]
+                self.recent[word] = data[start:end]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -191,7 +227,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id"
     parts = int(min(MAX_PARTS, total // part_bytes + 1))
     keys = ["doc_id", "crc"]
     bounds = sharding.splitters(slim, keys, "size", parts, total)
-    dealt = (rows.withColumn("part", sharding.range_of(rows, keys, bounds)).repartition(parts, "part")
+    dealt = (rows.withColumn("part", sharding.range_of(rows, keys, bounds)).repartitionById(parts, "part")
              .sortWithinPartitions("part", "doc_id", "crc").select("part", "doc_id", "text", "chars"))
     dealt.mapInArrow(_encode_parts(tokenizer, end_id, bits, block_ids), BLOCK_SCHEMA).write.option("compression", "none").parquet(path)
 

@@ -62,6 +62,24 @@ def test_joined_checksums():
         assert token_files.joined_crc(zlib.crc32(x), zlib.crc32(y), b) == zlib.crc32(x + y)
 
 
+def differing(encoder, texts):
+    return [t for t, g in zip(texts, encoder.encode(texts)) if g != encoder._whole(t)]
+
+
+def test_folded_and_cut_words_equal_the_library(monkeypatch):
+    """Capitals, marks at the ends of words and what composes with them; words that leave the memory and come back."""
+    rng = random.Random(3)
+    pool = [*"aAzZ0HTS9.,;:!?'\"-éÉßİΣσςﬁªº²ẖ<漢ɐǅŉ🙂\u0300\u0331\u0338\u0307\u1dc4\xa0\u2028", " ", " ", "\n", "\t", "...", "'s", "'LL"]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 40))) for _ in range(20_000)]
+    encoder = token_files.Encoder(vocabulary())
+    assert encoder.folds and encoder.marks == token_files.MARKS
+    assert differing(encoder, texts) == []
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 500)
+    for i in range(0, 2000, 100):
+        assert differing(encoder, texts[i:i + 100] + texts[:50]) == []
+        assert len(encoder.recent) <= 500
+
+
 def test_encoder_equals_the_library():
     rng = random.Random(2)
     pool = "abcXYZ019.,!'&<|> \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u2028\u3000\u200b\u180e\u0301\u0338éÉßİŉſΣσςñЖ漢字🙂가각ᄀ\u1161\u11a8\ufeff\x00½²"
