@@ -13,7 +13,7 @@ from rigwatch.plans import inputs as i
 from rigwatch.plans.inputs import r, with_ctes
 from rigwatch.plans.monitoring import DOUBLES, rounded
 from rigwatch.plans.registry import query
-from rigwatch.schemas import CSV_MAPPING, LABEL_NAMES, SENSORS, sensor_table
+from rigwatch.schemas import CSV_MAPPING, LABEL_NAMES, SENSOR_NAMES, SENSORS, sensor_table
 from rigwatch.session import scratch_path
 from rigwatch.sinks import archive
 from rigwatch.sources import files, messages
@@ -150,6 +150,21 @@ def matrix_unpivot(spark, sf):
     return files.matrix_samples(matrix_lines(spark, sf)).withColumn("value", fixed("value"))
 
 
+@query("matrix_scan", f"""
+SELECT sensor, cycle, CAST(j - 1 AS INT) AS sample_idx, {r('CAST(embedding[j] AS DOUBLE)')} AS value,
+       CAST(CASE WHEN sensor LIKE 'PS%' OR sensor = 'EPS1' THEN 100 WHEN sensor LIKE 'FS%' THEN 10 ELSE 1 END AS INT) AS sampling_rate_hz
+FROM (SELECT sensor, embedding, CAST(row_number() OVER (PARTITION BY sensor ORDER BY vec_id) - 1 AS INT) AS cycle
+      FROM (SELECT [{i._NAMES}][1 + vec_id % {len(SENSOR_NAMES)}] AS sensor, vec_id, embedding FROM embeddings)),
+     unnest(range(1, len(embedding) + 1)) t(j)""")
+def matrix_scan(spark, sf):
+    """Matrices of all sensors written as text, a folder of files each, and read back; the cycle is the line's number."""
+    path = scratch_path(spark, "matrices")
+    sensor = F.get(F.array(*[F.lit(s) for s in SENSOR_NAMES]), F.col("cycle") % len(SENSOR_NAMES))
+    (matrix_lines(spark, sf).withColumn("sensor", sensor).repartitionByRange("sensor", "cycle")
+     .sortWithinPartitions("sensor", "cycle").select("sensor", "value").write.partitionBy("sensor").text(path))
+    return files.read_matrices(spark, path, folders=True).withColumn("value", fixed("value"))
+
+
 @query("cycle_count", "SELECT CAST(count(*) AS BIGINT) AS cycles FROM embeddings")
 def cycle_count(spark, sf):
     path = scratch_path(spark, "matrix")
@@ -207,6 +222,16 @@ def label_scan(spark, sf):
     return files.parse_label_lines(placed.select((F.col("before") + F.col("line")).cast("int").alias("line"), "cycle", "value"))
 
 
+@query("label_scan_one_based", with_ctes(i.LABELS, select="""
+SELECT line AS cycle, label_cooler, label_valve, label_pump, label_accumulator, label_stable
+FROM (SELECT *, CAST(row_number() OVER (ORDER BY cycle) AS INT) AS line FROM labelled) WHERE cycle % 25 NOT IN (7, 8)"""))
+def label_scan_one_based(spark, sf):
+    """Labels read from text with cycles from 1; malformed lines keep their number and give no row."""
+    path = scratch_path(spark, "label-profile")
+    label_lines(spark, sf).repartitionByRange("cycle").sortWithinPartitions("cycle").select("value").write.text(path)
+    return files.read_label_file(spark, path, cycle_offset=1, through_folder=True)
+
+
 @query("label_table", with_ctes(i.LABELS, select="SELECT * FROM labelled"))
 def label_table(spark, sf):
     path = scratch_path(spark, "labels-tsv")

@@ -13,9 +13,11 @@ from pyspark.errors import AnalysisException
 from rigwatch.schemas import CSV_MAPPING, DEVICE_EVENT, LABEL_NAMES, rate_of
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, through_folder: bool = False) -> DataFrame:
     """Lines of text files with the 0-based line number inside each file.
 
+    With ``through_folder`` a folder's files are one text in the order of their names, as Spark
+    writes sorted rows, and their lines are numbered through.
     Lines are numbered where they are read and only the line counts per file
     split are summed. While that table (one row per split) is small enough to
     be broadcast the text is not shuffled. A line outside its split's range
@@ -29,7 +31,8 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
     splits = scan().groupBy("file", "split").agg(
         F.min("position").alias("first"), F.count(F.lit(1)).alias("lines"))
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    text = F.regexp_extract("file", "^(.*)/", 1) if through_folder else F.col("file")
+    before = Window.partitionBy(text).orderBy("file", "split").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("offset", F.coalesce(F.sum("lines").over(before), F.lit(0)))
     inside = F.col("position") - F.col("first")
     in_range = (inside >= 0) & (inside < F.col("lines"))
@@ -44,6 +47,11 @@ def file_stem(file: Column | str) -> Column:
     return F.regexp_extract(file, r"([^/]+?)(?:\.[^./]*)?$", 1)
 
 
+def folder_value(file: Column | str, name: str) -> Column:
+    """Value in the last ``name=value`` folder of a path."""
+    return F.regexp_extract(file, f"^.*/{name}=([^/]*)/", 1)
+
+
 def matrix_samples(lines: DataFrame, line: str = "value") -> DataFrame:
     """One row per sample of tab-separated cycle lines."""
     others = [c for c in lines.columns if c != line]
@@ -52,10 +60,11 @@ def matrix_samples(lines: DataFrame, line: str = "value") -> DataFrame:
     ).select(*others, "sample_idx", F.col("text").try_cast("double").alias("value"))
 
 
-def read_matrices(spark: SparkSession, path: str, cycle_offset: int = 0) -> DataFrame:
-    """Readings from cycle matrices, one file per sensor, one line per cycle."""
-    lines = numbered_lines(spark, path).select(
-        file_stem("file").alias("sensor"), (F.col("line") + cycle_offset).cast("int").alias("cycle"), "value")
+def read_matrices(spark: SparkSession, path: str, cycle_offset: int = 0, folders: bool = False) -> DataFrame:
+    """Readings from cycle matrices, one line per cycle: one file per sensor, or with ``folders`` one ``sensor=`` folder of files."""
+    sensor = folder_value("file", "sensor") if folders else file_stem("file")
+    lines = numbered_lines(spark, path, folders).select(
+        sensor.alias("sensor"), (F.col("line") + cycle_offset).cast("int").alias("cycle"), "value")
     return matrix_samples(lines).withColumn("sampling_rate_hz", rate_of("sensor"))
 
 
@@ -92,9 +101,9 @@ def malformed_label_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     return label_fields(lines, line).filter(~well_formed()).drop("parts")
 
 
-def read_label_file(spark: SparkSession, path: str, cycle_offset: int = 0) -> DataFrame:
-    """Labels from the five-column profile file; the cycle is the line number plus an offset."""
-    lines = numbered_lines(spark, path).select((F.col("line") + cycle_offset).cast("int").alias("cycle"), "value")
+def read_label_file(spark: SparkSession, path: str, cycle_offset: int = 0, through_folder: bool = False) -> DataFrame:
+    """Labels from the five-column profile file; the cycle is the line number plus an offset. Malformed lines count."""
+    lines = numbered_lines(spark, path, through_folder).select((F.col("line") + cycle_offset).cast("int").alias("cycle"), "value")
     return parse_label_lines(lines)
 
 

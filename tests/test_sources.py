@@ -169,3 +169,16 @@ def test_catalog_sizes(spark):
 def test_bus_time(spark):
     df = spark.createDataFrame([(1_700_000_000_123,)], "ms long")
     assert df.select(messages.bus_time(F.col("ms"))).first()[0] == datetime(2023, 11, 14, 22, 13, 20, 123000)
+
+
+def test_lines_are_numbered_through_a_folder(spark, out):
+    """Files follow each other in the order of their names; blank and malformed lines count; other folders start anew."""
+    for folder, names in (("sensor=PS1", {"part-00001.txt": "4\t5\n\n", "part-00000.txt": "1\t2\nx\t3\n"}), ("sensor=TS1", {"part-00000.txt": "9\n"})):
+        os.makedirs(f"{out}/m/{folder}")
+        for name, text in names.items():
+            with open(f"{out}/m/{folder}/{name}", "w") as f:
+                f.write(text)
+    got = files.read_matrices(spark, f"{out}/m", cycle_offset=1, folders=True)
+    assert sorted((r.sensor, r.cycle, r.sample_idx, r.value, r.sampling_rate_hz) for r in got.collect() if r.value is not None) == [
+        ("PS1", 1, 0, 1.0, 100), ("PS1", 1, 1, 2.0, 100), ("PS1", 2, 1, 3.0, 100), ("PS1", 3, 0, 4.0, 100), ("PS1", 3, 1, 5.0, 100), ("TS1", 1, 0, 9.0, 1)]
+    assert {(r.sensor, r.cycle) for r in got.collect() if r.value is None} == {("PS1", 2), ("PS1", 4)}
