@@ -33,9 +33,9 @@ END_ID = 1
 BLOCK_IDS = 1 << 16
 PART_BYTES = 8 << 20         # aim for the text of a part
 MAX_PARTS = 1 << 16          # then parts grow
-CACHE_WORDS = 300_000        # encoded words after which a Python worker starts anew; it keeps those and the ones before
+CACHE_WORDS = 400_000        # encoded words after which a Python worker starts anew; it keeps those and the ones before
 MARKS = ".,;:!?"             # marks cut off a word's end before it is encoded
-SLICE_CHARS = 2_000_000      # text encoded at a time
+SLICE_CHARS = 8_000_000      # text encoded at a time
 BLOCK_SCHEMA = ("part int, block int, start long, n_ids int, planes array<binary>, "
                 "piece_doc array<long>, piece_number array<long>, piece_ids array<int>")
 
