@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,7 +24,6 @@ from pyspark.sql import DataFrame
 MIN_LENGTH = 70         # characters; shorter blocks are ambiguous
 STOP_SHARE = 0.15       # of the words
 LINK_SHARE = 0.5        # of the characters
-HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 STOP_WORDS = set("""
 the of and to in a is that for it as was with on are be by this from or an at have not which but
 de la le les des et en un une du que est pour dans qui sur pas au par plus avec il ce
@@ -53,10 +53,10 @@ ATTRIBUTE = re.compile(r"""(?i)(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "out", "container", "heading")
+    __slots__ = ("parts", "linked", "out", "container")
 
-    def __init__(self, out: bool, container: int, heading: bool):
-        self.parts, self.linked, self.out, self.container, self.heading = [], 0, out, container, heading
+    def __init__(self, out: bool, container: int):
+        self.parts, self.linked, self.out, self.container = [], 0, out, container
 
 
 def unwanted(name: str, attrs: str) -> bool:
@@ -75,23 +75,30 @@ def unwanted(name: str, attrs: str) -> bool:
 
 
 def blocks_of(page: str) -> list[_Block]:
-    """Blocks of a page with text, in order."""
+    """Blocks of a page with text, in order. Every tag is handled once, however deep elements are nested."""
     found: list[_Block] = []
-    stack: list[tuple[str, bool, int]] = []  # name, excluded, container
-    current, at, links, containers = _Block(False, 0, False), 0, 0, 0
+    bottom = ("", False, 0, -1)
+    stack: list[tuple[str, bool, int, int]] = []  # name, excluded, container, place of the innermost block-level element
+    unclosed: defaultdict[str, int] = defaultdict(int)
+    current, at, containers = _Block(False, 0), 0, 0
 
     def close() -> None:
         nonlocal current
         if current.parts:
             found.append(current)
-        top = stack[-1] if stack else ("", False, 0)
-        current = _Block(top[1], top[2], any(n in HEADINGS for n, _, _ in stack))
+        top = stack[-1] if stack else bottom
+        current = _Block(top[1], top[2])
+
+    def leave(depth: int) -> None:
+        for e in stack[depth:]:
+            unclosed[e[0]] -= 1
+        del stack[depth:]
 
     def text(raw: str) -> None:
         if raw:
             plain = html.unescape(raw) if "&" in raw else raw
             current.parts.append(plain)
-            if links:
+            if unclosed["a"]:
                 current.linked += len("".join(plain.split()))
 
     while True:
@@ -105,12 +112,8 @@ def blocks_of(page: str) -> list[_Block]:
         if name == "br" or name == "wbr":
             current.parts.append(" " if name == "br" else "")
         elif m["end"]:
-            if any(n == name for n, _, _ in stack):
-                while stack:
-                    n = stack.pop()[0]
-                    links -= n == "a"
-                    if n == name:
-                        break
+            if unclosed[name]:
+                leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
                 if name in BLOCKS or name in RAW:
                     close()
         elif name in RAW:  # no markup inside: skip to its end
@@ -118,17 +121,16 @@ def blocks_of(page: str) -> list[_Block]:
             at = end.end() if end else len(page)
         elif name not in VOID:
             if name == "p" or name == "li" or name in ("dt", "dd", "tr", "td", "option"):  # ends an open one of its kind
-                inner = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCKS), -1)
+                inner = stack[-1][3] if stack else -1
                 if inner >= 0 and stack[inner][0] == name:
-                    links -= sum(n == "a" for n, _, _ in stack[inner:])
-                    del stack[inner:]
-            above = stack[-1] if stack else ("", False, 0)
+                    leave(inner)
+            above = stack[-1] if stack else bottom
             if name in CONTAINERS:
                 containers += 1
             own = name == "header" and above[2] > 0  # an article's own header holds its title
             out = above[1] or unwanted("div" if own else name, m["attrs"])
-            stack.append((name, out, containers if name in CONTAINERS else above[2]))
-            links += name == "a"
+            stack.append((name, out, containers if name in CONTAINERS else above[2], len(stack) if name in BLOCKS else above[3]))
+            unclosed[name] += 1
             if name in BLOCKS or stack[-1][1] != above[1]:
                 close()
         elif name in BLOCKS:
@@ -150,30 +152,33 @@ def label(block: _Block, text: str) -> bool | None:
     return True if sum(w in STOP_WORDS for w in words) >= STOP_SHARE * len(words) else None
 
 
+def nearest(first: list[bool | None], groups: list[int]) -> list[tuple[bool, ...]]:
+    """Labels of the nearest decided blocks of each block's group: of both sides if they are equally far, of none if there are none."""
+    def distances(places) -> list[tuple[int, bool] | None]:
+        last, out = {}, [None] * len(first)
+        for i in places:
+            if groups[i] in last:
+                j = last[groups[i]]
+                out[i] = abs(i - j), first[j]
+            if first[i] is not None:
+                last[groups[i]] = i
+        return out
+    sides = zip(distances(range(len(first))), distances(range(len(first) - 1, -1, -1)))
+    found = [[s for s in both if s] for both in sides]
+    return [tuple(kept for d, kept in both if d == min(both)[0]) for both in found]
+
+
 def main_text(page: str | None) -> str:
     """The main text of a page: a line per block that is in."""
     blocks = [(b, t) for b in blocks_of(page or "") if (t := " ".join("".join(b.parts).split()))]
     first = [label(b, t) for b, t in blocks]
-
-    def nearest(i: int, same: bool) -> bool | None:
-        for d in range(1, len(blocks)):
-            sides = [first[j] for j in (i - d, i + d) if 0 <= j < len(blocks) and first[j] is not None
-                     and (not same or blocks[j][0].container == blocks[i][0].container)]
-            if sides:
-                return any(sides) if same and blocks[i][0].container else all(sides)
-        return None
-
+    own, whole, some = nearest(first, [b.container for b, _ in blocks]), nearest(first, [0] * len(blocks)), any(first)
     out = []
-    for i, (b, t) in enumerate(blocks):
-        kept = first[i]
-        if kept is None:
-            kept = nearest(i, True)
-        if kept is None and b.container:
-            kept = True  # an article in which no block is decided
-        if kept is None:
-            kept = nearest(i, False)
-        if kept is None and not any(first):
-            kept = True  # a page of ambiguous blocks alone
+    for kept, (b, t), inside, around in zip(first, blocks, own, whole):
+        if kept is None and inside:
+            kept = any(inside) if b.container else all(inside)
+        if kept is None:  # an article in which no block is decided; else the page's blocks, or one of ambiguous blocks alone
+            kept = b.container > 0 or (all(around) if around else not some)
         if kept:
             out.append(t)
     return "\n".join(out)

@@ -107,7 +107,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     number = F.regexp_extract(url_rules.path_of(F.col("url")), "/([0-9]{1,18})[^/]*/?$", 1)
     labelled = pages.select("url", F.when(number != "", number).cast("long").alias("number"))
     labelled = labelled.join(labels, F.col("number") == F.col("doc_id")).select("url", "bad")
-    return url_rules.judge(pages, url_rules.mine_rules(labelled)).select("page_id", "host", "path", "rule", "verdict")
+    return url_rules.judge(pages, url_rules.mine_rules(labelled)).select("page_id", "host", "path", "rule", "verdict", "confidence")
 
 
 @query("op6_simhash_windows")

@@ -15,7 +15,6 @@ columns are kept, names of the operator start with ``_sim_``.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -33,16 +32,12 @@ from rigwatch.session import materialise, scratch_path
 SHINGLE = 3
 SEED = 42
 RADIUS = 2
-WORD_SEEDS = (1, 2)
-WORD_RADIUS = 4      # bits, of fingerprints of words
-CONFIRM_RADIUS = 12  # bits, of fingerprints of shingles
-MIN_SIZE_RATIO = 0.8
-WIDE_NODE = 8192     # points below an upper node of fingerprints of words
 SEARCHED = 2_000_000 # queries times points of a node at a time
 FULL_NODE = 512    # fingerprints below one upper node; fuller ones are refined
 FAN = 8
 CHUNK = 1 << 15    # shingles hashed at a time
 COPY_SHINGLE = 5
+WIDE_NODE = 8192   # texts of a block of a node, of which all pairs are compared
 FEW_TEXTS = 4000   # looked through for common shingles
 COMMON = 8         # of those texts with a shingle, or more
 MARK_BITS = 24
@@ -125,31 +120,18 @@ def _under(points: DataFrame, masks: list[tuple[int | None, int]]) -> DataFrame:
             .select(*POINT, F.col("child").alias("mask"), F.col("fp").bitwiseAND(F.col("child")).alias("value")).distinct())
 
 
-POINT = ["id", "fp", "other", "size"]
+POINT = ["id", "fp"]
 
 
-def links(points: DataFrame, radius: int = RADIUS, other_radius: int | None = None) -> DataFrame:
-    """``a, b``: ids linking all points whose ``fp`` are within the radius, as stars per node.
-
-    ``points`` has different ``id, fp`` and, with ``other_radius``, a second fingerprint ``other`` and a ``size``:
-    then linked points must be within that radius there as well, and alike in size. Only then may points share
-    an ``fp``. Longer masks don't divide such points, so a node of more than ``WIDE_NODE`` of them is searched
-    four times in parts, by each quarter of ``other``.
-    """
-    if other_radius is None:
-        points = points.select("id", "fp", F.lit(0).cast("long").alias("other"), F.lit(0).cast("long").alias("size"))
+def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``a, b``: ids linking all points (different ``id, fp``) whose ``fp`` are within the radius, as stars per node."""
+    points = points.select(*POINT)
     masks = [(None, m) for m in top_masks(radius)]
     rows, ready = _under(points, masks), []
     while True:
         rows = materialise(rows, "sim-nodes")
         sizes = rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         sized = materialise(rows.join(sizes, ["mask", "value"]), "sim-sized")
-        if other_radius is not None:
-            ready.append(sized.where(F.col("n") <= WIDE_NODE).drop("n"))
-            quarters = F.array(*[F.struct(F.lit(q).alias("q"), F.shiftrightunsigned("other", 16 * q).bitwiseAND(F.lit(65535)).alias("v")) for q in range(4)])
-            parts = sized.where(F.col("n") > WIDE_NODE).select("*", F.explode(quarters).alias("e"))
-            ready.append(parts.withColumn("value", F.xxhash64("value", "e.q", "e.v")).drop("n", "e"))
-            break
         ready.append(sized.where(F.col("n") <= FULL_NODE).drop("n"))
         full = sized.where(F.col("n") > FULL_NODE).drop("n")
         if full.isEmpty():
@@ -157,7 +139,7 @@ def links(points: DataFrame, radius: int = RADIUS, other_radius: int | None = No
         masks = [(m, c) for m in dict.fromkeys(c for _, c in masks) for c in finer_masks(m, radius)]
         rows = _under(full, masks)
     found = [r.repartition("mask", "value").sortWithinPartitions("mask", "value").select("mask", "value", *POINT)
-             .mapInArrow(_search_nodes(radius, other_radius), "a long, b long") for r in ready]
+             .mapInArrow(_search_nodes(radius), "a long, b long") for r in ready]
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
@@ -232,12 +214,12 @@ def _stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _search_nodes(radius: int, other_radius: int | None):
-    """Star links of the nodes in ``mask, value, id, fp, other, size`` rows that come sorted by node."""
-    def linked(mask, value, ids, fp, other, size):
+def _search_nodes(radius: int):
+    """Star links of the nodes in ``mask, value, id, fp`` rows that come sorted by node."""
+    def linked(mask, value, ids, fp):
         order = np.lexsort((gray_rank(fp.view(np.uint64)), value, mask))
-        mask, value, ids, fp, other, size = (c[order] for c in (mask, value, ids, fp, other, size))
-        u, o = fp.view(np.uint64), other.view(np.uint64)
+        mask, value, ids, fp = (c[order] for c in (mask, value, ids, fp))
+        u = fp.view(np.uint64)
         node = np.cumsum(np.r_[True, (mask[1:] != mask[:-1]) | (value[1:] != value[:-1])])
         cuts = [0]
         for end in np.flatnonzero(np.r_[node[1:] != node[:-1], True]) + 1:
@@ -248,25 +230,19 @@ def _search_nodes(radius: int, other_radius: int | None):
             step = max(1, SEARCHED // int(np.bincount(node[s:e] - node[s]).max()))
             for q in range(0, e - s, step):
                 a, b = index.pairs(np.arange(q, min(q + step, e - s)), radius)
-                if other_radius is not None:
-                    near = np.bitwise_count(o[s + a] ^ o[s + b]) <= other_radius
-                    small, large = np.minimum(size[s + a], size[s + b]), np.maximum(size[s + a], size[s + b])
-                    a, b = (x[near & (small >= MIN_SIZE_RATIO * large)] for x in (a, b))
                 star = _stars(e - s, star[a], star[b])[star]
             own = np.flatnonzero(star != np.arange(e - s))
             if len(own):
                 yield pa.record_batch([pa.array(ids[s:e][own]), pa.array(ids[s:e][star[own]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64)] * 6
+        held = [np.empty(0, np.int64)] * 4
         for batch in batches:
             rows = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns)]
             if not len(rows[0]):
                 continue
             last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])  # the last node may go on
             done = len(last) - int(last.sum())
-            if len(last) - done > WIDE_NODE * 2:  # only parts of a wide node that couldn't be split: searched in turn
-                done = len(last)
             held = [c[done:] for c in rows]
             if done:
                 yield from linked(*[c[:done] for c in rows])
@@ -293,19 +269,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return slim.withColumn("fingerprint", F.lower(F.lpad(F.hex("_sim_fp"), 16, "0"))).drop("_sim_fp", "_sim_root")
 
 
-def word_fingerprints(text: str | None) -> tuple[int, int, int]:
-    """Two fingerprints of the words, counted, under different seeds, and the number of words."""
-    words = Counter((text or "").encode("utf-8", "surrogatepass").lower().split())
-    if not words:
-        return 0, 0, 0
-    weights, total, out = np.fromiter(words.values(), np.int64, len(words)), sum(words.values()), []
-    for seed in WORD_SEEDS:
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        out.append(int(np.packbits((weights @ bits.astype(np.int64)) * 2 > total, bitorder="little").view(np.int64)[0]))
-    return out[0], out[1], total
-
-
 # Documents with one of each group of near copies ---------------------------------------------------
 
 def shingle_set(text: str | None) -> np.ndarray:

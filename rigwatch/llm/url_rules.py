@@ -1,17 +1,22 @@
 """URL filters: fixed host/path rules, then association rules mined from labelled urls.
 
 FP-growth finds sets of url tokens (host suffixes, path segments, query keys) that occur together
-with a bad label. Rules are kept above a support and a confidence. A url is matched through an
-inverted index from tokens to rules: a rule fires if all of its tokens are found.
+with a bad label. A rule is kept if its support is high enough and if its confidence lies above the
+share of bad urls by more than chance: the lower bound of its Wilson interval, at an error level
+divided by the number of rules tried, must pass that share. So labels that don't depend on the
+urls give no rules. A rule that a shorter one implies, with no less confidence, is dropped. A url is
+matched through an inverted index from tokens to rules: a rule fires if all of its tokens are found.
 
 Defined results: a null url, or one without ``://``, has empty host and path and no tokens, so it
 gets the default verdict ``allow``; without labels, or without rules, all others do too; equal urls
-get equal verdicts; null labels are left out; further columns are kept.
+get equal verdicts; null labels are left out; further columns are kept, but for those with the name
+of a result, which the result replaces.
 """
 
 from __future__ import annotations
 
 import string
+from statistics import NormalDist
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -23,10 +28,10 @@ from rigwatch.session import materialise
 BASE_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
               ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 BAD = "=bad"
-MIN_SUPPORT = 0.002      # of the labelled urls
-MIN_CONFIDENCE = 0.5
-MIN_COUNT = 10           # labelled urls under a rule
-MAX_TOKENS = 3           # of a rule
+MIN_SUPPORT = 0.002      # bad urls under a rule, as a share of the labelled urls
+MIN_BAD = 5              # and their number
+ERROR = 0.05             # chance of any rule where labels don't depend on urls
+RESULTS = ["host", "path", "rule", "verdict", "confidence"]
 
 
 def host_of(url: Column) -> Column:
@@ -57,24 +62,31 @@ def tokens_of(url: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(suffixes, segments, keys), lambda t: F.char_length(t) > 2))
 
 
-def mine_rules(labelled: DataFrame) -> DataFrame:
-    """``rule_id, tokens, confidence`` from rows of ``url, bad``.
+def above(confidence: Column, n: Column, share: float, rules: int) -> Column:
+    """Whether a confidence seen on ``n`` urls is above a share, when so many rules are tried."""
+    z = NormalDist().inv_cdf(1 - ERROR / rules)
+    spread = z * F.sqrt(confidence * (1 - confidence) / n + z * z / (4 * n * n))
+    return (confidence + z * z / (2 * n) - spread) / (1 + z * z / n) > share
+
 
-    Only tokens that are frequent by themselves can be in a rule, so the others are taken off first.
-    """
+def mine_rules(labelled: DataFrame) -> DataFrame:
+    """``rule_id, tokens, n, confidence`` from rows of ``url, bad``; ``n``: labelled urls with these tokens."""
+    spark = labelled.sparkSession
     rows = materialise(labelled.where("bad is not null").select(F.col("bad"), tokens_of(F.col("url")).alias("tokens")), "url-labelled")
-    n = rows.count()
-    empty = rows.sparkSession.createDataFrame([], "rule_id long, tokens array<string>, confidence double")
-    if not n:
-        return empty
-    least = max(MIN_SUPPORT, MIN_COUNT / n)
-    if least > 1:
-        return empty
+    total, bad = rows.agg(F.count(F.lit(1)), F.count_if("bad")).first()
+    if bad < MIN_BAD:
+        return spark.createDataFrame([], "rule_id long, tokens array<string>, n long, confidence double")
     items = F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=MIN_CONFIDENCE).fit(rows.select(items.alias("items")))
-    rules = (model.associationRules.where((F.element_at("consequent", 1) == BAD) & (F.size("antecedent") <= MAX_TOKENS))
-             .select(F.sort_array("antecedent").alias("tokens"), "confidence"))
-    return materialise(rules.select(F.xxhash64("tokens").alias("rule_id"), "tokens", "confidence"), "url-rules")
+    model = FPGrowth(itemsCol="items", minSupport=max(MIN_SUPPORT, MIN_BAD / total)).fit(rows.select(items.alias("items")))
+    sets = materialise(model.freqItemsets.select(F.sort_array("items").alias("items"), "freq"), "url-sets")  # mined once
+    under = sets.where(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("items"), F.col("freq").alias("bad")).where("size(items) > 0")
+    tried = materialise(under.join(sets, "items").select(F.col("items").alias("tokens"), F.col("freq").alias("n"), (F.col("bad") / F.col("freq")).alias("confidence")), "url-tried")
+    good = materialise(tried.where(above(F.col("confidence"), F.col("n"), bad / total, max(1, tried.count()))), "url-rules")
+    shorter = F.transform("tokens", lambda t: F.array_remove("tokens", t))
+    parts = good.select("tokens", "confidence", F.explode(shorter).alias("part"))
+    also = good.select(F.col("tokens").alias("part"), F.col("confidence").alias("by_part"))
+    implied = parts.join(also, "part").where("by_part >= confidence").select("tokens")
+    return materialise(good.join(implied, "tokens", "left_anti").select(F.xxhash64("tokens").alias("rule_id"), "tokens", "n", "confidence"), "url-kept")
 
 
 def fired(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -86,10 +98,11 @@ def fired(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
-    """``pages`` with ``host, path, rule, verdict`` and the ``confidence`` of the mined rule."""
-    strongest = fired(pages.select(F.col(url).alias("url")), rules).select(F.col("url").alias("_url_fired"), F.col("confidence"))
-    joined = pages.join(strongest, F.col(url) == F.col("_url_fired"), "left").drop("_url_fired")
+    """``pages`` with ``host, path, rule, verdict`` and the ``confidence`` of the strongest mined rule that fires."""
+    strongest = fired(pages.select(F.col(url).alias("url")), rules).select(F.col("url").alias("_url_fired"), F.col("confidence").alias("_url_confidence"))
+    joined = pages.join(strongest, pages[url] == F.col("_url_fired"), "left")
     host, path = host_of(F.col(url)), path_of(F.col(url))
     rule, verdict = base_rule(host, path)
-    mined = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
-    return joined.select("*", host.alias("host"), path.alias("path"), rule.alias("rule"), F.coalesce(verdict, mined).alias("verdict"))
+    mined = F.when(F.col("_url_confidence").isNotNull(), "block").otherwise("allow")
+    return joined.select(*[c for c in pages.columns if c not in RESULTS], host.alias("host"), path.alias("path"), rule.alias("rule"),
+                         F.coalesce(verdict, mined).alias("verdict"), F.col("_url_confidence").alias("confidence"))

@@ -1,6 +1,12 @@
 """Licences, pages and urls."""
 
+import itertools
+import math
+import random
 import re
+import time
+from collections import Counter
+from statistics import NormalDist
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,7 +47,8 @@ def test_op7(spark, out):
 
 @pytest.mark.parametrize("text,steps", [
     ("MIT", ["mit"]), ("a OR b AND c", ["a", "b", "c", "and", "or"]), ("(a or b) and c", ["a", "b", "or", "c", "and"]),
-    ("a with e or b", ["a", "e", "with", "b", "or"]), ("a or", None), ("(a", None), ("a b", None), ("", None), ("a)", None), ("()", None)])
+    ("a with e or b", ["a", "e", "with", "b", "or"]), ("a or", None), ("(a", None), ("a b", None), ("", None), ("a)", None), ("()", None),
+    ("a with b with c", None), ("(a or b) with c", None), ("a with (b)", None), ("a with b and c with d", ["a", "b", "with", "c", "d", "with", "and"])])
 def test_shunting_yard(text, steps):
     assert licences.postfix(text) == steps
 
@@ -54,6 +61,57 @@ def test_expressions(text, labels, score):
     assert got[0] == labels and abs(got[1] - score) < 1e-9
 
 
+@pytest.mark.parametrize("text,labels,score", [
+    ("the GNU Lesser General Public License", "gpl,lgpl", 0.6), ("GNU Lesser General Public License, or the General Public License", "gpl,lgpl", 0.4),
+    ("Licensed under CC BY-NC 4.0.", "cc-by-nc", 0.1), ("SPDX-License-Identifier: CC-BY-NC-4.0 OR MIT\n", "cc-by-nc,mit", 1.0),
+    ("SPDX-License-Identifier: CC-BY-NC-4.0 OR MIT\ncc by nc", "cc-by-nc,mit", 0.1), ("the SPDX license identifier is MIT", "", 0.0),
+    ("spdx-license-identifier:MIT SPDX-License-Identifier: GPL-2.0+ */", "gpl,mit", 0.4), ("SPDX-License-Identifier: ", "", 0.5),
+    ("é\r\n# SPDX-License-Identifier : Apache-2.0 WITH LLVM-exception -->\r\nAll rights reserved", "apache,reserved", 0.0),
+    ("<!-- SPDX-License-Identifier: 0BSD", "0bsd", 1.0), ("mit licensed mitlicense", "", 0.0), ("redistribution and use in source", "", 0.0)])
+def test_notices_and_tags(text, labels, score):
+    assert licences.scan(text, licences.automaton())[5:] == (labels, score)
+
+
+def plain_scan(text):
+    """Labels and score by looking for every phrase at every word; tags by a pattern."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    phrases = {**licences.NOTICES, **licences.BASE_PHRASES}
+    spans = [(i, i + len(p.split()), x) for i in range(len(w)) for p, x in phrases.items() if w[i:i + len(p.split())] == p.split()]
+    outer = {x for a, b, x in spans if not any(c <= a and b <= d and d - c > b - a for c, d, _ in spans)}
+    return ",".join(sorted(outer | {licences.BASE_PHRASES[" ".join(w[a:b])] for a, b, _ in spans if " ".join(w[a:b]) in licences.BASE_PHRASES})), \
+        min([licences.FREEDOM[x] for x in outer], default=0.0)
+
+
+def test_notices_against_plain_search(spark):
+    rng = random.Random(5)
+    words = sorted({w for p in [*licences.NOTICES, *licences.BASE_PHRASES] for w in p.split()})
+    texts = [" ".join(rng.choice([*licences.NOTICES, rng.choice(words), rng.choice(words)]) for _ in range(12)) for _ in range(300)]
+    texts += [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(200).collect()]
+    found = licences.automaton()
+    for t in texts:
+        assert licences.scan(t, found)[5:] == plain_scan(t), t
+
+
+def test_long_texts_take_linear_time():
+    found, start = licences.automaton(), time.time()
+    assert licences.scan("SPDX-License-Identifier: MIT " * 20000, found)[5] == "mit" and licences.scan("mit license " * 100000, found)[1] == 100000
+    long = "The house of the man was on the hill and it was old, but not so old that it could not be lived in by all."
+    for page in ("<ul>" + "<li>Item" * 50000, "<div>x" * 10000 + "</div>" * 10000, f"<article><p>{long}</p>" + "<p>Short</p>" * 50000,
+                 "<div>" + "<b>" * 30000 + "<p>x</p>" * 30000, "<div>" * 10000 + "</span>" * 50000 + "x"):
+        assert html_text.main_text(page)
+    assert time.time() - start < 30  # about 4 s; minutes when it was quadratic
+
+
+def test_nearest_decided_blocks_against_plain_search():
+    rng = random.Random(4)
+    for _ in range(2000):
+        first = [rng.choice([True, False, None, None, None]) for _ in range(rng.randint(0, 14))]
+        groups = [rng.randint(0, 2) for _ in first]
+        for i, got in enumerate(html_text.nearest(first, groups)):
+            decided = [(abs(i - j), first[j]) for j in range(len(first)) if j != i and first[j] is not None and groups[j] == groups[i]]
+            assert sorted(got) == sorted(x for d, x in decided if d == min(decided)[0])
+
+
 def article(page):
     import html
     body = re.search(r"<article>(.*?)(</article>|$)", page or "", re.S)
@@ -108,16 +166,78 @@ def base_rule(url):
     return (host, path, *(max(fits)[1:] if fits else (None, None)))
 
 
-def test_op5(spark, out):
-    pages = {p.page_id: p.url for p in spark.read.parquet(f"{SF}/pages.parquet").collect()}
-    for r in QUERIES["op5_association_rules"](spark, SF).collect():
+def plain_tokens(url):
+    host, path = base_rule(url)[:2]
+    keys = re.search(r"://[^#]*?\?([^#]*)", url or "")
+    found = {"h:" + ".".join(host.split(".")[i:]) for i in range(len(host.split(".")))} | {"p:" + re.sub("[0-9]+", "", x) for x in path.lower().split("/")}
+    found |= {"q:" + x.split("=")[0].lower() for x in keys[1].split("&")} if keys else set()
+    return sorted(t for t in found if len(t) > 2)
+
+
+def plain_rules(labelled):
+    """Token sets that are worse than the rest by more than chance, with their confidence, by counting all sets."""
+    total, bad, all_of, bad_of = len(labelled), sum(b for _, b in labelled), Counter(), Counter()
+    if bad < url_rules.MIN_BAD:
+        return {}
+    for url, is_bad in labelled:
+        tokens = plain_tokens(url)
+        for s in (s for n in range(1, len(tokens) + 1) for s in itertools.combinations(tokens, n)):
+            all_of[s] += 1
+            bad_of[s] += is_bad
+    # As the miner does it: the least number of urls is the share times all of them, rounded up.
+    least = math.ceil(max(url_rules.MIN_SUPPORT, url_rules.MIN_BAD / total) * total)
+    tried = {s: (c, all_of[s]) for s, c in bad_of.items() if c >= least}
+    z, rules = NormalDist().inv_cdf(1 - url_rules.ERROR / max(1, len(tried))), {}
+    for s, (c, n) in tried.items():
+        p = c / n
+        if (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n) > bad / total:
+            rules[s] = p
+    return rules
+
+
+def labelled_urls(pages, labels):
+    for url in pages.values():
+        number = re.search(r"/([0-9]{1,18})[^/]*/?$", base_rule(url)[1])
+        if number and int(number[1]) in labels:
+            yield url, labels[int(number[1])]
+
+
+def check_op5(rows, pages, labels):
+    rules, mined = plain_rules(list(labelled_urls(pages, labels))), 0
+    for r in rows:
         host, path, rule, verdict = base_rule(pages[r.page_id])
-        assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict == (verdict or r.verdict) and r.verdict in ("allow", "block")
+        tokens = set(plain_tokens(pages[r.page_id]))
+        best = max((p for s, p in rules.items() if set(s) <= tokens), default=None)
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict or ("allow" if best is None else "block"))
+        assert r.confidence == best or abs(r.confidence - best) < 1e-12
+        mined += verdict is None and best is not None
+    return len(rules), mined
+
+
+def test_op5(spark):
+    pages = {p.page_id: p.url for p in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    labels = {r.doc_id: r.quality == 0 or r.toxic == 1 for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    assert check_op5(QUERIES["op5_association_rules"](spark, SF).collect(), pages, labels) == (0, 0)  # labels there don't depend on urls
+
+
+def test_op5_where_labels_depend_on_urls(spark, out):
+    tables = "/root/testdata/sf0.1"
+    pages = spark.read.parquet(f"{tables}/pages.parquet")
+    number = F.regexp_extract(url_rules.path_of(F.col("url")), "/([0-9]{1,18})[^/]*/?$", 1).cast("long")
+    spoilt = (F.col("url").contains("blog.") & F.col("url").contains("/fr/")) | F.col("url").contains("ththan.")  # two tokens together, and one
+    noise = F.crc32("url") % 10
+    pages.select(number.alias("doc_id"), F.when(spoilt, (noise > 0).cast("int")).otherwise((noise == 0).cast("int")).alias("toxic"), F.lit(1).alias("quality")) \
+        .where("doc_id is not null").dropDuplicates(["doc_id"]).write.parquet(out + "/labels.parquet")
+    labels = {r.doc_id: r.toxic == 1 for r in spark.read.parquet(out + "/labels.parquet").collect()}
+    rows = QUERIES["op5_association_rules"](spark, saved(pages.withColumn("confidence", F.lit("x")), out, "pages")).collect()
+    rules, blocked = check_op5(rows, {p.page_id: p.url for p in pages.collect()}, labels)
+    assert rules and blocked > 20
 
 
 def test_op5_odd(spark, out):
     urls = [None, "", "no scheme", "http://", "HTTP://A.ORG", "http://a.org/x", "http://org/", "http://example.org/es/1?q#f", "http://x.example.org/en/12",
             "http://EXAMPLE.org/en/2", "http://a.com/fr/", "http://a.com/de/?x=/fr/", "http://com/dex", "x://http://com/de/", "http://xorg/", "http://a.net?b=c://d.org/"]
+    urls.append("http://long.net/" + "ab/" * 30000 + "?" + "k=v&" * 30000)
     df = spark.createDataFrame([(i, u, "r", 1) for i, u in enumerate(urls + urls)], "page_id long, url string, rule string, host int")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(out + "/labels.parquet")
     got = QUERIES["op5_association_rules"](spark, saved(df, out, "pages")).collect()

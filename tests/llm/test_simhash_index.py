@@ -84,19 +84,6 @@ def test_gray_rank_and_pairs():
     assert set(zip(a.tolist(), b.tolist())) == want
 
 
-def groups_of(texts):
-    """Group of every text by the rule of the pipeline's stage, by comparing all pairs."""
-    prints = np.array([print_of(t) for t in texts], np.uint64)
-    words = [simhash_index.word_fingerprints(t) for t in texts]
-    a, b = (np.array([w[k] for w in words], np.int64).view(np.uint64) for k in (0, 1))
-    size = np.array([w[2] for w in words])
-
-    def linked(i):
-        near = (np.bitwise_count(a ^ a[i]) <= 4) | (np.bitwise_count(b ^ b[i]) <= 4)
-        return near & (np.bitwise_count(prints ^ prints[i]) <= 12) & (np.minimum(size, size[i]) >= 0.8 * np.maximum(size, size[i]))
-    return smallest(prints, list(range(len(texts))), linked)
-
-
 def edited(rng, words, n):
     w = list(words)
     for _ in range(n):
@@ -106,14 +93,13 @@ def edited(rng, words, n):
 
 @pytest.mark.parametrize("wide", [8192, 40])
 def test_near_copies_go_and_others_stay(spark, monkeypatch, wide):
-    monkeypatch.setattr(simhash_index, "WIDE_NODE", wide)  # 40: nodes are searched by quarters
+    monkeypatch.setattr(simhash_index, "WIDE_NODE", wide)  # 40: nodes are cut to blocks
     rng = random.Random(7)
     bases = [["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(250)] for _ in range(12)]
     texts = [" ".join(b) for b in bases] + [edited(rng, bases[0], rng.randint(0, 4)) for _ in range(60)] + [edited(rng, bases[1], 2)] * 20
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     kept = sorted(r.doc_id for r in simhash_index.one_of_each(df).collect())
-    assert kept == sorted(set(groups_of(texts))) or wide == 40
-    assert set(range(12)) <= set(kept) and len(kept) <= 12 + 4  # a few copies may be beyond the radius
+    assert kept == sorted(set(similar_groups(texts)[0])) and set(range(12)) <= set(kept)
 
 
 def test_one_fingerprint_of_words_for_all(spark, monkeypatch):
