@@ -38,10 +38,11 @@ def preparation(data: DataFrame, target: str = "label_cooler", columns: Sequence
     ]).fit(data)
 
 
-def classifiers(target: str = "label_cooler", seed: int = SEED) -> dict:
+def classifiers(target: str = "label_cooler", seed: int = SEED, offered: str = "auto") -> dict:
+    """``offered``: features that each split of the forest may choose from, as Spark names it."""
     common = {"labelCol": f"{target}_indexed", "featuresCol": "features", "seed": seed}
     return {
-        "RandomForest": RandomForestClassifier(numTrees=TREES, **common),
+        "RandomForest": RandomForestClassifier(numTrees=TREES, featureSubsetStrategy=offered, **common),
         "DecisionTree": DecisionTreeClassifier(**common),
     }
 
@@ -83,7 +84,7 @@ def importances(spark: SparkSession, model, columns: Sequence[str]) -> DataFrame
         F.col("importance").desc(), "feature")
 
 
-def train(data: DataFrame, target: str = "label_cooler", seed: int = SEED) -> tuple[dict, DataFrame, DataFrame]:
+def train(data: DataFrame, target: str = "label_cooler", seed: int = SEED, offered: str = "auto") -> tuple[dict, DataFrame, DataFrame]:
     """Train every classifier on one split.
 
     Returns the models, the metrics and the importances. ``data`` is used by
@@ -95,7 +96,7 @@ def train(data: DataFrame, target: str = "label_cooler", seed: int = SEED) -> tu
     train_rows, test_rows = split(ready, seed=seed)
     train_rows = train_rows.cache()
     models, metrics, weights = {}, [], []
-    for name, classifier in classifiers(target, seed).items():
+    for name, classifier in classifiers(target, seed, offered).items():
         model = classifier.fit(train_rows)
         models[name] = model
         metrics.append(evaluate(model.transform(test_rows), target).select(F.lit(name).alias("model"), "*"))

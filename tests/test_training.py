@@ -63,6 +63,20 @@ def test_other_targets(data):
     assert metrics.count() == 8 and set(models) == {"RandomForest", "DecisionTree"}
 
 
+def test_signal_is_found_among_features_that_go_along_with_it(spark, monkeypatch):
+    from rigwatch.plans import cycles
+
+    base = spark.range(400).select(F.col("id").cast("int").alias("cycle"), (F.col("id") % 20 * 5.0).alias("x"))
+    columns = [F.col("x").alias("PS1_mean")] + [(F.col("x") + F.rand(n) * 6 - 3).alias(c) for n, c in enumerate(cycles.FEATURES) if c != "PS1_mean"]
+    table = base.select("cycle", *columns, *[F.lit(0).alias(n) for n in ("label_cooler", "label_valve", "label_pump", "label_accumulator", "label_stable")])
+    monkeypatch.setattr(cycles, "training_table", lambda spark, sf: table)
+    weights, train = [], training.train
+    monkeypatch.setattr(training, "train", lambda *a, **k: [out := train(*a, **k), weights.append(out[2])][0])
+    rows = sorted(tuple(r) for r in cycles.train_signal(spark, "").collect())
+    assert all(r.importance > 0.5 for r in weights[0].where("feature = 'PS1_mean'").collect())
+    assert rows == [(m, 400, 200, "PS1_mean", True, True) for m in ("DecisionTree", "RandomForest")]
+
+
 def test_fill_and_missing_flags(spark):
     wide = spark.createDataFrame([(1, 2.0, None), (2, None, None)], "cycle int, PS1_mean double, PS1_std double")
     labels = spark.createDataFrame([(1, 3), (3, 20)], "cycle int, label_cooler int")
