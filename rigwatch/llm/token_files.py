@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -78,7 +79,7 @@ class Encoder:
     Words are kept in two generations: when the recent one is full, it takes the place of the older.
     """
 
-    unsure = re.compile("[\x00\x1c-\x1f]")
+    unsure = "\x00\x1c\x1d\x1e\x1f"
     combining = re.compile("[\u0300-\u036f]")
     letters = frozenset(c for c in map(chr, range(0x250)) if c.lower().isalpha())  # to every version of Unicode, in any case
 
@@ -96,12 +97,24 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
-        split = [None if self.unsure.search(t) else self._fold(t).split() for t in texts]
-        self._know(set().union(*[s for s in split if s]))
-        get = self.recent.__getitem__
-        out = [self._whole(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
+        plain = [not any(c in t for c in self.unsure) for t in texts]
+        lines = pa.array([self._fold(t) for t, p in zip(texts, plain) if p], pa.large_string())
+        split = pc.ascii_split_whitespace(lines)
+        words = split.flatten().dictionary_encode()
+        spelled = words.dictionary.to_pylist()
+        self._know(set(spelled) - {""})  # at the ends of a text
+        ids = pa.array([self.recent[w] if w else b"" for w in spelled], pa.large_binary())
         if len(self.recent) > CACHE_WORDS:
             self.older, self.recent = self.recent, {}
+        placed = ids.take(words.indices)
+        _, bounds, data = placed.buffers()
+        ends = np.frombuffer(bounds, np.int64, len(placed) + 1) if len(placed) else np.zeros(1, np.int64)
+        cuts, data = iter(ends[split.offsets.to_numpy()].tolist()), memoryview(data or b"")
+        start, out = next(cuts), []
+        for t, p in zip(texts, plain):
+            end = next(cuts) if p else start
+            out.append(bytes(data[start:end]) if p else self._whole(t))
+            start = end
         return out
 
     def _whole(self, text: str) -> bytes:
@@ -115,9 +128,11 @@ class Encoder:
         return missing - again
 
     def _fold(self, text: str) -> str:
-        if not self.folds or self.combining.search(text):
-            return text
-        return text.lower() if text.isascii() else text.encode().lower().decode()  # bytes: ASCII alone
+        """The text with ASCII alone as white space, and in lower case if the tokenizer does so."""
+        if text.isascii():
+            return text.lower() if self.folds else text
+        text = " ".join(text.split())
+        return text.encode().lower().decode() if self.folds and not self.combining.search(text) else text  # bytes: ASCII alone
 
     def _know(self, words: set[str]) -> None:
         fresh, cuts = self._missing(words), {}

@@ -80,6 +80,19 @@ def test_folded_and_cut_words_equal_the_library(monkeypatch):
         assert len(encoder.recent) <= 500
 
 
+def test_a_word_is_looked_up_once_for_all_texts():
+    """The work of a slice goes with its different words, however often they occur; texts that go to the library lie between."""
+    encoder, seen = token_files.Encoder(vocabulary()), []
+
+    class Memory(dict):
+        def __getitem__(self, word):
+            seen.append(word)
+            return super().__getitem__(word)
+    encoder.recent = Memory()
+    texts = ["", " the quick\tbrown fox ", "a\x1cb", "the quick " * 50, "\u2003the\u2028Quick\xa0", "   "] * 20
+    assert differing(encoder, texts) == [] and len(seen) < 20
+
+
 def test_encoder_equals_the_library():
     rng = random.Random(2)
     pool = "abcXYZ019.,!'&<|> \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u2028\u3000\u200b\u180e\u0301\u0338éÉßİŉſΣσςñЖ漢字🙂가각ᄀ\u1161\u11a8\ufeff\x00½²"
