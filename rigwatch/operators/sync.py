@@ -159,16 +159,20 @@ def wide_ticks(readings: DataFrame, sensors: Sequence[str] = SENSOR_NAMES, id_of
     """One row per cycle and tick with a column per sensor; ids start at ``id_offset``.
 
     Samples are shuffled once, by cycle and second, before slow ones are
-    repeated; the ticks of a second are then put together where they are.
+    repeated. A second's samples are put into a list, and its ticks are made
+    from that one after the other: no table of ticks is held.
     """
     second = F.floor(F.col("sample_idx") / rate_of("sensor"))
     placed = (
         readings.filter(F.col("sensor").isin(list(sensors)))
-        .select("cycle", "sensor", "sample_idx", "value", second.alias("_second"))
+        .select("cycle", "sensor", "sample_idx", "value", second.alias("_second"),
+                F.coalesce((F.lit(TOP_RATE_HZ) / rate_of("sensor")).cast("int"), F.lit(1)).alias("_factor"))
+        .withColumn("_from", F.col("sample_idx") * F.col("_factor"))
         .repartition("cycle", "_second")
     )
-    cells = [F.expr(f"max(CASE WHEN sensor = '{s}' THEN value END) AS {s}") for s in sensors]
-    return (
-        upsample(placed).groupBy("cycle", "_second", "tick").agg(*cells)
-        .select((F.col("cycle") + id_offset).alias("profile_id"), "tick", *sensors)
-    )
+    seconds = placed.groupBy("cycle", "_second").agg(F.collect_list(F.struct("sensor", "_from", "_factor", "value")).alias("_samples"))
+    own = seconds.select("cycle", *[F.expr(f"filter(_samples, x -> x.sensor = '{s}')").alias(f"_{s}") for s in sensors], F.explode(F.expr(
+        "array_distinct(flatten(transform(_samples, x -> coalesce(sequence(x._from, x._from + x._factor - 1), array(x._from)))))")).alias("tick"))
+    covers = "x -> (tick >= x._from AND tick < x._from + x._factor) OR (tick IS NULL AND x._from IS NULL)"
+    cells = [F.expr(f"array_max(transform(filter(_{s}, {covers}), x -> x.value))").alias(s) for s in sensors]
+    return own.select((F.col("cycle") + id_offset).alias("profile_id"), "tick", *cells)

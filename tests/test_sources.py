@@ -182,3 +182,21 @@ def test_lines_are_numbered_through_a_folder(spark, out):
     assert sorted((r.sensor, r.cycle, r.sample_idx, r.value, r.sampling_rate_hz) for r in got.collect() if r.value is not None) == [
         ("PS1", 1, 0, 1.0, 100), ("PS1", 1, 1, 2.0, 100), ("PS1", 2, 1, 3.0, 100), ("PS1", 3, 0, 4.0, 100), ("PS1", 3, 1, 5.0, 100), ("TS1", 1, 0, 9.0, 1)]
     assert {(r.sensor, r.cycle) for r in got.collect() if r.value is None} == {("PS1", 2), ("PS1", 4)}
+
+
+def test_wide_ticks_hold_no_table_of_ticks(spark):
+    """Repeated samples, values and keys that are null; no aggregation keeps a row per tick."""
+    from rigwatch.operators.sync import wide_ticks
+
+    rows = [(1, "PS1", 0, 1.0), (1, "PS1", 0, 3.0), (1, "FS1", 0, None), (1, "FS1", 1, 2.0), (1, "TS1", 1, 5.0), (None, "TS1", 0, 7.0), (2, "TS1", None, 4.0)]
+    want = {}
+    for cycle, sensor, at, value in rows:
+        factor = {"PS1": 1, "FS1": 10, "TS1": 100}[sensor]
+        for tick in [None] if at is None else range(at * factor, at * factor + factor):
+            cell = want.setdefault((cycle and cycle + 1, tick), {"PS1": [], "FS1": [], "TS1": []})[sensor]
+            cell += [] if value is None else [value]
+    df = wide_ticks(spark.createDataFrame(rows, "cycle int, sensor string, sample_idx int, value double"), ["PS1", "FS1", "TS1"])
+    got = [tuple(r) for r in df.collect()]
+    assert sorted(got, key=str) == sorted(((*k, *[max(v, default=None) for v in c.values()]) for k, c in want.items()), key=str)
+    assert "keys=[cycle" in (plan := df._jdf.queryExecution().executedPlan().toString()) and "tick" not in "".join(
+        line for line in plan.splitlines() if "Aggregate(keys" in line)
