@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8) stays: the one with the smallest id."""
+    """One document of each group of near copies (Gray-order index of SimHash fingerprints, then shingles; similarity 0.8 verified) stays: the smallest id."""
     return simhash_index.one_of_each(docs.select(*COLUMNS))
 
 

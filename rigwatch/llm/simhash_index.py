@@ -15,7 +15,7 @@ columns are kept, names of the operator start with ``_sim_``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -37,10 +37,13 @@ FULL_NODE = 512    # fingerprints below one upper node; fuller ones are refined
 FAN = 8
 CHUNK = 1 << 15    # shingles hashed at a time
 COPY_SHINGLE = 5
+COPY_RADIUS = 3    # of the fingerprints of near copies that the index looks up
+STARS = 16         # members of a group, other ones by key, with which a turn compares
 WIDE_NODE = 8192   # texts of a block of a node, of which all pairs are compared
 FEW_TEXTS = 4000   # looked through for common shingles
 COMMON = 8         # of those texts with a shingle, or more
 MARK_BITS = 24
+SKETCHED = 1024    # pairs whose counts are held at a time
 SKETCH = 64        # counts of a set, looked at for every two members of a node
 WIDE_SKETCH = 1024 # counts of a set, for pairs that the small sketch leaves: it tells long texts apart
 TURNS = 4          # of comparing with a few members of a node
@@ -67,8 +70,12 @@ def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """Majority of the bits of the shingles' hashes, as a signed 64-bit integer."""
+    return majority(_hashes(text, shingle))
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
     ones, n = np.zeros(64, np.int64), 0
-    for hashes in _hashes(text, shingle):
+    for hashes in parts:
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
         n += len(hashes)
@@ -307,9 +314,9 @@ def _counts(hashes: np.ndarray, buckets: int) -> bytes:
 
 
 def _described(common: bytes):
-    """``doc_id, id, set, n, sketch, wide, prefix`` of ``doc_id, id, text``.
+    """``doc_id, id, set, n, fp, sketch, wide, prefix`` of ``doc_id, id, text``.
 
-    ``prefix`` has a set's first shingles, one more than may be missing: sets with a similarity of 0.8 share
+    ``fp`` is the SimHash fingerprint of the set. ``prefix`` has a set's first shingles, one more than may be missing: sets with a similarity of 0.8 share
     one of those, in whatever order that is the same for all sets. Shingles in ``common`` ranges come last,
     so that a common passage makes a node only for texts that are little else. ``sketch`` and ``wide`` count the shingles
     by bits of their hashes.
@@ -317,19 +324,20 @@ def _described(common: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.unpackbits(np.frombuffer(common, np.uint8))
         for batch in batches:
-            names, sizes, sketches, wides, prefixes = [], [], [], [], []
+            names, sizes, prints, sketches, wides, prefixes = [], [], [], [], [], []
             for text in batch.column(2):
                 s = shingle_set(text.as_py())
                 n = len(s)
                 names.append(xxhash.xxh128_hexdigest(s.tobytes()))
                 sizes.append(n)
+                prints.append(majority(s[i:i + CHUNK] for i in range(0, n, CHUNK)))
                 sketches.append(_counts(s, SKETCH))
                 wides.append(_counts(s >> np.uint64(8), WIDE_SKETCH))
                 order = np.argsort(last[s >> np.uint64(64 - MARK_BITS)], kind="stable")
                 prefixes.append(s[order[:n - (4 * n + 4) // 5 + 1 if n else 0]].view(np.int64))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(sizes, pa.int64()),
-                                   pa.array(sketches, pa.binary()), pa.array(wides, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                                  ["doc_id", "id", "set", "n", "sketch", "wide", "prefix"])
+                                   pa.array(prints, pa.int64()), pa.array(sketches, pa.binary()), pa.array(wides, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+                                  ["doc_id", "id", "set", "n", "fp", "sketch", "wide", "prefix"])
     return run
 
 
@@ -436,7 +444,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches leave a similarity of 0.8 possible: their differences are differing shingles."""
-    for batch in batches:
+    for batch in (b.slice(i, SKETCHED) for b in batches for i in range(0, b.num_rows, SKETCHED)):
         if batch.num_rows:
             x, y = (_sketches(batch, c) for c in ("sketch_a", "sketch_b"))
             n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
@@ -475,18 +483,35 @@ def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kept: _Scra
     return links
 
 
+def indexed_links(points: DataFrame, texts: DataFrame, kept: _Scratch) -> DataFrame:
+    """``a, b``: links found through the Gray-order index of the points' fingerprints (``fp``), verified on the texts.
+
+    A fingerprint is indexed once, by its smallest id; its other ids are candidates of that one.
+    """
+    firsts = kept.write(points.groupBy("fp").agg(F.min("id").alias("first")), "copy-prints")
+    near = links(firsts.select(F.col("first").alias("id"), "fp"), COPY_RADIUS)
+    same = points.join(firsts, "fp").where(F.col("id") != F.col("first")).select(F.col("first").alias("a"), F.col("id").alias("b"))
+    pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().union(same)
+    return _verified(pairs, points, texts, kept)
+
+
 def copy_links(nodes: DataFrame, points: DataFrame, texts: DataFrame, kept: _Scratch) -> DataFrame:
     """``a, b``: ids that link all points with a similarity of 0.8 or more, directly or through others.
 
-    First, texts of a node are compared with a few members of it only, and what that links needs no further
-    comparing; then all pairs of a node that are still apart. ``nodes`` has ``key, id, n, pos``, ``points`` ``id, n, sketch, wide``,
-    ``texts`` ``id, text``; all are read several times.
+    First come the links through the Gray-order index. Similar texts whose fingerprints differ by more than its radius
+    meet in nodes, one of a shingle: the texts of a node that are still apart are compared with a few members of it, and what
+    that links needs no further comparing; then all pairs of a node that are still apart. ``nodes`` has ``key, id, n, pos``,
+    ``points`` ``id, n, fp, sketch, wide``, ``texts`` ``id, text``; all are read several times.
     """
-    found = nodes.sparkSession.createDataFrame([], "a long, b long")
-    rest, turns = nodes.withColumn("root", F.col("id")), []
+    def rooted(rows: DataFrame) -> DataFrame:
+        roots = components(found)
+        return turns[-1].write(rows.join(roots, rows.id == roots.node, "left").select(*nodes.columns, F.coalesce("root", "id").alias("root")), "copy-rooted")
+
+    found, turns = indexed_links(points, texts, kept), [_Scratch(nodes.sparkSession)]
+    rest = rooted(nodes)
     for turn in range(TURNS + 1):
         turns.append(_Scratch(nodes.sparkSession))
-        star = F.min(F.struct(F.xxhash64("id", F.lit(turn), F.col("key").bitwiseAND(3)), "id", "n", "root")).alias("star")
+        star = F.min(F.struct(F.xxhash64("id", F.lit(turn), F.col("key").bitwiseAND(STARS - 1)), "id", "n", "root")).alias("star")
         mixed = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"), star).where("lo <> hi")
         mixed = turns[-1].write(mixed.select("key", "c", "star"), "copy-mixed")
         rest = turns[-1].write(rest.join(mixed, "key"), "copy-rest")
@@ -497,10 +522,8 @@ def copy_links(nodes: DataFrame, points: DataFrame, texts: DataFrame, kept: _Scr
             break
         apart = rest.where((F.col("root") != F.col("star.root")) & _alike("n", "star.n"))
         new = _verified(apart.select(F.col("star.id").alias("a"), F.col("id").alias("b")).distinct(), points, texts, kept, one=True)
-        rest = rest.drop("c", "star", "root")
         found = found.union(new)
-        roots = components(found)
-        rest = rest.join(roots, rest.id == roots.node, "left").select(*nodes.columns, F.coalesce("root", "id").alias("root"))
+        rest = rooted(rest.drop("c", "star", "root"))
     found = found.union(_verified(_all_pairs(rest, points), points, texts, kept))
     turns[-1].drop()
     return found
@@ -509,7 +532,8 @@ def copy_links(nodes: DataFrame, points: DataFrame, texts: DataFrame, kept: _Scr
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` less all but one document of each group: the smallest id stays, of equal ids any one.
 
-    Documents are linked if the Jaccard similarity of their sets of five-word shingles is 0.8 or more. Every
+    Documents are linked if the Jaccard similarity of their sets of five-word shingles is 0.8 or more. Candidates
+    come from the Gray-order index of the sets' fingerprints, then, for what its radius leaves apart, from shingles: every
     such pair shares one of its sets' first shingles (see ``_described``), so none is missed, and every link is
     verified on whole sets. Shingles are known by 64-bit hashes, equal sets by 128-bit ones. A text of fewer
     than five words is one shingle; texts without words are one group.
@@ -517,13 +541,13 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     kept = _Scratch(docs.sparkSession)
     rows = kept.write(docs.withColumn("_sim_row", F.monotonically_increasing_id()), "sim-docs")
     texts = rows.select(F.col("_sim_row").alias("id"), F.col(text).alias("text"))
-    kinds = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id long, set string, n long, sketch binary, wide binary, prefix array<long>"
+    kinds = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id long, set string, n long, fp long, sketch binary, wide binary, prefix array<long>"
     slim = rows.select(F.col(doc_id).alias("doc_id"), F.col("_sim_row").alias("id"), F.col(text).alias("text"))
     step = _Scratch(docs.sparkSession)
     whole = step.write(slim.mapInArrow(_described(_common(texts.select("text"))), kinds), "sim-described")
-    slim = kept.write(whole.drop("prefix", "wide"), "sim-sets")
+    slim = kept.write(whole.drop("prefix", "wide", "fp"), "sim-sets")
     first = kept.write(slim.groupBy("set").agg(F.min("id").alias("id")), "sim-first")
-    points = kept.write(whole.select("id", "n", "sketch", "wide").join(first.select("id"), "id", "left_semi"), "sim-points")
+    points = kept.write(whole.select("id", "n", "fp", "sketch", "wide").join(first.select("id"), "id", "left_semi"), "sim-points")
     nodes = _shared(whole.select("id", "n", "prefix").join(first.select("id"), "id", "left_semi"), kept)
     step.drop()
     roots = components(copy_links(nodes, points, texts, kept))

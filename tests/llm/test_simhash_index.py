@@ -116,6 +116,22 @@ def test_one_of_each(spark):
     assert sorted(r.doc_id or -1 for r in kept) == [-1, 1, 2, 5, 6, 8, 9, 10] and set(kept[0].asDict()) == set(docs.columns)
 
 
+def test_near_copies_come_through_the_index(spark, monkeypatch):
+    """Candidates of the Gray-order index are verified: near copies are linked, other texts of the same fingerprint are not."""
+    rng = random.Random(5)
+    bases = [["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(900)] for _ in range(6)]
+    texts = [t for b in bases for t in (" ".join(b), " ".join(b[1:]), " ".join(b + ["end"]))]
+    monkeypatch.setattr(simhash_index, "_shared", lambda points, kept: kept.write(points.sparkSession.createDataFrame(
+        [], "key long, id long, n long, pos long"), "no-nodes"))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in simhash_index.one_of_each(df).collect()) == list(range(0, 18, 3))
+    monkeypatch.setattr(simhash_index, "majority", lambda parts: 5)
+    texts = texts + [f"alone {i}" for i in range(4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in simhash_index.one_of_each(df).collect()}
+    assert {*range(0, 18, 3), *range(18, 22)} <= kept
+
+
 def sets_of(texts):
     out = []
     for t in texts:
