@@ -34,9 +34,11 @@ END_ID = 1
 BLOCK_IDS = 1 << 16
 PART_BYTES = 8 << 20         # aim for the text of a part
 MAX_PARTS = 1 << 16          # then parts grow
-CACHE_WORDS = 400_000        # encoded words after which a Python worker starts anew; it keeps those and the ones before
-MARKS = ".,;:!?"             # marks cut off a word's end before it is encoded
-SLICE_CHARS = 8_000_000      # text encoded at a time
+CACHE_WORDS = 1_000_000      # encoded words that a Python worker keeps
+CACHE_BYTES = 48 << 20       # and the bytes of these with their ids
+LEARNT_WORDS = 5_000         # words given to the library at a time
+MARKS = ".,;:!?#$%&*\")"     # marks cut off a word's end before it is encoded
+SLICE_CHARS = 4_000_000      # text encoded at a time
 BLOCK_SCHEMA = ("part int, block int, start long, n_ids int, planes array<binary>, "
                 "piece_doc array<long>, piece_number array<long>, piece_ids array<int>")
 
@@ -74,26 +76,50 @@ class Encoder:
     it does; then a text's ids are those of its stretches in turn. Texts with characters on which
     Python and the tokenizer disagree about white space, or with NUL, go to the library whole.
     ASCII is lower-cased beforehand if the tokenizer does so (but not beside combining marks, with
-    which it composes first), and a new stretch is cut before its last punctuation marks if the
-    tokenizer does so; both are probed, and both leave the ids as they are.
-    Words are kept in two generations: when the recent one is full, it takes the place of the older.
+    which it composes first), and a stretch is cut before its last punctuation marks if the
+    tokenizer does so. Words of Latin letters alone go to the library's model without its normalizer
+    and regular expression, if these put such words into small letters, leave them whole, and the
+    model marks the ends of words. All three are probed, and all leave the ids as they are.
+    Words and their ids are kept in Arrow columns; when there are too many, the last slice's stay.
     """
 
     unsure = "\x00\x1c\x1d\x1e\x1f"
     combining = re.compile("[\u0300-\u036f]")
     letters = frozenset(c for c in map(chr, range(0x250)) if c.lower().isalpha())  # to every version of Unicode, in any case
+    latin = "".join(c for c in map(chr, range(0xc0, 0x100)) if c.isalpha()) + string.ascii_letters  # nothing among them composes
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.recent = self._table(pa.array([], pa.large_string()), pa.array([], pa.large_binary()))
         self.nul, = self.tokenizer.encode("\x00", add_special_tokens=False).ids
         normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         self.folds = normal is not None and normal.normalize_str(string.ascii_uppercase) == string.ascii_lowercase
         self.marks = "".join(m for m in MARKS if cut is not None and all(
             [at for _, at in cut.pre_tokenize_str(letter + m + more)][:1] == [(0, 1)] for letter in "a0" for more in ("", m)))
+        self.before_marks = f"[{''.join(sorted(self.letters))}]$"
+        self.model = self._model()
+
+    def _model(self):
+        """The library's model between blanks alone; none if words of Latin letters don't come to it whole, as bytes of small letters."""
+        from tokenizers import Tokenizer, pre_tokenizers
+        given, normal, cut = self.tokenizer.model, self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        suffix, small = getattr(given, "end_of_word_suffix", None), self.latin.lower()
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        if (not suffix or normal is None or cut is None or normal.normalize_str(self.latin) != small
+                or cut.pre_tokenize_str(small) != as_bytes.pre_tokenize_str(small)):
+            return None
+        self.bytes = {b: m for c in small for b, m in zip(c.encode().decode("latin-1"), as_bytes.pre_tokenize_str(c)[0][0], strict=True) if b != m}
+        self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)  # ids that end a word
+        self.last[[i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith(suffix)]] = True
+        model = Tokenizer(given)  # shares the vocabulary
+        model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        return model
+
+    @staticmethod
+    def _table(words: pa.Array, ids: pa.Array) -> pa.RecordBatch:
+        return pa.record_batch([words, ids], ["word", "ids"])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
@@ -101,12 +127,7 @@ class Encoder:
         lines = pa.array([self._fold(t) for t, p in zip(texts, plain) if p], pa.large_string())
         split = pc.ascii_split_whitespace(lines)
         words = split.flatten().dictionary_encode()
-        spelled = words.dictionary.to_pylist()
-        self._know(set(spelled) - {""})  # at the ends of a text
-        ids = pa.array([self.recent[w] if w else b"" for w in spelled], pa.large_binary())
-        if len(self.recent) > CACHE_WORDS:
-            self.older, self.recent = self.recent, {}
-        placed = ids.take(words.indices)
+        placed = self._placed(words.dictionary, words.indices)
         _, bounds, data = placed.buffers()
         ends = np.frombuffer(bounds, np.int64, len(placed) + 1) if len(placed) else np.zeros(1, np.int64)
         cuts, data = iter(ends[split.offsets.to_numpy()].tolist()), memoryview(data or b"")
@@ -120,13 +141,6 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _missing(self, words: set[str]) -> set[str]:
-        """Those of the words that no generation has; words of the older one become recent."""
-        missing = words.difference(self.recent)
-        again = missing.intersection(self.older)
-        self.recent.update((w, self.older[w]) for w in again)
-        return missing - again
-
     def _fold(self, text: str) -> str:
         """The text with ASCII alone as white space, and in lower case if the tokenizer does so."""
         if text.isascii():
@@ -134,30 +148,75 @@ class Encoder:
         text = " ".join(text.split())
         return text.encode().lower().decode() if self.folds and not self.combining.search(text) else text  # bytes: ASCII alone
 
-    def _know(self, words: set[str]) -> None:
-        fresh, cuts = self._missing(words), {}
-        for w in fresh:
-            if w[-1] in self.marks:
-                core = w.rstrip(self.marks)
-                if core and core[-1] in self.letters:
-                    cuts[w] = core, w[len(core):]
-        plain = list(self._missing(fresh.difference(cuts).union(*cuts.values())))
-        for i in range(0, len(plain), 20_000):
-            self._learn(plain[i:i + 20_000])
-        recent = self.recent
-        for word, (core, marks) in cuts.items():
-            recent[word] = recent[core] + recent[marks]
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words in groups, with the NUL character, one id that no other word has, between them."""
-        groups = [words[i:i + 1000] for i in range(0, len(words), 1000)]
-        lines = [" \x00 ".join(g) for g in groups]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            cuts = (np.flatnonzero(ids == self.nul) * 4).tolist()
-            data = ids.tobytes()
-            for word, start, end in zip(group, [0, *[c + 4 for c in cuts]], [*cuts, len(data)], strict=True):
-                self.recent[word] = data[start:end]
+    def _placed(self, words: pa.Array, indices: pa.Array) -> pa.Array:
+        """Ids of the words at these indices; the words differ."""
+        core = pc.utf8_rtrim(words, characters=self.marks) if self.marks else words
+        cut = pc.and_(pc.not_equal(core, words), pc.match_substring_regex(core, self.before_marks))
+        at, n = np.flatnonzero(cut), len(words)
+        marks = [w[len(c):] for w, c in zip(words.filter(cut).to_numpy(zero_copy_only=False), core.filter(cut).to_numpy(zero_copy_only=False))]
+        parts = pa.concat_arrays([pc.if_else(cut, core, words), pa.array(marks, pa.large_string())]).dictionary_encode()
+        ids = self._known(parts.dictionary).take(parts.indices)
+        joined = pc.binary_join_element_wise(ids.take(pa.array(at)), ids.slice(n), pa.scalar(b"", pa.large_binary()))
+        place = np.arange(n)
+        place[at] = n + np.arange(len(at))
+        return pa.concat_arrays([ids.slice(0, n), joined]).take(pa.array(place[indices.to_numpy()]))
+
+    def _known(self, words: pa.Array) -> pa.Array:
+        """Ids of different words, from those kept or else from the library."""
+        kept, place = self.recent, np.arange(len(words))
+        if len(kept):
+            found = pc.index_in(words, value_set=kept.column("word"))
+            new = found.is_null().to_numpy(zero_copy_only=False)
+            place = np.where(new, len(kept) + np.cumsum(new) - 1, found.fill_null(0).to_numpy())
+            fresh = words.filter(pa.array(new))
+            kept = pa.concat_batches([kept, self._table(fresh, self._learn(fresh))])
+        else:
+            kept = self._table(words, self._learn(words))
+        ids = kept.column("ids").take(pa.array(place))
+        for self.recent in (kept, self._table(words, ids), kept.slice(0, 0)):
+            if len(self.recent) <= CACHE_WORDS and self.recent.nbytes <= CACHE_BYTES:
+                break
+        return ids
+
+    def _learn(self, words: pa.Array) -> pa.Array:
+        """Ids of words from the library: words of Latin letters through its model, others with the NUL character, one id that no other word has, between them."""
+        if not self.model:
+            return self._spelled(words, False)
+        latin = pc.match_substring_regex(words, f"^[{self.latin}]+$")
+        order = np.argsort(~latin.to_numpy(zero_copy_only=False), kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        return pa.concat_arrays([self._spelled(pc.utf8_lower(words.filter(latin)), True),
+                                 self._spelled(words.filter(pc.invert(latin)), False)]).take(pa.array(place))
+
+    def _as_bytes(self, line: str) -> str:
+        """A character for each byte, as the library's models have them."""
+        line = line.encode().decode("latin-1")
+        for byte, character in self.bytes.items():
+            line = line.replace(byte, character)
+        return line
+
+    def _spelled(self, words: pa.Array, latin: bool) -> pa.Array:
+        """Encode words in groups, a line of text each."""
+        out = [pa.array([], pa.large_binary())]
+        for i in range(0, len(words), LEARNT_WORDS):
+            some = words.slice(i, LEARNT_WORDS)
+            groups = pa.LargeListArray.from_arrays(np.append(np.arange(0, len(some), 500), len(some)), some)
+            lines = pc.binary_join(groups, pa.scalar(" " if latin else " \x00 ", some.type)).to_pylist()
+            if latin:
+                lines = [line if line.isascii() else self._as_bytes(line) for line in lines]
+                ids = np.concatenate([np.array(e.ids, "<u4") for e in self.model.encode_batch_fast(lines, add_special_tokens=False)])
+                ends = np.flatnonzero(self.last[ids]) + 1
+            else:
+                found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+                ids = np.concatenate([np.array([*e.ids, self.nul], "<u4") for e in found])
+                ends = np.flatnonzero(ids == self.nul)
+                ends, ids = ends - np.arange(len(ends)), ids[ids != self.nul]
+            if len(ends) != len(some):
+                raise ValueError("words and ends of words differ in number")
+            out.append(pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(some), [None, pa.py_buffer(np.append(0, ends) * 4), pa.py_buffer(ids)]))
+        return pa.concat_arrays(out)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -226,6 +285,7 @@ def _encode_parts(path: str, end_id: int, bits: bool, block_ids: int):
                         state = _Part(part, bits, block_ids)
                     for row in state.add(doc_id, np.frombuffer(data + end, "<u4")):
                         yield batch(row)
+                pa.default_memory_pool().release_unused()  # a slice's columns, else kept beside the JVM's memory
         if state is not None and state.n:
             yield batch(state.flush())
     return run

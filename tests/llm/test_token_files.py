@@ -93,6 +93,31 @@ def test_a_word_is_looked_up_once_for_all_texts():
     assert differing(encoder, texts) == [] and len(seen) < 20
 
 
+def test_words_of_latin_letters_go_to_the_model_alone():
+    """The tokenizer's normalizer and regular expression see none of them, in capitals or with marks of French and German."""
+    rng = random.Random(4)
+    letters = [*"abcdefghijklmnopqrstuvwxyz", *"AEIOUÀÉÈÊÇÑÖÜÞßàéèêçñöüýþÿ"]
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(50)) for _ in range(400)]
+    encoder, seen = token_files.Encoder(vocabulary()), []
+    library = encoder.tokenizer
+
+    class Seen:
+        def encode_batch_fast(self, lines, **more):
+            seen.extend(lines)
+            return library.encode_batch_fast(lines, **more)
+    encoder.tokenizer = Seen()
+    got = encoder.encode(texts)
+    encoder.tokenizer = library
+    assert seen == [] and got == [encoder._whole(t) for t in texts]
+
+
+def test_all_marks_and_letters_beside_them_equal_the_library():
+    rng = random.Random(5)
+    pool = [*"aZé5É×÷ß'µªºK-", *token_files.MARKS, "***", "$$$", ' "', "\u0338", "\u0301", "'s", "<|endoftext|>", " ", " "]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(20_000)]
+    assert differing(token_files.Encoder(vocabulary()), texts) == []
+
+
 def test_encoder_equals_the_library():
     rng = random.Random(2)
     pool = "abcXYZ019.,!'&<|> \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u2028\u3000\u200b\u180e\u0301\u0338éÉßİŉſΣσςñЖ漢字🙂가각ᄀ\u1161\u11a8\ufeff\x00½²"
