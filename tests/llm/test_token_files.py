@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -118,6 +119,25 @@ def test_all_marks_and_letters_beside_them_equal_the_library():
     assert differing(token_files.Encoder(vocabulary()), texts) == []
 
 
+def test_memory_of_words_is_small_and_bounded(monkeypatch):
+    """No Python object for a word that is kept; long words count by their bytes."""
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=9)) + rng.choice(["", "."]) for _ in range(1000)) for _ in range(50)]
+    encoder = token_files.Encoder(vocabulary())
+    encoder.encode(texts[:1])
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    encoder.encode(texts)
+    held = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert held < 1_000_000 and 49_000 < len(encoder.recent) and encoder.recent.nbytes < 60 * len(encoder.recent)
+    monkeypatch.setattr(token_files, "CACHE_BYTES", 100_000)
+    long = [f"{i} " + "x" * 30_000 for i in range(20)] + ["y" * 50_000]
+    for i in range(0, 20, 2):
+        assert differing(encoder, texts[i:i + 1] + long[i:i + 2] + long[-1:]) == []
+        assert encoder.recent.nbytes <= 100_000
+
+
 def test_encoder_equals_the_library():
     rng = random.Random(2)
     pool = "abcXYZ019.,!'&<|> \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u2028\u3000\u200b\u180e\u0301\u0338éÉßİŉſΣσςñЖ漢字🙂가각ᄀ\u1161\u11a8\ufeff\x00½²"
