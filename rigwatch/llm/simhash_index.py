@@ -22,12 +22,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from rigwatch.llm.components import components
-from rigwatch.session import materialise, scratch_path
+from rigwatch.session import Scratch, materialise
 
 SHINGLE = 3
 SEED = 42
@@ -47,6 +47,7 @@ SKETCHED = 1024    # pairs whose counts are held at a time
 SKETCH = 64        # counts of a set, looked at for every two members of a node
 WIDE_SKETCH = 1024 # counts of a set, for pairs that the small sketch leaves: it tells long texts apart
 TURNS = 4          # of comparing with a few members of a node
+STALLED = 0.9      # share of the nodes' pairs that a turn leaves: if it is more, further turns would bring little
 FEW = 64           # pairs a row that are compared at once
 MANY = 256         # pairs that one copy of a text serves
 BROADCAST_IDS = 1 << 20  # ids that are sent to all tasks at most: 8 MB
@@ -130,15 +131,20 @@ def _under(points: DataFrame, masks: list[tuple[int | None, int]]) -> DataFrame:
 POINT = ["id", "fp"]
 
 
-def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``a, b``: ids linking all points (different ``id, fp``) whose ``fp`` are within the radius, as stars per node."""
-    points = points.select(*POINT)
+def links(points: DataFrame, radius: int = RADIUS, kept: Scratch | None = None) -> DataFrame:
+    """``a, b``: ids linking all points (different ``id, fp``) whose ``fp`` are within the radius, as stars per node.
+
+    They are found as the result is read, from nodes written to ``kept`` (else they stay till the session ends).
+    """
+    points, kept = points.select(*POINT), kept or Scratch(points.sparkSession)
     masks = [(None, m) for m in top_masks(radius)]
     rows, ready = _under(points, masks), []
     while True:
-        rows = materialise(rows, "sim-nodes")
+        step = Scratch(points.sparkSession)
+        rows = step.write(rows, "sim-nodes")
         sizes = rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        sized = materialise(rows.join(sizes, ["mask", "value"]), "sim-sized")
+        sized = kept.write(rows.join(sizes, ["mask", "value"]), "sim-sized")
+        step.drop()
         ready.append(sized.where(F.col("n") <= FULL_NODE).drop("n"))
         full = sized.where(F.col("n") > FULL_NODE).drop("n")
         if full.isEmpty():
@@ -345,35 +351,9 @@ def _alike(n: str, m: str) -> Column:
     return F.least(n, m) * 5 >= F.greatest(n, m) * 4
 
 
-class _Scratch:
-    """Results written for a step and deleted after it, with the shuffles that made them."""
-
-    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
-
-    def write(self, df: DataFrame, label: str) -> DataFrame:
-        path, before = scratch_path(self.spark, label), self.spark.conf.get(self.cleanup, None)
-        self.spark.conf.set(self.cleanup, "true")  # a written result needs its shuffles no more
-        try:
-            df.write.parquet(path)
-        finally:
-            self.spark.conf.unset(self.cleanup) if before is None else self.spark.conf.set(self.cleanup, before)
-        self.paths.append(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self) -> None:
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        for path in self.paths:
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(conf).delete(target, True)
-        self.paths = []
-
-
-def _shared(points: DataFrame, kept: _Scratch) -> DataFrame:
+def _shared(points: DataFrame, kept: Scratch) -> DataFrame:
     """``key, id, n, pos`` of the prefix shingles that several points (``id, n, prefix``) have."""
-    step = _Scratch(points.sparkSession)
+    step = Scratch(points.sparkSession)
     keys = step.write(points.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "copy-keys")
     keyed = points.select("id", "n", F.posexplode("prefix").alias("pos", "key")).select("key", "id", "n", F.col("pos").cast("long").alias("pos"))
     nodes = kept.write(keyed.join(keys, "key", "left_semi"), "copy-nodes")
@@ -459,12 +439,12 @@ def _with_counts(pairs: DataFrame, points: DataFrame, column: str) -> DataFrame:
     return pairs.mapInArrow(_sketched, "a long, b long")
 
 
-def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kept: _Scratch, one: bool = False) -> DataFrame:
+def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kept: Scratch, one: bool = False) -> DataFrame:
     """The pairs whose texts are near copies, by all of their shingles; of ``one``, a pair per ``b`` that sketches allow.
 
     A text ``a`` is sent once to each block of its partners, and a partner's once to the block.
     """
-    step = _Scratch(texts.sparkSession)
+    step = Scratch(texts.sparkSession)
     pairs = step.write(_with_counts(pairs, points, "sketch"), "copy-candidates")
     pairs = _with_counts(pairs, points, "wide")
     if one:
@@ -483,34 +463,34 @@ def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kept: _Scra
     return links
 
 
-def indexed_links(points: DataFrame, texts: DataFrame, kept: _Scratch) -> DataFrame:
+def indexed_links(points: DataFrame, texts: DataFrame, kept: Scratch) -> DataFrame:
     """``a, b``: links found through the Gray-order index of the points' fingerprints (``fp``), verified on the texts.
 
     A fingerprint is indexed once, by its smallest id; its other ids are candidates of that one.
     """
     firsts = kept.write(points.groupBy("fp").agg(F.min("id").alias("first")), "copy-prints")
-    near = links(firsts.select(F.col("first").alias("id"), "fp"), COPY_RADIUS)
+    near = links(firsts.select(F.col("first").alias("id"), "fp"), COPY_RADIUS, kept)
     same = points.join(firsts, "fp").where(F.col("id") != F.col("first")).select(F.col("first").alias("a"), F.col("id").alias("b"))
     pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().union(same)
     return _verified(pairs, points, texts, kept)
 
 
-def copy_links(nodes: DataFrame, points: DataFrame, texts: DataFrame, kept: _Scratch) -> DataFrame:
+def copy_links(nodes: DataFrame, points: DataFrame, texts: DataFrame, kept: Scratch) -> DataFrame:
     """``a, b``: ids that link all points with a similarity of 0.8 or more, directly or through others.
 
     First come the links through the Gray-order index. Similar texts whose fingerprints differ by more than its radius
     meet in nodes, one of a shingle: the texts of a node that are still apart are compared with a few members of it, and what
-    that links needs no further comparing; then all pairs of a node that are still apart. ``nodes`` has ``key, id, n, pos``,
+    that links needs no further comparing; once such turns stall, all pairs of a node that are still apart. ``nodes`` has ``key, id, n, pos``,
     ``points`` ``id, n, fp, sketch, wide``, ``texts`` ``id, text``; all are read several times.
     """
     def rooted(rows: DataFrame) -> DataFrame:
-        roots = components(found)
+        roots = components(found, turns[-1])
         return turns[-1].write(rows.join(roots, rows.id == roots.node, "left").select(*nodes.columns, F.coalesce("root", "id").alias("root")), "copy-rooted")
 
-    found, turns = indexed_links(points, texts, kept), [_Scratch(nodes.sparkSession)]
-    rest = rooted(nodes)
+    found, turns = indexed_links(points, texts, kept), [Scratch(nodes.sparkSession)]
+    rest, before = rooted(nodes), float("inf")
     for turn in range(TURNS + 1):
-        turns.append(_Scratch(nodes.sparkSession))
+        turns.append(Scratch(nodes.sparkSession))
         star = F.min(F.struct(F.xxhash64("id", F.lit(turn), F.col("key").bitwiseAND(STARS - 1)), "id", "n", "root")).alias("star")
         mixed = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"), star).where("lo <> hi")
         mixed = turns[-1].write(mixed.select("key", "c", "star"), "copy-mixed")
@@ -518,8 +498,9 @@ def copy_links(nodes: DataFrame, points: DataFrame, texts: DataFrame, kept: _Scr
         for done in turns[:-1]:
             done.drop()
         pairs = mixed.agg(F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
-        if not pairs.rows or pairs.pairs <= FEW * pairs.rows or turn == TURNS:
+        if not pairs.rows or pairs.pairs <= FEW * pairs.rows or pairs.pairs > STALLED * before or turn == TURNS:
             break
+        before = pairs.pairs
         apart = rest.where((F.col("root") != F.col("star.root")) & _alike("n", "star.n"))
         new = _verified(apart.select(F.col("star.id").alias("a"), F.col("id").alias("b")).distinct(), points, texts, kept, one=True)
         found = found.union(new)
@@ -538,20 +519,22 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     verified on whole sets. Shingles are known by 64-bit hashes, equal sets by 128-bit ones. A text of fewer
     than five words is one shingle; texts without words are one group.
     """
-    kept = _Scratch(docs.sparkSession)
+    kept, work = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
     rows = kept.write(docs.withColumn("_sim_row", F.monotonically_increasing_id()), "sim-docs")
     texts = rows.select(F.col("_sim_row").alias("id"), F.col(text).alias("text"))
     kinds = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, id long, set string, n long, fp long, sketch binary, wide binary, prefix array<long>"
     slim = rows.select(F.col(doc_id).alias("doc_id"), F.col("_sim_row").alias("id"), F.col(text).alias("text"))
-    step = _Scratch(docs.sparkSession)
+    step = Scratch(docs.sparkSession)
     whole = step.write(slim.mapInArrow(_described(_common(texts.select("text"))), kinds), "sim-described")
-    slim = kept.write(whole.drop("prefix", "wide", "fp"), "sim-sets")
-    first = kept.write(slim.groupBy("set").agg(F.min("id").alias("id")), "sim-first")
-    points = kept.write(whole.select("id", "n", "fp", "sketch", "wide").join(first.select("id"), "id", "left_semi"), "sim-points")
-    nodes = _shared(whole.select("id", "n", "prefix").join(first.select("id"), "id", "left_semi"), kept)
+    slim = work.write(whole.drop("prefix", "wide", "fp"), "sim-sets")
+    first = work.write(slim.groupBy("set").agg(F.min("id").alias("id")), "sim-first")
+    points = work.write(whole.select("id", "n", "fp", "sketch", "wide").join(first.select("id"), "id", "left_semi"), "sim-points")
+    nodes = _shared(whole.select("id", "n", "prefix").join(first.select("id"), "id", "left_semi"), work)
     step.drop()
-    roots = components(copy_links(nodes, points, texts, kept))
+    roots = components(copy_links(nodes, points, texts, work), work)
     rooted = first.join(roots, first.id == roots.node, "left").select("set", F.coalesce("root", "id").alias("root"))
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
     best = slim.select("doc_id", "id", "set").join(rooted, "set").groupBy("root").agg(F.min(rank).alias("k")).select(F.col("k.id").alias("_sim_kept"))
+    best = kept.write(best, "sim-kept")
+    work.drop()
     return rows.join(best, F.col("_sim_row") == F.col("_sim_kept"), "left_semi").select(*docs.columns)

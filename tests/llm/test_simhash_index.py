@@ -181,3 +181,41 @@ def test_copies_found_are_those_of_exact_search_on_tables(spark):
     want, _ = similar_groups([r.text for r in rows])
     kept = [r.doc_id for r in simhash_index.one_of_each(spark.createDataFrame(rows)).collect()]
     assert sorted(kept) == sorted(rows[i].doc_id for i in set(want))
+
+
+def left_behind(spark, before=()):
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    return sorted(n for n in __import__("os").listdir(folder) if n not in before)
+
+
+def test_components_of_any_graph_leave_one_result(spark):
+    rng = random.Random(12)
+    pairs = [(i, i + 1) for i in range(40)] + [(1000, 100 + i) for i in range(50)] + [(200 + i, 2000) for i in range(5)] + [(7, 7), (300, 301), (301, 300)]
+    pairs += [(rng.randrange(400, 600), rng.randrange(400, 600)) for _ in range(90)]
+    label = {x: x for p in pairs for x in p}
+    for _ in label:
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    rng.shuffle(pairs)
+    before = left_behind(spark)
+    got = [tuple(r) for r in simhash_index.components(spark.createDataFrame(pairs * 2, "a long, b long").repartition(5)).collect()]
+    assert sorted(got) == sorted((x, r) for x, r in label.items() if x != r)
+    assert [n.rsplit("-", 1)[0] for n in left_behind(spark, before)] == ["small-star"]
+
+
+def test_turns_that_link_nothing_end_and_results_go(spark, monkeypatch):
+    """Texts of one passage that are no copies: one turn shows it, all pairs follow; only what the rows are read from stays."""
+    rng = random.Random(13)
+    passage = [f"p{i}" for i in range(30)]
+    texts = [" ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(30)]) for _ in range(60)]
+    texts += [t + " end" for t in texts[:9]]
+    calls, verified = [], simhash_index._verified
+    monkeypatch.setattr(simhash_index, "FEW", 0)
+    monkeypatch.setattr(simhash_index, "_common", lambda texts: bytes(1 << simhash_index.MARK_BITS - 3))
+    monkeypatch.setattr(simhash_index, "_verified", lambda *a, **b: calls.append(b) or verified(*a, **b))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    before = left_behind(spark)
+    kept = sorted(r.doc_id for r in simhash_index.one_of_each(df).collect())
+    assert kept == sorted(set(similar_groups(texts)[0])) == list(range(60))
+    assert sum(bool(b) for b in calls) in (1, 2)
+    assert [n.rsplit("-", 1)[0] for n in left_behind(spark, before)] == ["sim-docs", "sim-kept"]
