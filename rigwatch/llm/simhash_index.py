@@ -439,13 +439,14 @@ def _with_counts(pairs: DataFrame, points: DataFrame, column: str) -> DataFrame:
     return pairs.mapInArrow(_sketched, "a long, b long")
 
 
-def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kept: Scratch, one: bool = False) -> DataFrame:
+def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kept: Scratch, one: bool = False, tested: bool = False) -> DataFrame:
     """The pairs whose texts are near copies, by all of their shingles; of ``one``, a pair per ``b`` that sketches allow.
 
+    ``tested`` pairs have passed the small sketch already.
     A text ``a`` is sent once to each block of its partners, and a partner's once to the block.
     """
     step = Scratch(texts.sparkSession)
-    pairs = step.write(_with_counts(pairs, points, "sketch"), "copy-candidates")
+    pairs = step.write(pairs if tested else _with_counts(pairs, points, "sketch"), "copy-candidates")
     pairs = _with_counts(pairs, points, "wide")
     if one:
         pairs = pairs.groupBy("b").agg(F.min(F.struct(F.xxhash64("a").alias("h"), "a")).alias("m")).select("m.a", "b")
@@ -505,7 +506,7 @@ def copy_links(nodes: DataFrame, points: DataFrame, texts: DataFrame, kept: Scra
         new = _verified(apart.select(F.col("star.id").alias("a"), F.col("id").alias("b")).distinct(), points, texts, kept, one=True)
         found = found.union(new)
         rest = rooted(rest.drop("c", "star", "root"))
-    found = found.union(_verified(_all_pairs(rest, points), points, texts, kept))
+    found = found.union(_verified(_all_pairs(rest, points), points, texts, kept, tested=True))
     turns[-1].drop()
     return found
 

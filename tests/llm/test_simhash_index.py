@@ -209,13 +209,15 @@ def test_turns_that_link_nothing_end_and_results_go(spark, monkeypatch):
     passage = [f"p{i}" for i in range(30)]
     texts = [" ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(30)]) for _ in range(60)]
     texts += [t + " end" for t in texts[:9]]
-    calls, verified = [], simhash_index._verified
+    calls, verified, looks, counts = [], simhash_index._verified, [], simhash_index._with_counts
     monkeypatch.setattr(simhash_index, "FEW", 0)
     monkeypatch.setattr(simhash_index, "_common", lambda texts: bytes(1 << simhash_index.MARK_BITS - 3))
     monkeypatch.setattr(simhash_index, "_verified", lambda *a, **b: calls.append(b) or verified(*a, **b))
+    monkeypatch.setattr(simhash_index, "_with_counts", lambda pairs, points, column: looks.append(column) or counts(pairs, points, column))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     before = left_behind(spark)
     kept = sorted(r.doc_id for r in simhash_index.one_of_each(df).collect())
     assert kept == sorted(set(similar_groups(texts)[0])) == list(range(60))
-    assert sum(bool(b) for b in calls) in (1, 2)
+    assert sum(b.get("one", False) for b in calls) in (1, 2)
+    assert looks.count("sketch") == len(calls) - 1  # the nodes' pairs have passed it
     assert [n.rsplit("-", 1)[0] for n in left_behind(spark, before)] == ["sim-docs", "sim-kept"]
