@@ -439,6 +439,11 @@ def _with_counts(pairs: DataFrame, points: DataFrame, column: str) -> DataFrame:
     return pairs.mapInArrow(_sketched, "a long, b long")
 
 
+def _sent(ids: DataFrame) -> DataFrame:
+    """Written ids, sent to all tasks unless there are many: those meet the texts in a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kept: Scratch, one: bool = False, tested: bool = False) -> DataFrame:
     """The pairs whose texts are near copies, by all of their shingles; of ``one``, a pair per ``b`` that sketches allow.
 
@@ -452,8 +457,7 @@ def _verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, kept: Scrat
         pairs = pairs.groupBy("b").agg(F.min(F.struct(F.xxhash64("a").alias("h"), "a")).alias("m")).select("m.a", "b")
     pairs = step.write(pairs, "copy-pairs")
     ids = step.write(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "copy-ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids  # more of them meet the texts in a shuffle
-    held = step.write(texts.join(ids, "id", "left_semi"), "copy-texts")
+    held = step.write(texts.join(_sent(ids), "id", "left_semi"), "copy-texts")
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(MANY)).alias("parts"))
     placed = step.write(pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b"), "copy-blocks")
     partners = placed.join(held, placed.b == held.id).select("a", "part", "b", "text")
@@ -538,4 +542,4 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     best = slim.select("doc_id", "id", "set").join(rooted, "set").groupBy("root").agg(F.min(rank).alias("k")).select(F.col("k.id").alias("_sim_kept"))
     best = kept.write(best, "sim-kept")
     work.drop()
-    return rows.join(best, F.col("_sim_row") == F.col("_sim_kept"), "left_semi").select(*docs.columns)
+    return rows.join(_sent(best), F.col("_sim_row") == F.col("_sim_kept"), "left_semi").select(*docs.columns)

@@ -221,3 +221,20 @@ def test_turns_that_link_nothing_end_and_results_go(spark, monkeypatch):
     assert sum(b.get("one", False) for b in calls) in (1, 2)
     assert looks.count("sketch") == len(calls) - 1  # the nodes' pairs have passed it
     assert [n.rsplit("-", 1)[0] for n in left_behind(spark, before)] == ["sim-docs", "sim-kept"]
+
+
+def test_kept_ids_go_to_the_texts(spark, monkeypatch):
+    """Texts are not dealt anew for the ids that stay, however small tables to broadcast must be; many ids meet them in a shuffle, with the same rows."""
+    texts = [f"w{i} " * 3 + " ".join(f"x{i * j % 97}" for j in range(1, 30)) for i in range(40)] + ["", None]
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts + texts[:7])], "doc_id long, text string").coalesce(1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = simhash_index.one_of_each(docs)
+        assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(got.collect(), key=str)
+        monkeypatch.setattr(simhash_index, "BROADCAST_IDS", 0)
+        assert sorted(simhash_index.one_of_each(docs).collect(), key=str) == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r.doc_id)] == list(range(41))
